@@ -13,37 +13,28 @@ from docintake.functions.truth import is_empty, non_blank
 from docintake.schemas import TAG_FIELDS
 
 
-def _field(v: Column, name: str, as_type: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", as_type)
+# JSON values that count as "no answer": empty containers and text, null, false, zero.
+NO_ANSWER = (
+    r"^[ \t\n\r]*(\{[ \t\n\r]*\}|\[[ \t\n\r]*\]|\"\"|null|false|-?0(\.0*)?([eE][-+]?[0-9]+)?)[ \t\n\r]*$"
+)
 
 
-def _kind(v: Column) -> Column:
-    """OBJECT, ARRAY, STRING, VOID, BOOLEAN, BIGINT, ... or NULL when not JSON."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
+def _field(name: str, as_type: str) -> Column:
+    return F.try_variant_get(F.col("_answer"), f"$.{name}", as_type)
 
 
-def _is_falsy(v: Column, kind: Column) -> Column:
-    """JSON values that count as "no answer"."""
-    text = F.try_variant_get(v, "$", "string")
-    number = F.try_variant_get(v, "$", "double")
-    return (
-        (kind == "VOID")
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | ((kind == "STRING") & (text == ""))
-        | (kind.isin("OBJECT", "ARRAY") & text.isin("{}", "[]"))
-        | (~kind.isin("OBJECT", "ARRAY", "STRING", "BOOLEAN", "VOID") & (number == 0))
-    )
+def _opens_with(sign: str) -> Column:
+    """The first sign of valid JSON tells its type."""
+    return F.ltrim(F.col("_text"), F.lit(" \t\n\r")).startswith(sign)
 
 
 def parse(df: DataFrame, answer: Column) -> DataFrame:
-    """Add ``_answer`` (the parsed answer) and ``_kind``, which the functions below use.
+    """Add ``_text`` and ``_answer``, which the functions below use.
 
-    They are columns of their own so that each answer is parsed once, however often
-    it is looked at.
+    The parsed answer is a column of its own so that it is parsed once, however
+    often it is looked at.
     """
-    return df.withColumn("_answer", F.try_parse_json(answer)).withColumn(
-        "_kind", _kind(F.col("_answer"))
-    )
+    return df.withColumn("_text", answer).withColumn("_answer", F.try_parse_json("_text"))
 
 
 def state() -> Column:
@@ -53,21 +44,20 @@ def state() -> Column:
     ``complete``: an object with all four keys; ``broken``: anything else, which
     makes the write fail.
     """
-    v, kind = F.col("_answer"), F.col("_kind")
-    has_all = F.lit(True)
+    has_all = _opens_with("{")
     for f in TAG_FIELDS:
-        has_all = has_all & _field(v, f, "variant").isNotNull()
+        has_all = has_all & _field(f, "variant").isNotNull()
     return (
-        F.when(v.isNull() | _is_falsy(v, kind), "none")
-        .when((kind == "OBJECT") & has_all, "complete")
+        F.when(F.col("_answer").isNull(), "none")
+        .when(has_all, "complete")
+        .when(F.col("_text").rlike(NO_ANSWER), "none")
         .otherwise("broken")
     )
 
 
 def tags() -> Column:
     """The four tags as strings; NULL fields where a key is missing."""
-    v = F.col("_answer")
-    return F.struct(*[_field(v, f, "string").alias(f) for f in TAG_FIELDS])
+    return F.struct(*[_field(f, "string").alias(f) for f in TAG_FIELDS])
 
 
 def closes_guard(title: Column, date: Column) -> Column:
@@ -82,21 +72,21 @@ def verdict(text: Column) -> Column:
     that is not a string, which ends the document without tags; ``titled``: wins;
     ``blank``: a blank title; ``untitled``: no title key.
     """
-    v, kind = F.col("_answer"), F.col("_kind")
-    title_kind = _kind(_field(v, "title", "variant"))
-    in_list = F.array_contains(F.try_variant_get(v, "$", "array<string>"), "title")
-    in_text = F.try_variant_get(v, "$", "string").contains("title")
+    whole = F.col("_answer")
+    title_type = F.schema_of_variant(_field("title", "variant"))
+    in_list = F.array_contains(F.try_variant_get(whole, "$", "array<string>"), "title")
+    in_text = F.try_variant_get(whole, "$", "string").contains("title")
     of_object = (
-        F.when(title_kind.isNull(), "untitled")
-        .when(title_kind != "STRING", "abort")
-        .when(non_blank(_field(v, "title", "string")), "titled")
+        F.when(title_type.isNull(), "untitled")
+        .when(title_type != "STRING", "abort")
+        .when(non_blank(_field("title", "string")), "titled")
         .otherwise("blank")
     )
     return (
         F.when(is_empty(text), "skip")
-        .when(v.isNull(), "abort")
-        .when(kind == "OBJECT", of_object)
-        .when(kind == "ARRAY", F.when(in_list, "abort").otherwise("untitled"))
-        .when(kind == "STRING", F.when(in_text, "abort").otherwise("untitled"))
+        .when(whole.isNull(), "abort")
+        .when(_opens_with("{"), of_object)
+        .when(_opens_with("["), F.when(in_list, "abort").otherwise("untitled"))
+        .when(_opens_with('"'), F.when(in_text, "abort").otherwise("untitled"))
         .otherwise("abort")
     )

@@ -63,7 +63,8 @@ def first_page_texts(pages: DataFrame) -> DataFrame:
 
 
 def title_page_text(ranked: DataFrame, pages: DataFrame) -> DataFrame:
-    """Text of ranked pages. A ranked page without a text row reads as empty."""
+    """Text of ranked pages when texts are a table of their own, such as the output
+    of an extractor. A ranked page without a text row reads as empty."""
     texts = pages.select("doc_id", "page_num", "native_text", "ocr_text")
     return page_text(ranked.join(texts, ["doc_id", "page_num"], "left")).drop(
         "native_text", "ocr_text"

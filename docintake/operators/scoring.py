@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
@@ -61,15 +61,18 @@ def page_scores_with_model(pages: DataFrame, model: Transformer | str) -> DataFr
     return scored.select(*pages.columns, positive.alias("prob"))
 
 
-def title_page_top3(scored: DataFrame, k: int = TOP_PAGES) -> DataFrame:
+def title_page_top3(
+    scored: DataFrame, k: int = TOP_PAGES, keep: Sequence[str] = ()
+) -> DataFrame:
     """The k likeliest title pages per document; on a tie the later page comes first.
 
     The rank filter is pushed below the shuffle, so each task sends at most k pages
-    of a document.
+    of a document. Columns named in ``keep`` ride along, which is cheaper than
+    joining them to the result afterwards.
     """
     best_first = Window.partitionBy("doc_id").orderBy(F.desc("prob"), F.desc("page_num"))
     return (
-        scored.select("doc_id", "page_num", "prob")
+        scored.select("doc_id", "page_num", "prob", *keep)
         .withColumn("rank", F.row_number().over(best_first))
         .where(F.col("rank") <= k)
     )

@@ -64,47 +64,69 @@ def skew_join(
     return salted.drop("_hot").join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def running_counts(
+def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    flags: Mapping[str, Column],
     label: str,
+    counts: Mapping[str, Column] | None = None,
+    lasts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Add, per flag, how many rows of the key satisfy it up to and including the row.
+    """Add running values per key, up to and including each row.
+
+    ``counts``: how many rows satisfy a condition, as ``name``, and how many do in
+    the whole key, as ``name_total``. ``lasts``: the last value that is not NULL.
 
     ``keys + order`` must be unique. A window over the key alone would put a whole
-    key into one task, so the rows are range-partitioned on ``keys + order`` (which
-    cuts a large key into slices), counted within slices, and each slice gets the
-    sum of the slices before it.
+    key into one task, so the rows are range-partitioned on ``keys + order``, which
+    cuts a large key into slices; windows run within slices, and each slice starts
+    from what the slices before it add up to.
     """
     keys, order = list(keys), list(order)
-    marks = {f"_flag_{name}": F.coalesce(c, F.lit(False)).cast("long") for name, c in flags.items()}
+    counts, lasts = dict(counts or {}), dict(lasts or {})
+    inputs = {f"_c_{n}": F.coalesce(c, F.lit(False)).cast("long") for n, c in counts.items()}
+    inputs.update({f"_l_{n}": c for n, c in lasts.items()})
     slices = materialize(
-        df.withColumns(marks)
+        df.withColumns(inputs)
         .repartitionByRange(*keys, *order)
         .withColumn("_slice", F.spark_partition_id()),
         label,
     )
-    # One row per key and slice, so these windows stay as small as the number of slices.
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        slices.groupBy(*keys, "_slice")
-        .agg(*[F.sum(f"_flag_{n}").alias(f"_sum_{n}") for n in flags])
-        .select(
-            *keys,
-            "_slice",
-            *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_base_{n}") for n in flags],
-        )
+
+    # One row per key and slice: these windows are as small as the number of slices.
+    key = Window.partitionBy(*keys)
+    before = key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    stamped = {n: F.struct(*order, F.col(f"_l_{n}").alias("value")) for n in lasts}
+    per_slice = slices.groupBy(*keys, "_slice").agg(
+        F.count(F.lit(1)),
+        *[F.sum(f"_c_{n}").alias(f"_c_{n}") for n in counts],
+        *[
+            F.max(F.when(F.col(f"_l_{n}").isNotNull(), stamped[n]))["value"].alias(f"_l_{n}")
+            for n in lasts
+        ],
+    )
+    starts = per_slice.select(
+        *keys,
+        "_slice",
+        *[F.coalesce(F.sum(f"_c_{n}").over(before), F.lit(0)).alias(f"_c0_{n}") for n in counts],
+        *[F.sum(f"_c_{n}").over(key).alias(f"{n}_total") for n in counts],
+        *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_l0_{n}") for n in lasts],
     )
+
     so_far = (
         Window.partitionBy(*keys, "_slice")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = slices.withColumns({f"_in_{n}": F.sum(f"_flag_{n}").over(so_far) for n in flags})
-    return (
-        within.join(offsets, [*keys, "_slice"])
-        .withColumns({n: F.col(f"_base_{n}") + F.col(f"_in_{n}") for n in flags})
-        .select(*df.columns, *flags)
+    within = slices.withColumns(
+        {
+            **{f"_c1_{n}": F.sum(f"_c_{n}").over(so_far) for n in counts},
+            **{f"_l1_{n}": F.last(f"_l_{n}", ignorenulls=True).over(so_far) for n in lasts},
+        }
+    )
+    return within.join(starts, [*keys, "_slice"]).select(
+        *df.columns,
+        *[(F.col(f"_c0_{n}") + F.col(f"_c1_{n}")).alias(n) for n in counts],
+        *[f"{n}_total" for n in counts],
+        *[F.coalesce(f"_l1_{n}", f"_l0_{n}").alias(n) for n in lasts],
     )

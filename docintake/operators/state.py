@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docintake.functions import tagjson
 from docintake.functions.truth import guard_open, is_empty, non_empty
-from docintake.operators.skew import running_counts, skew_join
+from docintake.operators.skew import running, skew_join
 from docintake.schemas import TAG_FIELDS
 
 DOWNLOAD = "download_complete"
@@ -44,7 +44,7 @@ def read_answers(events: DataFrame) -> DataFrame:
     return (
         parsed.withColumn("tag_state", tagjson.state())
         .withColumn("tags", F.when(F.col("tag_state") == "complete", tagjson.tags()))
-        .drop("_answer", "_kind")
+        .drop("_answer", "_text")
     )
 
 
@@ -73,9 +73,12 @@ def last_writes(
     uncertain = (
         F.when(F.col("kind") == "maybe_pdf", True).otherwise(F.lit(False)).alias("value")
     )
+    # Only what an event writes travels to the aggregate.
+    written = read_answers(writing_events(events)).withColumn(
+        "filename", F.when(_wants_tags(), F.col("filename"))
+    )
     return (
-        read_answers(writing_events(events))
-        .groupBy(*key)
+        written.groupBy(*key)
         .agg(
             F.max(stamped("kind", "pred", "tag_state")).alias("w_last"),
             F.max(F.when(F.col("kind") != "html_seen", stamped(uncertain))).alias("w_uncertainty"),
@@ -86,10 +89,12 @@ def last_writes(
     )
 
 
-def initial_guards(batch: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Whether the first row of each key wants tags when the batch is loaded."""
-    first = F.min(F.struct("id", guard_open(F.col("title"), F.col("date")).alias("open")))
-    return batch.groupBy(*key).agg(first["open"].alias("starts_open"))
+def first_of_batch(batch: DataFrame, key: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """The first row of each key as loaded: ``starts_open``, whether it wants tags,
+    and the asked columns as ``row``."""
+    wants = guard_open(F.col("title"), F.col("date")).alias("starts_open")
+    first = F.min(F.struct("id", wants, *columns)).alias("row")
+    return batch.groupBy(*key).agg(first).withColumn("starts_open", F.col("row.starts_open"))
 
 
 def _stamp(column: str, order: Sequence[str]) -> Column:
@@ -103,7 +108,7 @@ def apply_writes(
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """The batch after its events. Columns that no event wrote keep their value."""
-    net = initial_guards(batch, key).join(writes, list(key))
+    net = first_of_batch(batch, key).drop("row").join(writes, list(key))
     rows = skew_join(batch, net, key, ["id"])
 
     last = F.col("w_last")
@@ -173,12 +178,16 @@ def guard_closings(
 
 
 def _with_guard(
-    batch: DataFrame, events: DataFrame, key: Sequence[str], order: Sequence[str]
+    batch: DataFrame,
+    events: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Events with ``known`` and, for known links, ``open``: whether the link still
-    wanted tags when the event arrived."""
+    """Events with ``known`` and, for known links, ``row`` and ``open``: whether the
+    link still wanted tags when the event arrived."""
     per_link = (
-        initial_guards(batch, key)
+        first_of_batch(batch, key, columns)
         .join(guard_closings(events, key, order), list(key), "left")
         .withColumn("known", F.lit(True))
     )
@@ -226,52 +235,40 @@ def archive_on_download(
     """One archive row per successful download, showing its link just after it.
 
     Repeated downloads of a link are archived again. The file name and tags in
-    force come from earlier downloads of the link; numbering those writes turns
-    the look-back into an equi-join.
+    force come from this download or an earlier one of the link.
     """
     key, order = list(key), list(order)
-    downloads = event_outcomes(
-        batch, writing_events(events).where(_is_download()), key, order
-    ).where(F.col("known"))
-    numbered = running_counts(
-        downloads,
+    downloads = writing_events(events).where(_is_download())
+    guarded = _with_guard(batch, downloads, key, order, [*TAG_FIELDS, "filename_location"])
+    known = guarded.where(F.col("known")).withColumn("outcome", _outcome())
+    in_force = running(
+        known.drop("tag_json", "w_close"),
         key,
         order,
-        {
-            "file_no": _wants_tags(),
-            "tags_no": (F.col("tag_state") == "complete") & F.col("open"),
-        },
         "downloads",
+        lasts={
+            "file_now": F.when(_wants_tags(), F.col("filename")),
+            "tags_now": F.when((F.col("tag_state") == "complete") & F.col("open"), F.col("tags")),
+        },
     )
-    files = numbered.where(_wants_tags()).select(*key, "file_no", F.col("filename").alias("file_now"))
-    tags = numbered.where((F.col("tag_state") == "complete") & F.col("open")).select(
-        *key, "tags_no", F.col("tags").alias("tags_now")
-    )
-    kept = numbered.where(F.col("outcome") == 200).drop("tags", "known", "open", "w_close")
-    kept = skew_join(kept, files, [*key, "file_no"], order)
-    kept = skew_join(kept, tags, [*key, "tags_no"], order)
-    first = batch.groupBy(*key).agg(
-        F.min(F.struct("id", *TAG_FIELDS, "filename_location")).alias("row")
-    )
-    kept = skew_join(kept, first, key, order, how="inner")
     final = F.col("pred").isin(1, 2, 3)
     tag = {
-        f: F.when(F.col("tags_no") > 0, F.col(f"tags_now.{f}")).otherwise(F.col(f"row.{f}"))
+        f: F.when(F.col("tags_now").isNotNull(), F.col(f"tags_now.{f}")).otherwise(
+            F.col(f"row.{f}")
+        )
         for f in TAG_FIELDS
     }
-    return kept.select(
+    return in_force.where(F.col("outcome") == 200).select(
         *[c for c in order if c not in key],
         F.col("row.id").alias("pg_id"),
-        "pdf_link",
+        *key,
         F.when(final, F.col("pred")).alias("classify"),
         tag["title"].alias("title"),
         F.when(final, PROCESSED).otherwise(PROCESSING).alias("status"),
         tag["sector"].alias("sector"),
         tag["author"].alias("author"),
         tag["date"].alias("date"),
-        F.when(F.col("file_no") > 0, F.col("file_now"))
-        .otherwise(F.col("row.filename_location"))
-        .alias("filename_location"),
+        F.coalesce("file_now", "row.filename_location").alias("filename_location"),
     )
 
 

@@ -61,19 +61,26 @@ def build_prompts(texts: DataFrame, system: str | None = None) -> DataFrame:
     )
 
 
-def ask(prompts: DataFrame, complete: Complete) -> DataFrame:
+def distinct_prompts(prompts: DataFrame) -> DataFrame:
+    """One row per prompt; copies collapse before the shuffle."""
+    return prompts.groupBy("prompt_hash").agg(F.min("messages").alias("messages"))
+
+
+def ask(distinct: DataFrame, complete: Complete, tasks: int | None = None) -> DataFrame:
     """Answers of distinct prompts: ``prompt_hash, completion``.
 
     ``complete`` gets a batch of message texts and returns as many answers.
+    ``tasks`` sets into how many tasks the calls are split, where a model service
+    asks for that.
     """
-    # One row per prompt; copies collapse before the shuffle.
-    distinct = prompts.groupBy("prompt_hash").agg(F.min("messages").alias("messages"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             answers = list(complete(batch["messages"].tolist()))
             yield pd.DataFrame({"prompt_hash": batch["prompt_hash"], "completion": answers})
 
+    if tasks:
+        distinct = distinct.repartition(tasks, "prompt_hash")
     return distinct.mapInPandas(run, "prompt_hash string, completion string")
 
 
@@ -82,18 +89,20 @@ def complete_prompts(
     complete: Complete,
     key: Sequence[str] = ("doc_id", "page_num"),
     known: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Prompts with answers, and the answers by prompt hash.
+    """Prompts with answers, and all answers by prompt hash.
 
     A prompt is asked once however many pages share it, and not at all when
     ``known`` already holds its answer. New answers are written before they are
     used, so later steps never call the model again.
     """
-    if known is None:
-        answers = materialize(ask(prompts, complete), "answers")
-    else:
-        new = prompts.join(known.select("prompt_hash"), "prompt_hash", "left_anti")
-        answers = known.unionByName(materialize(ask(new, complete), "answers"))
+    new = distinct_prompts(prompts)
+    if known is not None:
+        new = new.join(known.select("prompt_hash"), "prompt_hash", "left_anti")
+    answers = materialize(ask(new, complete, tasks), "answers")
+    if known is not None:
+        answers = known.unionByName(answers)
     return skew_join(prompts, answers, ["prompt_hash"], key), answers
 
 
@@ -104,7 +113,7 @@ def parse_tags(answers: DataFrame) -> DataFrame:
         .withColumn("tag_state", tagjson.state())
         .withColumn("_tags", tagjson.tags())
         .select("*", *[F.col(f"_tags.{f}").alias(f) for f in TAG_FIELDS])
-        .drop("_tags", "_answer", "_kind")
+        .drop("_tags", "_answer", "_text")
     )
 
 
@@ -177,7 +186,7 @@ def tag_in_rounds(
     There are as many jobs as rounds, not as many as documents, and each round's
     judged pages are written before the next one starts.
     """
-    open_pages, known, judged = ranked_texts, None, None
+    open_pages, known, judged = materialize(ranked_texts, "ranked"), None, None
     for rank in range(1, rounds + 1):
         here = open_pages.where(F.col("rank") == rank)
         answered, known = complete_prompts(build_prompts(here), complete, known=known)

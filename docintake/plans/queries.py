@@ -214,7 +214,9 @@ def archive_truncate(spark: SparkSession, d: str) -> DataFrame:
     before = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_before")).first()
     archive.truncate_archive(spark, path)
     after = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_after"))
-    return after.select(F.lit(before["rows_before"]).alias("rows_before"), "rows_after")
+    return after.select(
+        F.lit(before["rows_before"]).cast("long").alias("rows_before"), "rows_after"
+    )
 
 
 # --- reconciliation and retries -------------------------------------------------
@@ -319,14 +321,20 @@ def title_page_top3(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ranked_texts(spark: SparkSession, d: str) -> DataFrame:
-    top = scoring.title_page_top3(_scored_pages(spark, d)).drop("prob")
-    return pagetext.title_page_text(top, fx.doc_pages(spark, d))
+    pages = pagetext.page_text(_scored_pages(spark, d))
+    return scoring.title_page_top3(pages, keep=["text"]).drop("prob")
 
 
 def title_page_text(spark: SparkSession, d: str) -> DataFrame:
     return _ranked_texts(spark, d).select("doc_id", "page_num", "rank", "text")
 
 
+def title_page_text_joined(spark: SparkSession, d: str) -> DataFrame:
+    """The same when the texts come from another table than the scores."""
+    top = scoring.title_page_top3(_scored_pages(spark, d)).drop("prob")
+    return pagetext.title_page_text(top, fx.doc_pages(spark, d))
+
+
 def overlong_pages(spark: SparkSession, d: str) -> DataFrame:
     return pagetext.overlong_pages(fx.doc_pages(spark, d))
 
@@ -581,6 +589,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         page_scores,
         title_page_top3,
         title_page_text,
+        title_page_text_joined,
         overlong_pages,
         build_prompts,
         complete_prompts,
