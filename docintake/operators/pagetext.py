@@ -23,21 +23,17 @@ def extract_pages(
     that cannot be read yields no page, which later reads as empty text.
     """
 
+    columns = ["path", "page_num", "native_text", "ocr_text"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 try:
-                    pages = list(extract(path, content))
+                    pages = [(path, *page) for page in extract(path, content)]
                 except Exception:  # a bad file must not end the job
-                    pages = []
-                yield pd.DataFrame(
-                    {
-                        "path": [path] * len(pages),
-                        "page_num": pd.Series([p[0] for p in pages], dtype="int32"),
-                        "native_text": pd.Series([p[1] for p in pages], dtype="object"),
-                        "ocr_text": pd.Series([p[2] for p in pages], dtype="object"),
-                    }
-                )
+                    continue
+                if pages:
+                    yield pd.DataFrame(pages, columns=columns)
 
     pages = files.select("path", "content").mapInPandas(
         run, "path string, page_num int, native_text string, ocr_text string"

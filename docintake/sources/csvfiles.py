@@ -14,7 +14,14 @@ SNAPSHOT_ROWS = 5000
 # with line breaks inside quotes cannot be split.
 ROWS_PER_FILE = 1_000_000
 
-_FORMAT = {"header": "true", "quote": '"', "escape": '"', "nullValue": ""}
+_FORMAT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 # Stands for a quoted empty field while a file is read, to tell it from NULL.
 _EMPTY = "\u0001empty"
