@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docintake.functions.urls import link_or_hash
-from docintake.operators.claims import CLAIM_COLUMNS, draw_order, pick, wants_download
+from docintake.operators.claims import TOP_K_MAX, pick, wants_download
+from docintake.operators.skew import running
 from docintake.operators.state import DONE, PROCESSED, UNPROCESSED
 
 ARCHIVE_COLUMNS = (
@@ -105,15 +104,15 @@ def close_plan(batch: DataFrame) -> DataFrame:
 
 def worklist(links: DataFrame, batch_size: int, seed: str) -> DataFrame:
     """The claimed links in the order they are worked through, as JSON records."""
-    rows = (
-        pick(links, wants_download(), batch_size, seed)
-        .select(*CLAIM_COLUMNS)
-        .withColumn("_draw", draw_order(seed))
-    )
-    # The window runs over the claimed batch only, never over the link table.
-    in_turn = Window.orderBy("_draw", "id")
+    rows = pick(links, wants_download(), batch_size, seed).select("_draw", "id", "pdf_link")
+    if batch_size <= TOP_K_MAX:
+        # One task numbers the claimed rows, never the link table.
+        in_turn = Window.orderBy("_draw", "id")
+        rows = rows.withColumn("position", F.row_number().over(in_turn))
+    else:
+        rows = running(rows, [], ["_draw", "id"], "worklist", counts={"position": F.lit(True)})
     return rows.select(
-        F.row_number().over(in_turn).alias("position"),
+        F.col("position").cast("int").alias("position"),
         "id",
         "pdf_link",
         link_or_hash(F.col("pdf_link")).alias("href"),
@@ -124,10 +123,3 @@ def worklist(links: DataFrame, batch_size: int, seed: str) -> DataFrame:
 def up_to(rows: DataFrame, batch_size: int) -> DataFrame:
     """The part of a worklist that one run works through."""
     return rows.where(F.col("position") <= batch_size)
-
-
-def archive_union(parts: Sequence[DataFrame]) -> DataFrame:
-    first, *rest = parts
-    for part in rest:
-        first = first.unionByName(part, allowMissingColumns=True)
-    return first

@@ -41,3 +41,9 @@ def main_frames(navigations: DataFrame) -> DataFrame:
 def download_states(items: DataFrame, state: str) -> DataFrame:
     """Download items in one state, such as ``complete`` or ``interrupted``."""
     return items.where(F.col("state") == state)
+
+
+def completed_items(changes: DataFrame, items: DataFrame) -> DataFrame:
+    """The full items of downloads that have completed. Download ids are unique."""
+    done = download_states(changes, "complete").select("download_id")
+    return items.join(done, "download_id", "left_semi")

@@ -13,9 +13,12 @@ from docintake.schemas import CLAIM_COLUMNS
 IN_PROCESS = "in_process"
 READY = "ready"
 
-# Up to this many claimed ids a claim is a top-k and its ids are broadcast; the
-# batch size is the proven bound. Larger claims take the bucketed way below.
-TOP_K_MAX = 100_000
+# Up to this batch size a claim is a plain top-k, in which every task hands that many
+# rows to the last one. Larger claims take the bucketed way below.
+TOP_K_MAX = 1_000
+
+# Up to this many ids, known beforehand, ids are broadcast: at most 0.8 MB.
+BROADCAST_IDS_MAX = 100_000
 
 
 # ``status <> 'in_process'`` is three-valued: rows without a status are not eligible.
@@ -70,9 +73,9 @@ def _pick_many(drawn: DataFrame, batch_size: int) -> DataFrame:
     """
     bucketed = drawn.withColumn("_bucket", F.substring("_draw", 1, 4))
     # At most 65,536 rows reach the driver, whatever the size of the table.
-    counts = bucketed.groupBy("_bucket").count().orderBy("_bucket").collect()
+    counts = bucketed.groupBy("_bucket").count().collect()
     taken, cut = 0, None
-    for row in counts:
+    for row in sorted(counts):
         if taken + row["count"] > batch_size:
             cut = row["_bucket"]
             break
@@ -114,7 +117,7 @@ def set_status_by_id(
     Link ids are unique, so the shuffled form has no hot key.
     """
     marks = ids.select("id").distinct().withColumn("_hit", F.lit(True))
-    if at_most is not None and at_most <= TOP_K_MAX:
+    if at_most is not None and at_most <= BROADCAST_IDS_MAX:
         marks = F.broadcast(marks)
     return (
         links.join(marks, "id", "left")

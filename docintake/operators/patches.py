@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docintake.functions.truth import non_empty
 from docintake.operators.claims import READY, is_stuck, set_status_by_id
 from docintake.operators.skew import skew_join
+from docintake.operators.state import is_processed, is_tagged
 from docintake.schemas import PATCH_COLUMNS
 
 SPARSE_COLUMNS = ("title", "author", "sector", "date", "status")
@@ -94,11 +95,22 @@ def first_rows(rows: DataFrame, key: Sequence[str], position: str, columns: Sequ
     )
 
 
-def link_lookup(links: DataFrame, urls: DataFrame) -> DataFrame:
-    """``classify`` and ``title`` of the first row of each asked link, and whether
-    the link is known at all."""
+def look_up(links: DataFrame, urls: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The asked links, each once, with the first row of those that are known."""
     asked = urls.select("pdf_link").distinct()
-    known = first_rows(links, ["pdf_link"], "id", ["id", "classify", "title"])
-    return asked.join(known, "pdf_link", "left").select(
+    return asked.join(first_rows(links, ["pdf_link"], "id", ["id", *columns]), "pdf_link", "left")
+
+
+def link_lookup(links: DataFrame, urls: DataFrame) -> DataFrame:
+    """``classify`` and ``title`` of asked links, and whether they are known at all."""
+    return look_up(links, urls, ["classify", "title"]).select(
         "pdf_link", F.col("id").isNotNull().alias("found"), "classify", "title"
     )
+
+
+def link_checks(links: DataFrame, urls: DataFrame) -> DataFrame:
+    """Whether asked links are processed and tagged; unknown links are neither."""
+    columns = ["classify", "title", "date", "filename_location"]
+    return look_up(links, urls, columns).select(
+        "pdf_link", is_processed().alias("is_processed"), is_tagged().alias("is_tagged")
+    )

@@ -10,22 +10,25 @@ from pyspark.sql import functions as F
 
 from docintake.session import materialize
 
-# At most MAX_HOT keys can be hot, which bounds what is broadcast; any other key
-# then holds less than 1/MAX_HOT of the rows.
-MAX_HOT = 500
-HOT_MIN_ROWS = 200_000
-SALTS = 64
+# A key with more rows than this is cut into parts of about this size.
+ROWS_PER_PART = 500_000
 
+# Hot keys are passed around as 64-bit hashes with a number of parts, 16 bytes each,
+# so what is broadcast is below one megabyte whatever the data. Any other key holds
+# less than 1/MAX_HOT of the rows.
+MAX_HOT = 20_000
 
-def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """The up to MAX_HOT most frequent keys with at least ``min_rows`` rows."""
+
+def hot_keys(df: DataFrame, on: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Hashes of the up to MAX_HOT most frequent keys that exceed one part, and into
+    how many parts each is cut."""
     return (
-        df.groupBy(*on)
+        df.groupBy(F.xxhash64(*on).alias("_hash"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.col("_rows").desc(), *on)
+        .where(F.col("_rows") > rows_per_part)
+        .orderBy(F.col("_rows").desc(), "_hash")
         .limit(MAX_HOT)
-        .select(*on)
+        .select("_hash", F.ceil(F.col("_rows") / rows_per_part).cast("int").alias("_parts"))
     )
 
 
@@ -35,33 +38,43 @@ def skew_join(
     on: Sequence[str],
     row_id: Sequence[str],
     how: str = "left",
-    min_rows: int = HOT_MIN_ROWS,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Equi-join of ``left`` with a ``right`` that is unique on ``on``.
 
-    Rows of a hot key are spread over SALTS tasks by a hash of ``row_id``, and the
-    one matching right row is repeated per salt. Rows with a NULL key match nothing
-    and are spread the same way. The counting pass reads the key columns only.
+    Rows of a hot key are spread over its parts by a hash of ``row_id``, and the one
+    matching right row is repeated per part. Rows with a NULL key match nothing and
+    are spread freely. A cold key whose hash equals that of a hot one is cut the
+    same way on both sides, so the result stays exact. The counting pass reads the
+    key columns only.
     """
     on = list(on)
+    for k in on:
+        if left.schema[k].dataType != right.schema[k].dataType:
+            raise ValueError(f"the sides have different types for {k}")
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    hot = F.broadcast(
-        hot_keys(left.select(*on).where(known), on, min_rows).withColumn("_hot", F.lit(True))
+    hot = F.broadcast(hot_keys(left.select(*on).where(known), on, rows_per_part))
+    spread = F.xxhash64(*row_id)
+    part = (
+        F.when(~known, spread)
+        .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
+        .otherwise(F.lit(0))
     )
-    spread = F.pmod(F.xxhash64(*row_id), F.lit(SALTS)).cast("int")
-    salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | ~known, spread).otherwise(F.lit(0))
+    cut = (
+        left.withColumn("_hash", F.xxhash64(*on))
+        .join(hot, "_hash", "left")
+        .withColumn("_part", part.cast("long"))
+        .drop("_hash", "_parts")
     )
-    copies = F.when(
-        F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))
-    ).otherwise(F.array(F.lit(0)))
+    last = F.coalesce(F.col("_parts") - 1, F.lit(0)).cast("long")
     repeated = (
         right.where(known)
-        .join(hot, on, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
+        .withColumn("_hash", F.xxhash64(*on))
+        .join(hot, "_hash", "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .drop("_hash", "_parts")
     )
-    return salted.drop("_hot").join(repeated, [*on, "_salt"], how).drop("_salt")
+    return cut.join(repeated, [*on, "_part"], how).drop("_part")
 
 
 def running(
@@ -77,7 +90,7 @@ def running(
     ``counts``: how many rows satisfy a condition, as ``name``, and how many do in
     the whole key, as ``name_total``. ``lasts``: the last value that is not NULL.
 
-    ``keys + order`` must be unique. A window over the key alone would put a whole
+    ``keys + order`` must be unique; ``keys`` may be empty. A window over the key alone would put a whole
     key into one task, so the rows are range-partitioned on ``keys + order``, which
     cuts a large key into slices; windows run within slices, and each slice starts
     from what the slices before it add up to.

@@ -32,7 +32,7 @@ from docintake.streaming import jobs
 
 BATCH = 10
 SEED = "run-1"
-BIG_BATCH = 2000
+BIG_BATCH = 2000  # beyond the plain top-k
 
 # Hosts that serve the work page itself; a parameter of the tab filter.
 OWN_HOSTS = ("http://localhost:5000", "http://127.0.0.1:5000")
@@ -140,7 +140,7 @@ def event_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def is_processed(spark: SparkSession, d: str) -> DataFrame:
-    return fx.links(spark, d).select("id", "pdf_link", state.is_processed().alias("is_processed"))
+    return patches.link_checks(fx.links(spark, d), fx.link_events(spark, d))
 
 
 def needs_tagging(spark: SparkSession, d: str) -> DataFrame:
@@ -248,6 +248,20 @@ def retry_candidates(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.retry_candidates(fx.link_events(spark, d), fx.links(spark, d))
 
 
+def completed_items(spark: SparkSession, d: str) -> DataFrame:
+    """State changes carry only a download id; the item has the link and file."""
+    events = fx.link_events(spark, d)
+    changes = events.select(
+        F.col("event_id").alias("download_id"),
+        F.when(F.col("kind") == state.DOWNLOAD, "complete")
+        .when(F.col("kind") == state.INTERRUPTED, "interrupted")
+        .otherwise("in_progress")
+        .alias("state"),
+    )
+    items = events.select(F.col("event_id").alias("download_id"), "pdf_link", "filename")
+    return browser.completed_items(changes, items)
+
+
 # --- URLs -----------------------------------------------------------------------
 
 
@@ -519,6 +533,10 @@ def big_claim(spark: SparkSession, d: str) -> DataFrame:
     return claims.claim_batch(fx.big_links(spark, d), BIG_BATCH, SEED)
 
 
+def big_worklist(spark: SparkSession, d: str) -> DataFrame:
+    return batches.worklist(fx.big_links(spark, d), BIG_BATCH, SEED)
+
+
 def big_link_state(spark: SparkSession, d: str) -> DataFrame:
     rows = state.link_state(
         batches.load(fx.big_links(spark, d)), fx.big_events(spark, d), order=fx.BIG_ORDER
@@ -581,6 +599,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         download_decision,
         retry_sweeps,
         retry_candidates,
+        completed_items,
         url_route,
         tab_filter,
         main_frames,
@@ -610,6 +629,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_rejects,
         file_arrivals,
         big_claim,
+        big_worklist,
         big_link_state,
         big_event_outcomes,
         big_reconcile,

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docintake.schemas import ARCHIVE, LINKS
 
@@ -55,9 +56,10 @@ class SnapshotTable:
     was. There is one writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = LINKS):
         self._spark = spark
         self._root = root.rstrip("/")
+        self._schema = schema
 
     def commit(self, df: DataFrame) -> None:
         version = self.version() + 1
@@ -85,8 +87,8 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         current = self._current()
         if current is None:
-            return self._spark.createDataFrame([], LINKS)
-        return self._spark.read.parquet(current["path"])
+            return self._spark.createDataFrame([], self._schema)
+        return self._spark.read.schema(self._schema).parquet(current["path"])
 
 
 def read_links(

@@ -25,29 +25,43 @@ def unique_right(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
 def test_skew_join_equals_plain_join(hot_left, unique_right, how):
-    got = skew.skew_join(hot_left, unique_right, ["key"], ["id"], how, min_rows=500)
+    got = skew.skew_join(hot_left, unique_right, ["key"], ["id"], how, rows_per_part=100)
     want = hot_left.join(unique_right, "key", how)
     assert set(got.columns) == set(want.columns)
     assert Counter(got.select(*want.columns).collect()) == Counter(want.collect())
 
 
 def test_only_frequent_keys_are_hot(hot_left):
-    assert [r["key"] for r in skew.hot_keys(hot_left, ["key"], 500).collect()] == ["hot"]
+    want = hot_left.sparkSession.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
+    got = skew.hot_keys(hot_left, ["key"], 500).collect()
+    assert [(r["_hash"], r["_parts"]) for r in got] == [(want, 2)]
     assert skew.hot_keys(hot_left, ["key"], 5000).count() == 0
-    assert skew.hot_keys(hot_left, ["key"], 1).count() <= skew.MAX_HOT
+
+
+def test_what_is_broadcast_is_small_and_of_fixed_width(hot_left):
+    hot = skew.hot_keys(hot_left, ["key"], 1)
+    assert [f.dataType.simpleString() for f in hot.schema] == ["bigint", "int"]
+    assert skew.MAX_HOT * 16 < 1 << 20
+
+
+def test_key_types_must_agree(spark, hot_left):
+    other = spark.range(3).select(F.col("id").alias("key"))
+    with pytest.raises(ValueError):
+        skew.skew_join(hot_left, other, ["key"], ["id"])
 
 
 def test_hot_rows_spread_over_many_tasks(spark, hot_left, unique_right):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = skew.skew_join(hot_left, unique_right, ["key"], ["id"], min_rows=500)
+        joined = skew.skew_join(hot_left, unique_right, ["key"], ["id"], rows_per_part=100)
         per_task = (
             joined.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
         )
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # 1,000 rows in ten parts, spread over eight tasks.
     assert len(per_task) >= 4
     assert max(r["count"] for r in per_task) < 600
 
@@ -101,3 +115,11 @@ def test_running_cuts_a_large_key_into_slices(spark, tmp_path):
         assert "_slice" in plan
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_running_without_a_key_numbers_all_rows(spark):
+    df = spark.range(5000).select("id", F.md5(F.col("id").cast("string")).alias("draw"))
+    got = skew.running(df, [], ["draw"], "all", counts={"n": F.lit(True)}).orderBy("n")
+    rows = got.collect()
+    assert [r["n"] for r in rows] == list(range(1, 5001))
+    assert [r["draw"] for r in rows] == sorted(r["draw"] for r in rows)
