@@ -9,6 +9,7 @@ RAW_LABEL = "Presentation?"
 MIXED = 3
 
 
+# Labels and the class each stands for; anything else is 0.
 def opinion(raw: Column) -> Column:
     return F.when(raw == "Yes", 1).when(raw == "No", 2).when(raw == "50/50", 3).otherwise(0)
 

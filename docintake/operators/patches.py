@@ -31,14 +31,17 @@ def last_patch(patch: DataFrame, ordinal: str) -> DataFrame:
     )
 
 
-def merge_patch(links: DataFrame, patch: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+def merge_patch(
+    links: DataFrame, patch: DataFrame, ordinal: str = "ordinal", changed_only: bool = False
+) -> DataFrame:
     """Overwrite six columns, also with NULL, and set the status to ready.
 
     Every row with a patched link is written; where several patches name the same
-    link, the last one stands.
+    link, the last one stands. ``changed_only`` leaves out the rows without a patch.
     """
     require_columns(patch, [*PATCH_COLUMNS, "pdf_link", ordinal])
-    joined = skew_join(links, last_patch(patch, ordinal), ["pdf_link"], ["id"])
+    how = "inner" if changed_only else "left"
+    joined = skew_join(links, last_patch(patch, ordinal), ["pdf_link"], ["id"], how)
     hit = F.col("_patch").isNotNull()
     written = {c: F.when(hit, F.col(f"_patch.{c}")).otherwise(F.col(c)) for c in PATCH_COLUMNS}
     written["status"] = F.when(hit, READY).otherwise(F.col("status"))
@@ -56,14 +59,17 @@ def merge_count(links: DataFrame, patch: DataFrame) -> DataFrame:
     )
 
 
-def sparse_patch(links: DataFrame, patch: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+def sparse_patch(
+    links: DataFrame, patch: DataFrame, ordinal: str = "ordinal", changed_only: bool = False
+) -> DataFrame:
     """Write only the non-empty fields of each patch; later patches win per field."""
     latest = [
         F.max(F.when(non_empty(F.col(c)), F.struct(F.col(ordinal), F.col(c)))).alias(f"_p_{c}")
         for c in SPARSE_COLUMNS
     ]
     fields = patch.groupBy("pdf_link").agg(*latest)
-    joined = skew_join(links, fields, ["pdf_link"], ["id"])
+    how = "inner" if changed_only else "left"
+    joined = skew_join(links, fields, ["pdf_link"], ["id"], how)
     written = {c: F.coalesce(F.col(f"_p_{c}.{c}"), F.col(c)) for c in SPARSE_COLUMNS}
     return joined.withColumns(written).select(*links.columns)
 
@@ -80,6 +86,13 @@ def release_links(links: DataFrame, ids: DataFrame, at_most: int | None = None)
     return set_status_by_id(links, ids, READY, at_most)
 
 
+def released(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """Only the rows with a listed id, as ready."""
+    return links.join(ids.select("id").distinct(), "id", "left_semi").withColumn(
+        "status", F.lit(READY)
+    )
+
+
 def reset_null_tags(links: DataFrame) -> DataFrame:
     """Free class-1 rows that got stuck in process without a title. No shuffle."""
     return links.withColumn("status", F.when(is_stuck(), READY).otherwise(F.col("status")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docintake.functions.scores import PLACES, best_class, logistic, margin
 
+# Fixed value: pages tried per document.
 TOP_PAGES = 3
 
 

@@ -17,6 +17,7 @@ from docintake.functions.truth import guard_open, is_empty, non_empty
 from docintake.operators.skew import running, skew_join
 from docintake.schemas import TAG_FIELDS
 
+# Event kinds and working statuses.
 DOWNLOAD = "download_complete"
 INTERRUPTED = "download_interrupted"
 STATE_KINDS = ("html_seen", "maybe_pdf", "tab_opened", DOWNLOAD)

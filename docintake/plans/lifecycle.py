@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docintake.operators import batches, claims, patches, state
 from docintake.schemas import LINKS
+from docintake.session import materialize
 from docintake.sources.archive import append_archive
 from docintake.sources.links import SnapshotTable
 
@@ -31,15 +33,15 @@ class Intake:
         self,
         batch_size: int,
         seed: str,
-        how: Callable[[DataFrame, int, str], DataFrame] = claims.claim_batch,
+        eligible: Callable[[], Column] = claims.wants_download,
     ) -> DataFrame:
         """Close the old batch, claim a new one, and give its ids and links. The
         result is empty when nothing could be claimed."""
         self.close_batch(f"close-{seed}")
-        claimed, after = claims.claim(self.links.read(), batch_size, seed, how)
-        rows = batches.load(claimed).select(*BATCH.names)
-        self.batch.commit(rows)
-        self.links.commit(after)
+        picked = claims.pick(self.links.read(), eligible(), batch_size, seed)
+        rows = materialize(picked.select(*LINKS.names), "claimed")
+        self.batch.commit(batches.load(rows))
+        self.links.change(rows.withColumn("status", F.lit(claims.IN_PROCESS)))
         return batches.with_status(self.batch.read(), state.UNPROCESSED).select("id", "pdf_link")
 
     def record(self, events: DataFrame, run_id: str) -> None:
@@ -54,9 +56,11 @@ class Intake:
         """Archive what is processed, release what was not touched, forget the rest."""
         batch = self.batch.read()
         append_archive(batches.processed_archive(batch), self.archive, run_id)
-        waiting = batches.with_status(batch, state.UNPROCESSED).select("id")
-        self.links.commit(patches.release_links(self.links.read(), waiting))
+        waiting = batches.with_status(batch, state.UNPROCESSED)
+        self.links.change(patches.released(self.links.read(), waiting))
         self.batch.commit(batches.empty_like(batch))
 
     def merge(self, patch: DataFrame, ordinal: str = "ordinal") -> None:
-        self.links.commit(patches.merge_patch(self.links.read(), patch, ordinal))
+        self.links.change(
+            patches.merge_patch(self.links.read(), patch, ordinal, changed_only=True)
+        )

@@ -25,6 +25,7 @@ from docintake.operators import (
 )
 from docintake.operators.skew import skew_join
 from docintake.plans import fixtures as fx
+from docintake.plans.lifecycle import Intake
 from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
 from docintake.session import scratch_path
 from docintake.sources import archive, arrivals, csvfiles
@@ -194,6 +195,16 @@ def batch_close(spark: SparkSession, d: str) -> DataFrame:
     return batches.close_plan(_state(spark, d))
 
 
+def intake_cycle(spark: SparkSession, d: str) -> DataFrame:
+    """The link table after one batch was claimed, worked and closed."""
+    intake = Intake(spark, scratch_path(spark, "intake"))
+    intake.links.commit(fx.links(spark, d))
+    intake.start_batch(BATCH, SEED)
+    intake.record(fx.link_events(spark, d), "events")
+    intake.close_batch("close")
+    return intake.links.read().select("id", "pdf_link", "status", "classify", "title")
+
+
 # --- archive ------------------------------------------------------------------
 
 
@@ -591,6 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         status_counts,
         batch_append,
         batch_close,
+        intake_cycle,
         archive_append,
         archive_on_download,
         archive_truncate,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from docintake.schemas import DATASET_CSV, EXPORT_COLUMNS, LABEL_CSV
 
+# Fixed value: rows of a limited snapshot.
 SNAPSHOT_ROWS = 5000
 
 # Many part files of limited size can be read back in parallel even though a file

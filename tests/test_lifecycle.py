@@ -48,3 +48,15 @@ def test_nothing_to_claim(spark, tmp_path):
     intake = Intake(spark, str(tmp_path / "intake"))
     intake.links.commit(make(spark, [{"id": 1, "pdf_link": "u", "status": "in_process"}]))
     assert intake.start_batch(3, "one").isEmpty()
+
+
+def test_merged_patches_change_only_their_rows(spark, tmp_path):
+    from test_patches import patch
+
+    intake = Intake(spark, str(tmp_path / "intake"))
+    intake.links.commit(
+        make(spark, [{"id": n, "pdf_link": f"u{n}", "status": "in_process"} for n in range(4)])
+    )
+    intake.merge(patch(spark, {"pdf_link": "u2", "ordinal": 1, "classify": 1, "title": "T"}))
+    assert statuses(intake.links) == {0: "in_process", 1: "in_process", 2: "ready", 3: "in_process"}
+    assert {r["id"]: r["title"] for r in intake.links.read().collect()}[2] == "T"

@@ -84,6 +84,30 @@ def test_snapshot_table_keeps_the_version_being_read(spark, links, tmp_path):
     assert read_links(spark, env).count() == 3
 
 
+def test_changes_replace_rows_without_a_new_snapshot(spark, links, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.change(links.where("id = 4"))
+    assert [r["id"] for r in table.read().collect()] == [4]
+    table.commit(links)
+    table.change(table.read().where("id IN (1, 2)").withColumn("status", F.lit("x")))
+    table.change(table.read().where("id = 2").withColumn("status", F.lit(None).cast("string")))
+    want = {1: "x", 2: None, 3: "processing", 4: None}
+    assert {r["id"]: r["status"] for r in table.read().collect()} == want
+    assert table.read().columns == LINKS.names
+    table.compact()
+    assert {r["id"]: r["status"] for r in table.read().collect()} == want
+
+
+def test_filters_reach_both_parts_of_a_changed_table(spark, links, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table.commit(links)
+    table.change(links.where("id = 1"))
+    rows = table.read().where("status <> 'in_process'").select("id", "status")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(status), Not(EqualTo(status,in_process))]" in plan
+    assert "ReadSchema: struct<id:bigint,status:string>" in plan
+
+
 def test_unknown_environment():
     with pytest.raises(ValueError):
         choose({}, "staging")
