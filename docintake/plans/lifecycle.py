@@ -1,7 +1,9 @@
 """The whole way of a batch: load, record events, close.
 
-Each step may be run again after it failed: archive runs replace themselves, and a
-table changes only when its new version is complete.
+The batch is kept as it was loaded, together with a log of its events; its state and
+the archive rows are always derived from the two. Every step may be run again after
+it failed: log and archive parts replace themselves, and a table changes only when
+its new version is complete.
 """
 
 from __future__ import annotations
@@ -13,19 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docintake.operators import batches, claims, patches, state
-from docintake.schemas import LINKS
+from docintake.schemas import EVENTS, LINKS
 from docintake.session import materialize
 from docintake.sources.archive import append_archive
-from docintake.sources.links import SnapshotTable
+from docintake.sources.tables import SnapshotTable, read_parts, replace_part
 
 BATCH = T.StructType([*LINKS.fields, T.StructField("uncertainty", T.BooleanType())])
 
 
 class Intake:
-    """Link table, working batch and archive below one folder."""
+    """Link table, working batch, event logs and archive below one folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.links = SnapshotTable(spark, f"{root}/links")
+        self._spark = spark
+        self._root = root
+        self.links = SnapshotTable(spark, f"{root}/links", LINKS)
         self.batch = SnapshotTable(spark, f"{root}/batch", BATCH)
         self.archive = f"{root}/archive"
 
@@ -37,26 +41,39 @@ class Intake:
     ) -> DataFrame:
         """Close the old batch, claim a new one, and give its ids and links. The
         result is empty when nothing could be claimed."""
-        self.close_batch(f"close-{seed}")
+        self.close_batch()
         picked = claims.pick(self.links.read(), eligible(), batch_size, seed)
         rows = materialize(picked.select(*LINKS.names), "claimed")
         self.batch.commit(batches.load(rows))
         self.links.change(rows.withColumn("status", F.lit(claims.IN_PROCESS)))
-        return batches.with_status(self.batch.read(), state.UNPROCESSED).select("id", "pdf_link")
+        return self.batch.read().select("id", "pdf_link")
+
+    def _log(self) -> str:
+        """Each loaded batch has a log of its own."""
+        return f"{self._root}/events/batch-{self.batch.version():08d}"
 
     def record(self, events: DataFrame, run_id: str) -> None:
-        """Bring the batch up to date with its complete event log, and archive the
-        downloads of it."""
-        batch = self.batch.read()
-        rows = state.archive_on_download(batch, events).select(*batches.ARCHIVE_COLUMNS)
-        append_archive(rows, self.archive, run_id)
-        self.batch.commit(state.link_state(batch, events))
-
-    def close_batch(self, run_id: str) -> None:
-        """Archive what is processed, release what was not touched, forget the rest."""
-        batch = self.batch.read()
-        append_archive(batches.processed_archive(batch), self.archive, run_id)
-        waiting = batches.with_status(batch, state.UNPROCESSED)
+        """Add events to the log of the current batch."""
+        replace_part(events.select(*EVENTS.names), self._log(), "run_id", run_id)
+
+    def events(self) -> DataFrame:
+        return read_parts(self._spark, self._log(), EVENTS)
+
+    def state(self) -> DataFrame:
+        return state.link_state(self.batch.read(), self.events())
+
+    def close_batch(self) -> None:
+        """Archive downloads and what is processed, release what was not touched,
+        forget the rest."""
+        batch, run_id = self.batch.read(), f"batch-{self.batch.version():08d}"
+        rows = materialize(self.state(), "state")
+        downloads = state.archive_on_download(batch, self.events())
+        append_archive(
+            downloads.select(*batches.ARCHIVE_COLUMNS).unionByName(batches.processed_archive(rows)),
+            self.archive,
+            run_id,
+        )
+        waiting = batches.with_status(rows, state.UNPROCESSED)
         self.links.change(patches.released(self.links.read(), waiting))
         self.batch.commit(batches.empty_like(batch))
 

@@ -8,9 +8,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docintake.functions.scores import margin
-from docintake.functions.truth import non_empty
 from docintake.operators import (
     batches,
     browser,
@@ -29,6 +29,7 @@ from docintake.plans.lifecycle import Intake
 from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
 from docintake.session import scratch_path
 from docintake.sources import archive, arrivals, csvfiles
+from docintake.sources.tables import read_parts
 from docintake.streaming import jobs
 
 BATCH = 10
@@ -201,7 +202,7 @@ def intake_cycle(spark: SparkSession, d: str) -> DataFrame:
     intake.links.commit(fx.links(spark, d))
     intake.start_batch(BATCH, SEED)
     intake.record(fx.link_events(spark, d), "events")
-    intake.close_batch("close")
+    intake.close_batch()
     return intake.links.read().select("id", "pdf_link", "status", "classify", "title")
 
 
@@ -497,25 +498,24 @@ def _sink(spark: SparkSession) -> tuple[str, str]:
 
 
 def stream_link_state(spark: SparkSession, d: str) -> DataFrame:
-    path, checkpoint = _sink(spark)
-    events = _event_stream(spark, d)
-    jobs.stream_link_writes(events, path, checkpoint).awaitTermination()
-    log = jobs.read_log(spark, path, state.last_writes(fx.link_events(spark, d)))
-    return jobs.link_state_of(_working(spark, d), log).select(*STATE_COLUMNS)
+    table = jobs.writes_table(spark, scratch_path(spark, "writes"), fx.link_events(spark, d))
+    _, checkpoint = _sink(spark)
+    jobs.stream_link_writes(_event_stream(spark, d), table, checkpoint).awaitTermination()
+    return state.apply_writes(_working(spark, d), table.read()).select(*STATE_COLUMNS)
 
 
 def stream_archive(spark: SparkSession, d: str) -> DataFrame:
     path, checkpoint = _sink(spark)
     jobs.stream_downloads(_event_stream(spark, d), path, checkpoint).awaitTermination()
-    log = jobs.read_log(spark, path, fx.link_events(spark, d))
-    return jobs.archive_of(_working(spark, d), log).select("event_id", *ARCHIVED)
+    log = read_parts(spark, path, fx.link_events(spark, d).schema)
+    return state.archive_on_download(_working(spark, d), log).select("event_id", *ARCHIVED)
 
 
 def stream_retry(spark: SparkSession, d: str) -> DataFrame:
-    path, checkpoint = _sink(spark)
-    jobs.stream_retry(_event_stream(spark, d), path, checkpoint).awaitTermination()
-    log = jobs.read_log(spark, path, jobs.retry_counts(fx.link_events(spark, d)))
-    return jobs.latest(log, ["client_id"]).select("client_id", "sweeps")
+    table = jobs.retry_table(spark, scratch_path(spark, "retries"))
+    _, checkpoint = _sink(spark)
+    jobs.stream_retry(_event_stream(spark, d), table, checkpoint).awaitTermination()
+    return table.read().select("client_id", "sweeps")
 
 
 def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
@@ -523,7 +523,8 @@ def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     jobs.stream_rejects(
         _event_stream(spark, d), fx.links(spark, d), path, checkpoint
     ).awaitTermination()
-    return spark.read.parquet(path).select("event_id", "pdf_link", "outcome")
+    schema = "event_id long, pdf_link string, outcome int"
+    return read_parts(spark, path, T.StructType.fromDDL(schema))
 
 
 def file_arrivals(spark: SparkSession, d: str) -> DataFrame:
@@ -534,7 +535,8 @@ def file_arrivals(spark: SparkSession, d: str) -> DataFrame:
     jobs.stream_files(
         arrivals.file_stream(spark, folder, files_per_trigger=2), path, checkpoint
     ).awaitTermination()
-    return spark.read.parquet(path).agg(F.sum("length").alias("total_bytes"))
+    arrived = read_parts(spark, path, T.StructType.fromDDL("name string, length long"))
+    return arrived.agg(F.sum("length").alias("total_bytes"))
 
 
 # --- the large fixtures -----------------------------------------------------------------

@@ -6,22 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docintake.schemas import ARCHIVE
+from docintake.sources.tables import replace_part
 
 
 def append_archive(rows: DataFrame, path: str, run_id: str) -> None:
     """Append rows with the time of writing.
 
-    Each run owns one partition of the archive and replaces it when it runs again,
-    so a repeated job or micro-batch adds nothing twice.
+    Each run owns one part of the archive.
     """
-    (
-        rows.withColumn("last_updated", F.current_timestamp())
-        .withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+    replace_part(rows.withColumn("last_updated", F.current_timestamp()), path, "run_id", run_id)
 
 
 def truncate_archive(spark: SparkSession, path: str) -> None:

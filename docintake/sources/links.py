@@ -5,15 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docintake.schemas import ARCHIVE, LINKS
-
-
-_VERSION = T.StructField("_version", T.IntegerType())
+from docintake.sources.tables import SnapshotTable
 
 
 @dataclass(frozen=True)
@@ -52,90 +47,11 @@ def read_jdbc(
     )
 
 
-class SnapshotTable:
-    """A table as a full snapshot plus the rows changed since, in plain Parquet.
-
-    Claiming ten links out of billions must not rewrite the table, so a change adds
-    only the new images of the changed rows. Reading takes the newest image of each
-    changed row, and the snapshot without those rows; filters and column lists still
-    reach both scans. ``compact`` folds the changes into a new snapshot.
-
-    A small table of versions names the folders that count. A job that dies before
-    it adds its version leaves the table as it was. There is one writer at a time.
-    """
-
-    VERSIONS = "version long, kind string, path string"
-
-    def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType = LINKS, key: str = "id"
-    ):
-        self._spark = spark
-        self._root = root.rstrip("/")
-        self._schema = schema
-        self._key = key
-
-    def commit(self, df: DataFrame) -> None:
-        """Make ``df`` the whole table."""
-        self._add(df.select(*self._schema.names), "snapshot")
-
-    def change(self, rows: DataFrame) -> None:
-        """Replace the rows that have the keys of ``rows``; keys must be unique."""
-        self._add(rows.select(*self._schema.names), "change")
-
-    def compact(self) -> None:
-        self.commit(self.read())
-
-    def _add(self, df: DataFrame, kind: str) -> None:
-        version = self.version() + 1
-        path = f"{self._root}/data/v{version:08d}"
-        df.withColumn("_version", F.lit(version)).write.mode("overwrite").parquet(path)
-        self._spark.createDataFrame([(version, kind, path)], self.VERSIONS).write.mode(
-            "append"
-        ).parquet(f"{self._root}/versions")
-
-    def _live(self) -> list:
-        """The newest snapshot and the changes after it; one small row per version."""
-        try:
-            rows = self._spark.read.schema(self.VERSIONS).parquet(f"{self._root}/versions")
-            versions = sorted(rows.collect())
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        start = max((n for n, v in enumerate(versions) if v["kind"] == "snapshot"), default=0)
-        return versions[start:]
-
-    def version(self) -> int:
-        live = self._live()
-        return live[-1]["version"] if live else 0
-
-    def read(self) -> DataFrame:
-        live = self._live()
-        names = self._schema.names
-        files = self._spark.read.schema(T.StructType([*self._schema.fields, _VERSION]))
-        changed = [v["path"] for v in live if v["kind"] == "change"]
-        if not live:
-            return self._spark.createDataFrame([], self._schema)
-        if not changed:
-            return files.parquet(live[0]["path"]).select(*names)
-        rest = [c for c in names if c != self._key]
-        newest = (
-            files.parquet(*changed)
-            .groupBy(self._key)
-            .agg(F.max(F.struct("_version", *rest)).alias("_row"))
-            .select(*[self._key if c == self._key else F.col(f"_row.{c}").alias(c) for c in names])
-        )
-        if live[0]["kind"] == "change":
-            return newest
-        base = files.parquet(live[0]["path"]).select(*names)
-        return base.join(newest.select(self._key), self._key, "left_anti").select(*names).unionByName(newest)
-
-
 def read_links(
     spark: SparkSession, environment: Environment, **jdbc_split: int
 ) -> DataFrame:
     if environment.link_snapshots:
-        return SnapshotTable(spark, environment.link_snapshots).read()
+        return SnapshotTable(spark, environment.link_snapshots, LINKS).read()
     return read_jdbc(spark, environment.jdbc, "pdf_links", **jdbc_split)
 
 

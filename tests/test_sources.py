@@ -7,7 +7,8 @@ from docintake.operators import batches, browser, labels
 from docintake.schemas import ARCHIVE, LINKS
 from docintake.session import shared_dir
 from docintake.sources import archive, csvfiles
-from docintake.sources.links import Environment, SnapshotTable, choose, read_archive, read_links
+from docintake.sources.links import Environment, choose, read_archive, read_links
+from docintake.sources.tables import SnapshotTable
 
 
 def test_label_file(spark, tmp_path):
@@ -72,7 +73,7 @@ def test_archive_append_repeat_and_truncate(spark, links, tmp_path):
 
 
 def test_snapshot_table_keeps_the_version_being_read(spark, links, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), LINKS)
     assert table.version() == 0 and table.read().count() == 0
     table.commit(links)
     before = table.read()
@@ -85,7 +86,7 @@ def test_snapshot_table_keeps_the_version_being_read(spark, links, tmp_path):
 
 
 def test_changes_replace_rows_without_a_new_snapshot(spark, links, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), LINKS)
     table.change(links.where("id = 4"))
     assert [r["id"] for r in table.read().collect()] == [4]
     table.commit(links)
@@ -99,7 +100,7 @@ def test_changes_replace_rows_without_a_new_snapshot(spark, links, tmp_path):
 
 
 def test_filters_reach_both_parts_of_a_changed_table(spark, links, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), LINKS)
     table.commit(links)
     table.change(links.where("id = 1"))
     rows = table.read().where("status <> 'in_process'").select("id", "status")
