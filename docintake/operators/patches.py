@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docintake.functions.truth import non_empty
 from docintake.operators.claims import READY, is_stuck, set_status_by_id
-from docintake.operators.skew import skew_join
+from docintake.operators.skew import is_small, skew_join
 from docintake.operators.state import is_processed, is_tagged
 from docintake.schemas import PATCH_COLUMNS
 
@@ -41,7 +41,8 @@ def merge_patch(
     """
     require_columns(patch, [*PATCH_COLUMNS, "pdf_link", ordinal])
     how = "inner" if changed_only else "left"
-    joined = skew_join(links, last_patch(patch, ordinal), ["pdf_link"], ["id"], how)
+    last = last_patch(patch, ordinal)
+    joined = skew_join(links, last, ["pdf_link"], ["id"], how, small=is_small(patch))
     hit = F.col("_patch").isNotNull()
     written = {c: F.when(hit, F.col(f"_patch.{c}")).otherwise(F.col(c)) for c in PATCH_COLUMNS}
     written["status"] = F.when(hit, READY).otherwise(F.col("status"))
@@ -69,7 +70,7 @@ def sparse_patch(
     ]
     fields = patch.groupBy("pdf_link").agg(*latest)
     how = "inner" if changed_only else "left"
-    joined = skew_join(links, fields, ["pdf_link"], ["id"], how)
+    joined = skew_join(links, fields, ["pdf_link"], ["id"], how, small=is_small(patch))
     written = {c: F.coalesce(F.col(f"_p_{c}.{c}"), F.col(c)) for c in SPARSE_COLUMNS}
     return joined.withColumns(written).select(*links.columns)
 

@@ -19,6 +19,25 @@ ROWS_PER_PART = 500_000
 MAX_HOT = 20_000
 
 
+# A table within both bounds may be broadcast.
+SMALL_ROWS = 10_000
+SMALL_BYTES = 8 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a table is small enough to broadcast, by a look at its rows.
+
+    Fetches the sizes of at most SMALL_ROWS + 1 rows, and reads only the first
+    partitions of a large table.
+    """
+    width = reduce(
+        lambda a, b: a + b,
+        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns],
+    )
+    sizes = df.select(width.alias("bytes")).take(SMALL_ROWS + 1)
+    return len(sizes) <= SMALL_ROWS and sum(r["bytes"] for r in sizes) <= SMALL_BYTES
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Hashes of the up to MAX_HOT most frequent keys that exceed one part, and into
     how many parts each is cut."""
@@ -39,9 +58,14 @@ def skew_join(
     row_id: Sequence[str],
     how: str = "left",
     rows_per_part: int = ROWS_PER_PART,
+    small: bool = False,
 ) -> DataFrame:
     """Equi-join of ``left`` with a ``right`` that is unique on ``on``.
 
+    ``small`` says that ``right`` has no more rows than a table that ``is_small``
+    has accepted; then it is broadcast and ``left`` stays where it is. Otherwise
+    both sides are shuffled, with hot keys cut up.
+
     Rows of a hot key are spread over its parts by a hash of ``row_id``, and the one
     matching right row is repeated per part. Rows with a NULL key match nothing and
     are spread freely. A cold key whose hash equals that of a hot one is cut the
@@ -52,6 +76,8 @@ def skew_join(
     for k in on:
         if left.schema[k].dataType != right.schema[k].dataType:
             raise ValueError(f"the sides have different types for {k}")
+    if small:
+        return left.join(F.broadcast(right), on, how)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
     hot = F.broadcast(hot_keys(left.select(*on).where(known), on, rows_per_part))
     spread = F.xxhash64(*row_id)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docintake.functions import tagjson
 from docintake.functions.truth import guard_open, is_empty, non_empty
-from docintake.operators.skew import running, skew_join
+from docintake.operators.skew import is_small, running, skew_join
 from docintake.schemas import TAG_FIELDS
 
 # Event kinds and working statuses.
@@ -98,6 +98,15 @@ def first_of_batch(batch: DataFrame, key: Sequence[str], columns: Sequence[str]
     return batch.groupBy(*key).agg(first).withColumn("starts_open", F.col("row.starts_open"))
 
 
+def events_of(
+    batch: DataFrame, events: DataFrame, key: Sequence[str], small: bool
+) -> DataFrame:
+    """Without the events of other links, if that can be told without a shuffle."""
+    if not small:
+        return events
+    return events.join(F.broadcast(batch.select(*key).distinct()), list(key), "left_semi")
+
+
 def _stamp(column: str, order: Sequence[str]) -> Column:
     return F.struct(*[F.col(f"{column}.{c}") for c in order])
 
@@ -107,10 +116,11 @@ def apply_writes(
     writes: DataFrame,
     key: Sequence[str] = KEY,
     order: Sequence[str] = ORDER,
+    small: bool = False,
 ) -> DataFrame:
     """The batch after its events. Columns that no event wrote keep their value."""
     net = first_of_batch(batch, key).drop("row").join(writes, list(key))
-    rows = skew_join(batch, net, key, ["id"])
+    rows = skew_join(batch, net, key, ["id"], small=small)
 
     last = F.col("w_last")
     download = F.col("w_last.kind") == DOWNLOAD
@@ -161,7 +171,9 @@ def link_state(
     key: Sequence[str] = KEY,
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
-    return apply_writes(batch, last_writes(events, key, order), key, order)
+    small = is_small(batch)
+    writes = last_writes(events_of(batch, events, key, small), key, order)
+    return apply_writes(batch, writes, key, order, small)
 
 
 # --- the outcome of each single event ---------------------------------------
@@ -184,15 +196,18 @@ def _with_guard(
     key: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str] = (),
+    how: str = "left",
 ) -> DataFrame:
     """Events with ``known`` and, for known links, ``row`` and ``open``: whether the
     link still wanted tags when the event arrived."""
+    small = is_small(batch)
+    closings = guard_closings(events_of(batch, events, key, small), key, order)
     per_link = (
         first_of_batch(batch, key, columns)
-        .join(guard_closings(events, key, order), list(key), "left")
+        .join(closings, list(key), "left")
         .withColumn("known", F.lit(True))
     )
-    joined = skew_join(read_answers(events), per_link, key, order)
+    joined = skew_join(read_answers(events), per_link, key, order, how, small=small)
     here = F.struct(*order)
     return joined.withColumn("known", F.coalesce("known", F.lit(False))).withColumn(
         "open",
@@ -240,8 +255,10 @@ def archive_on_download(
     """
     key, order = list(key), list(order)
     downloads = writing_events(events).where(_is_download())
-    guarded = _with_guard(batch, downloads, key, order, [*TAG_FIELDS, "filename_location"])
-    known = guarded.where(F.col("known")).withColumn("outcome", _outcome())
+    first = [*TAG_FIELDS, "filename_location"]
+    known = _with_guard(batch, downloads, key, order, first, "inner").withColumn(
+        "outcome", _outcome()
+    )
     in_force = running(
         known.drop("tag_json", "w_close"),
         key,

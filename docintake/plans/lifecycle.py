@@ -66,6 +66,8 @@ class Intake:
         """Archive downloads and what is processed, release what was not touched,
         forget the rest."""
         batch, run_id = self.batch.read(), f"batch-{self.batch.version():08d}"
+        if batch.isEmpty():
+            return
         rows = materialize(self.state(), "state")
         downloads = state.archive_on_download(batch, self.events())
         append_archive(

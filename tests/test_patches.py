@@ -1,7 +1,7 @@
 import pytest
 from test_claims import make
 
-from docintake.operators import patches
+from docintake.operators import patches, skew
 from docintake.schemas import PATCH_COLUMNS
 
 SCHEMA = (
@@ -22,6 +22,13 @@ def links(spark):
     )
 
 
+@pytest.fixture(params=[True, False], autouse=True)
+def either_join(request, monkeypatch):
+    """Every test runs with the broadcast and with the shuffled join."""
+    if not request.param:
+        monkeypatch.setattr(skew, "SMALL_ROWS", -1)
+
+
 def patch(spark, *rows):
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], SCHEMA)

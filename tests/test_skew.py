@@ -44,6 +44,23 @@ def test_what_is_broadcast_is_small_and_of_fixed_width(hot_left):
     assert skew.MAX_HOT * 16 < 1 << 20
 
 
+def test_small_tables_are_told_by_rows_and_bytes(spark, monkeypatch):
+    rows = spark.createDataFrame([(n, "x" * 100) for n in range(50)], "id long, text string")
+    assert skew.is_small(rows) and skew.is_small(rows.limit(0))
+    monkeypatch.setattr(skew, "SMALL_BYTES", 50 * 100)
+    assert not skew.is_small(rows)
+    monkeypatch.undo()
+    monkeypatch.setattr(skew, "SMALL_ROWS", 49)
+    assert not skew.is_small(rows)
+
+
+def test_a_small_right_side_is_joined_without_a_shuffle(hot_left, unique_right):
+    rows = skew.skew_join(hot_left, unique_right, ["key"], ["id"], small=True)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert Counter(rows.collect()) == Counter(hot_left.join(unique_right, "key", "left").collect())
+
+
 def test_key_types_must_agree(spark, hot_left):
     other = spark.range(3).select(F.col("id").alias("key"))
     with pytest.raises(ValueError):

@@ -4,7 +4,7 @@ import random
 import pytest
 from fold import TAGS, Batch
 
-from docintake.operators import batches, state
+from docintake.operators import batches, skew, state
 from docintake.schemas import EVENTS, LINKS
 
 KINDS = ("html_seen", "maybe_pdf", "tab_opened", "download_complete", "download_interrupted")
@@ -118,7 +118,10 @@ def random_case(rnd, urls):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_aggregate_equals_fold(spark, seed):
+@pytest.mark.parametrize("small", [True, False])
+def test_aggregate_equals_fold(spark, seed, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(skew, "SMALL_ROWS", -1)
     check(spark, *random_case(random.Random(seed), 400))
 
 
