@@ -41,6 +41,36 @@ def extract_pages(
     return pages.withColumn("doc_id", base_name(F.col("path"))).drop("path")
 
 
+def read_target_pages(
+    wanted: DataFrame,
+    read_native: Callable[[str, int], str],
+    read_ocr: Callable[[str, int], str],
+) -> DataFrame:
+    """Both texts of single pages, for readers that open a file themselves.
+
+    Only the wanted pages (``path, page_num``) are rendered and no file content is
+    shuffled. A page that a reader cannot read has an empty text there.
+    """
+
+    def text(read: Callable[[str, int], str], path: str, page: int) -> str:
+        try:
+            return read(path, page) or ""
+        except Exception:  # a bad file must not end the job
+            return ""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            places = list(zip(batch["path"], batch["page_num"]))
+            yield batch.assign(
+                native_text=[text(read_native, p, int(n)) for p, n in places],
+                ocr_text=[text(read_ocr, p, int(n)) for p, n in places],
+            )
+
+    return wanted.select("path", F.col("page_num").cast("int")).mapInPandas(
+        run, "path string, page_num int, native_text string, ocr_text string"
+    )
+
+
 def tagger_text(native: Column, ocr: Column) -> Column:
     """Both texts of a page, each shortened, joined without a separator."""
     empty = F.lit("")

@@ -201,13 +201,36 @@ def tag_in_rounds(
     return resolve_verdicts(judged)
 
 
+def _of_class(rows: DataFrame, docs: DataFrame, pred: int) -> DataFrame:
+    wanted = docs.where(F.col("pred") == pred).select("doc_id")
+    return rows.join(wanted, "doc_id", "left_semi")
+
+
+def _routed(docs: DataFrame, one: DataFrame, three: DataFrame) -> DataFrame:
+    results = one.unionByName(three)
+    return (
+        docs.select("doc_id", "pred")
+        .join(results, "doc_id", "left")
+        .withColumn("result", F.coalesce("result", F.lit("none")))
+    )
+
+
 def tag_all(docs: DataFrame, first_page: DataFrame, ranked: DataFrame) -> DataFrame:
     """Route by class: 1 to the first-page tagger, 3 to the staged one, others get
-    no tags. ``docs`` holds ``doc_id, pred``."""
-    by_class = lambda c: docs.where(F.col("pred") == c).select("doc_id")
-    one = tag_first_page(first_page.join(by_class(1), "doc_id", "left_semi"))
-    three = tag_resolve(ranked.join(by_class(3), "doc_id", "left_semi"))
-    both = one.unionByName(three)
-    return docs.select("doc_id", "pred").join(both, "doc_id", "left").withColumn(
-        "result", F.coalesce("result", F.lit("none"))
-    )
+    no tags. ``docs`` holds ``doc_id, pred``; the pages already have answers."""
+    one = tag_first_page(_of_class(first_page, docs, 1))
+    three = tag_resolve(_of_class(ranked, docs, 3))
+    return _routed(docs, one, three)
+
+
+def tag_documents(
+    docs: DataFrame, first_page: DataFrame, ranked: DataFrame, complete: Complete
+) -> DataFrame:
+    """The same from page texts, asking the model only what each class needs.
+
+    Leave documents that already have tags out of ``docs``.
+    """
+    prompts = build_prompts(_of_class(first_page, docs, 1))
+    answered, _ = complete_prompts(prompts, complete)
+    three = tag_in_rounds(_of_class(ranked, docs, 3), complete)
+    return _routed(docs, tag_first_page(answered), three)

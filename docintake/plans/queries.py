@@ -425,6 +425,14 @@ def tag_all(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def tag_documents(spark: SparkSession, d: str) -> DataFrame:
+    """From texts to tags, asking the stand-in model about what each class needs."""
+    first = pagetext.first_page_texts(fx.doc_pages(spark, d)).select("doc_id", "page_num", "text")
+    return tagging.tag_documents(
+        score_documents(spark, d), first, _ranked_texts(spark, d), echo_model
+    )
+
+
 # --- labels and CSV -------------------------------------------------------------------
 
 
@@ -631,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_resolve,
         tag_in_rounds,
         tag_all,
+        tag_documents,
         label_ingest,
         label_value_counts,
         label_value_counts_raw,

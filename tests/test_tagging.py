@@ -249,3 +249,39 @@ def test_models_from_spark_ml(spark, tmp_path):
     ).fit(pages)
     probs = scoring.page_scores_with_model(pages, model)
     assert probs.where((F.col("prob") > 0.5) != (F.col("label") == 1)).count() == 0
+
+
+def test_only_wanted_pages_are_read(spark):
+    wanted = spark.createDataFrame([("a", 2), ("b", 1), ("c", 1)], "path string, page_num long")
+
+    def native(path, page):
+        if path == "b":
+            raise OSError("no such file")
+        return f"{path}{page}"
+
+    def ocr(path, page):
+        return None if path == "c" else "ocr"
+
+    got = pagetext.read_target_pages(wanted, native, ocr).collect()
+    texts = {r["path"]: (r["page_num"], r["native_text"], r["ocr_text"]) for r in got}
+    assert texts == {"a": (2, "a2", "ocr"), "b": (1, "", "ocr"), "c": (1, "c1", "")}
+
+
+def test_the_model_is_asked_only_for_the_class_of_a_document(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def complete(batch):
+        for m in batch:
+            (calls / json.loads(m)[-1]["content"]).touch()
+        return [GOOD] * len(batch)
+
+    docs = spark.createDataFrame([(n, n) for n in (1, 2, 3)], "doc_id long, pred int")
+    first = spark.createDataFrame([(n, 1, f"first{n}") for n in (1, 2, 3)], "doc_id long, page_num int, text string")
+    ranked = spark.createDataFrame(
+        [(n, r, r, f"ranked{n}-{r}") for n in (1, 2, 3) for r in (1, 2)],
+        "doc_id long, page_num int, rank int, text string",
+    )
+    got = tagging.tag_documents(docs, first, ranked, complete).collect()
+    assert {r["doc_id"]: r["result"] for r in got} == {1: "tagged", 2: "none", 3: "tagged"}
+    assert {p.name for p in calls.iterdir()} == {"first1", "ranked3-1"}
