@@ -125,18 +125,20 @@ def running(
     counts, lasts = dict(counts or {}), dict(lasts or {})
     inputs = {f"_c_{n}": F.coalesce(c, F.lit(False)).cast("long") for n, c in counts.items()}
     inputs.update({f"_l_{n}": c for n, c in lasts.items()})
+    # A struct is never NULL, so rows with NULL keys meet in the join below as well.
+    key = F.struct(*keys) if keys else F.lit(0)
     slices = materialize(
         df.withColumns(inputs)
         .repartitionByRange(*keys, *order)
         .withColumn("_slice", F.spark_partition_id()),
         label,
-    )
+    ).withColumn("_key", key)
 
     # One row per key and slice: these windows are as small as the number of slices.
-    key = Window.partitionBy(*keys)
-    before = key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_key")
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     stamped = {n: F.struct(*order, F.col(f"_l_{n}").alias("value")) for n in lasts}
-    per_slice = slices.groupBy(*keys, "_slice").agg(
+    per_slice = slices.groupBy("_key", "_slice").agg(
         F.count(F.lit(1)),
         *[F.sum(f"_c_{n}").alias(f"_c_{n}") for n in counts],
         *[
@@ -145,15 +147,15 @@ def running(
         ],
     )
     starts = per_slice.select(
-        *keys,
+        "_key",
         "_slice",
         *[F.coalesce(F.sum(f"_c_{n}").over(before), F.lit(0)).alias(f"_c0_{n}") for n in counts],
-        *[F.sum(f"_c_{n}").over(key).alias(f"{n}_total") for n in counts],
+        *[F.sum(f"_c_{n}").over(whole).alias(f"{n}_total") for n in counts],
         *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_l0_{n}") for n in lasts],
     )
 
     so_far = (
-        Window.partitionBy(*keys, "_slice")
+        Window.partitionBy("_key", "_slice")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -163,7 +165,7 @@ def running(
             **{f"_l1_{n}": F.last(f"_l_{n}", ignorenulls=True).over(so_far) for n in lasts},
         }
     )
-    return within.join(starts, [*keys, "_slice"]).select(
+    return within.join(starts, ["_key", "_slice"]).select(
         *df.columns,
         *[(F.col(f"_c0_{n}") + F.col(f"_c1_{n}")).alias(n) for n in counts],
         *[f"{n}_total" for n in counts],

@@ -114,5 +114,6 @@ class SnapshotTable:
         if live[0]["kind"] == "change":
             return newest
         base = files.parquet(live[0]["path"]).select(*names)
-        kept = base.join(newest.select(*self._key), self._key, "left_anti").select(*names)
-        return kept.unionByName(newest)
+        gone = newest.select(*[F.col(k).alias(f"_gone_{k}") for k in self._key])
+        same = [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in self._key]
+        return base.join(gone, same, "left_anti").unionByName(newest)
