@@ -324,14 +324,20 @@ def score_documents(spark: SparkSession, d: str) -> DataFrame:
     return _scored_documents(spark, d).select("doc_id", "pred")
 
 
-def _length_scorer() -> Callable:
+# Stand-in models are made inside functions, so that they travel to the executors
+# with the job and need no installed module there.
+
+
+def length_scorer() -> Callable:
     """Loads a stand-in Python model: short texts are presentations."""
-    return lambda rows: rows["text"].str.len().map(lambda n: 1 if n < 500 else 3 if n < 5000 else 2)
+    return lambda: lambda rows: rows["text"].str.len().map(
+        lambda n: 1 if n < 500 else 3 if n < 5000 else 2
+    )
 
 
 def score_documents_python(spark: SparkSession, d: str) -> DataFrame:
     docs = fx.table(spark, d, "documents")
-    return scoring.score_documents_with_function(docs, _length_scorer, ["text"])
+    return scoring.score_documents_with_function(docs, length_scorer(), ["text"])
 
 
 def _scored_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -373,20 +379,24 @@ def build_prompts(spark: SparkSession, d: str) -> DataFrame:
     return prompts.select("doc_id", "page_num", "messages", "prompt_hash")
 
 
-def echo_model(batch: Sequence[str]) -> list[str]:
+def echo_model() -> tagging.Complete:
     """A stand-in for the completion model: the title is a hash of the user text."""
-    answers = []
-    for messages in batch:
-        text = json.loads(messages)[-1]["content"]
-        title = hashlib.md5(text.encode()).hexdigest()
-        answers.append(f'{{"title":"{title}","author":"","date":"","sector":"Other"}}')
-    return answers
+
+    def complete(batch: Sequence[str]) -> list[str]:
+        answers = []
+        for messages in batch:
+            text = json.loads(messages)[-1]["content"]
+            title = hashlib.md5(text.encode()).hexdigest()
+            answers.append(f'{{"title":"{title}","author":"","date":"","sector":"Other"}}')
+        return answers
+
+    return complete
 
 
 def complete_prompts(spark: SparkSession, d: str) -> DataFrame:
     first = pagetext.first_page_texts(fx.doc_pages(spark, d))
     prompts = tagging.build_prompts(first.select("doc_id", "page_num", "text"))
-    answered, _ = tagging.complete_prompts(prompts, echo_model)
+    answered, _ = tagging.complete_prompts(prompts, echo_model())
     return answered.select("doc_id", "page_num", "completion")
 
 
@@ -416,7 +426,7 @@ def tag_resolve(spark: SparkSession, d: str) -> DataFrame:
 
 def tag_in_rounds(spark: SparkSession, d: str) -> DataFrame:
     """The staged form, asking the stand-in model round by round."""
-    return tagging.tag_in_rounds(_ranked_texts(spark, d), echo_model)
+    return tagging.tag_in_rounds(_ranked_texts(spark, d), echo_model())
 
 
 def tag_all(spark: SparkSession, d: str) -> DataFrame:
@@ -429,7 +439,7 @@ def tag_documents(spark: SparkSession, d: str) -> DataFrame:
     """From texts to tags, asking the stand-in model about what each class needs."""
     first = pagetext.first_page_texts(fx.doc_pages(spark, d)).select("doc_id", "page_num", "text")
     return tagging.tag_documents(
-        score_documents(spark, d), first, _ranked_texts(spark, d), echo_model
+        score_documents(spark, d), first, _ranked_texts(spark, d), echo_model()
     )
 
 

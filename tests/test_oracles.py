@@ -1,5 +1,8 @@
 """Every query gives the rows of its SQL oracle."""
 
+import subprocess
+import sys
+
 import pytest
 from compare import difference, duck
 
@@ -23,3 +26,14 @@ def test_every_query_has_an_oracle():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() == 10
+
+
+def test_stand_in_models_need_no_module_on_the_executors(tmp_path):
+    from pyspark import cloudpickle
+
+    from docintake.plans.queries import echo_model, length_scorer
+
+    for model in (echo_model(), length_scorer()):
+        (tmp_path / "model").write_bytes(cloudpickle.dumps(model))
+        load = f"import pickle; pickle.load(open({str(tmp_path / 'model')!r}, 'rb'))"
+        subprocess.run([sys.executable, "-c", load], cwd=tmp_path, check=True)
