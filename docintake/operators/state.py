@@ -56,7 +56,29 @@ def writing_events(events: DataFrame) -> DataFrame:
 
 
 def _closing() -> Column:
-    return (F.col("tag_state") == "complete") & tagjson.closes_guard(F.col("tags.title"), F.col("tags.date"))
+    """Without tags this is false."""
+    return tagjson.closes_guard(F.col("tags.title"), F.col("tags.date"))
+
+
+def writes_of(
+    events: DataFrame, key: Sequence[str] = KEY, order: Sequence[str] = ORDER
+) -> DataFrame:
+    """What each event writes. All events write ``classify`` (maybe NULL) and
+    ``status``; in the other columns NULL means "not written"."""
+    final = F.col("pred").isin(1, 2, 3)
+    no_download = ~_is_download()
+    return read_answers(writing_events(events)).select(
+        *key,
+        *order,
+        F.when(F.col("kind").isin("html_seen", "maybe_pdf"), 2)
+        .when(_is_download() & final, F.col("pred"))
+        .alias("classify"),
+        F.when(no_download, PROCESSED).when(final, DONE).otherwise(PROCESSING).alias("status"),
+        (F.col("tag_state") == "broken").alias("broken"),
+        F.when(F.col("kind") != "html_seen", F.col("kind") == "maybe_pdf").alias("uncertainty"),
+        F.when(_wants_tags(), F.col("filename")).alias("filename"),
+        "tags",
+    )
 
 
 def last_writes(
@@ -68,24 +90,21 @@ def last_writes(
     "NULL was written".
     """
 
-    def stamped(*payload: Column | str) -> Column:
+    def stamped(*payload: str) -> Column:
         return F.struct(*order, *payload)
 
-    uncertain = (
-        F.when(F.col("kind") == "maybe_pdf", True).otherwise(F.lit(False)).alias("value")
-    )
-    # Only what an event writes travels to the aggregate.
-    written = read_answers(writing_events(events)).withColumn(
-        "filename", F.when(_wants_tags(), F.col("filename"))
-    )
+    def written(column: str) -> Column:
+        return F.when(F.col(column).isNotNull(), stamped(column))
+
     return (
-        written.groupBy(*key)
+        writes_of(events, key, order)
+        .groupBy(*key)
         .agg(
-            F.max(stamped("kind", "pred", "tag_state")).alias("w_last"),
-            F.max(F.when(F.col("kind") != "html_seen", stamped(uncertain))).alias("w_uncertainty"),
-            F.max(F.when(_wants_tags(), stamped("filename"))).alias("w_filename"),
+            F.max(stamped("classify", "status", "broken")).alias("w_last"),
+            F.max(written("uncertainty")).alias("w_uncertainty"),
+            F.max(written("filename")).alias("w_filename"),
             F.min(F.when(_closing(), stamped("tags"))).alias("w_close"),
-            F.max(F.when(F.col("tag_state") == "complete", stamped("tags"))).alias("w_tags"),
+            F.max(written("tags")).alias("w_tags"),
         )
     )
 
@@ -123,27 +142,12 @@ def apply_writes(
     rows = skew_join(batch, net, key, ["id"], small=small)
 
     last = F.col("w_last")
-    download = F.col("w_last.kind") == DOWNLOAD
-    pred = F.col("w_last.pred")
+    # A broken answer fails its download, unless the link wants no tags any more.
     failed = (
-        download
-        & pred.isin(1, 3)
-        & (F.col("w_last.tag_state") == "broken")
+        F.col("w_last.broken")
         & F.col("starts_open")
         & (F.col("w_close").isNull() | (_stamp("w_last", order) < _stamp("w_close", order)))
     )
-    status = (
-        F.when(last.isNull(), F.col("status"))
-        .when(failed, PROCESSING)
-        .when(download & pred.isin(1, 2, 3), DONE)
-        .when(download, PROCESSING)
-        .otherwise(PROCESSED)
-    )
-    classify = (
-        F.when(last.isNull(), F.col("classify"))
-        .when(F.col("w_last.kind").isin("html_seen", "maybe_pdf"), 2)
-        .when(download & pred.isin(1, 2, 3), pred)
-    )
     new_tags = (
         F.when(~F.col("starts_open"), None)
         .when(F.col("w_close").isNotNull(), F.col("w_close.tags"))
@@ -151,14 +155,10 @@ def apply_writes(
     )
     wrote_tags = F.col("starts_open") & F.col("w_tags").isNotNull()
     written = {
-        "status": status,
-        "classify": classify,
-        "uncertainty": F.when(F.col("w_uncertainty").isNull(), F.col("uncertainty")).otherwise(
-            F.col("w_uncertainty.value")
-        ),
-        "filename_location": F.when(
-            F.col("w_filename").isNull(), F.col("filename_location")
-        ).otherwise(F.col("w_filename.filename")),
+        "status": F.when(failed, PROCESSING).otherwise(F.coalesce("w_last.status", "status")),
+        "classify": F.when(last.isNull(), F.col("classify")).otherwise(F.col("w_last.classify")),
+        "uncertainty": F.coalesce("w_uncertainty.uncertainty", "uncertainty"),
+        "filename_location": F.coalesce("w_filename.filename", "filename_location"),
     }
     for f in TAG_FIELDS:
         written[f] = F.when(wrote_tags, new_tags[f]).otherwise(F.col(f))
