@@ -256,19 +256,19 @@ def archive_on_download(
     key, order = list(key), list(order)
     downloads = writing_events(events).where(_is_download())
     first = [*TAG_FIELDS, "filename_location"]
-    known = _with_guard(batch, downloads, key, order, first, "inner").withColumn(
-        "outcome", _outcome()
-    )
-    in_force = running(
-        known.drop("tag_json", "w_close"),
-        key,
-        order,
-        "downloads",
-        lasts={
-            "file_now": F.when(_wants_tags(), F.col("filename")),
-            "tags_now": F.when((F.col("tag_state") == "complete") & F.col("open"), F.col("tags")),
-        },
+    rest = [c for c in order if c not in key]
+    # Only what the archive rows are made of travels through the running values.
+    writes = _with_guard(batch, downloads, key, order, first, "inner").select(
+        *key,
+        *rest,
+        "pred",
+        "row",
+        _outcome().alias("outcome"),
+        F.when(_wants_tags(), F.col("filename")).alias("file"),
+        F.when(F.col("open"), F.col("tags")).alias("tags"),
     )
+    lasts = {"file_now": F.col("file"), "tags_now": F.col("tags")}
+    in_force = running(writes, key, order, "downloads", lasts=lasts)
     final = F.col("pred").isin(1, 2, 3)
     tag = {
         f: F.when(F.col("tags_now").isNotNull(), F.col(f"tags_now.{f}")).otherwise(
@@ -277,7 +277,7 @@ def archive_on_download(
         for f in TAG_FIELDS
     }
     return in_force.where(F.col("outcome") == 200).select(
-        *[c for c in order if c not in key],
+        *rest,
         F.col("row.id").alias("pg_id"),
         *key,
         F.when(final, F.col("pred")).alias("classify"),
