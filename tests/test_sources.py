@@ -109,6 +109,12 @@ def test_filters_reach_both_parts_of_a_changed_table(spark, links, tmp_path):
     assert "ReadSchema: struct<id:bigint,status:string>" in plan
 
 
+def test_links_come_over_jdbc_where_no_snapshot_is_named(spark):
+    env = Environment(jdbc={"url": "jdbc:none://host/db", "user": "u"})
+    with pytest.raises(Exception, match="(?i)driver"):
+        read_links(spark, env, lower=0, upper=100, partitions=4)
+
+
 def test_unknown_environment():
     with pytest.raises(ValueError):
         choose({}, "staging")

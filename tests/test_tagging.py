@@ -224,7 +224,10 @@ def test_models_from_spark_ml(spark, tmp_path):
     from pyspark.ml.feature import IDF, HashingTF, Tokenizer, VectorAssembler
 
     docs = spark.createDataFrame(
-        [(n, ("annual results slides", "html page", "long report slides")[n % 3], n % 3 + 1) for n in range(30)],
+        [
+            (n, ("annual results slides", "html page", "long report slides")[n % 3], n % 3 + 1)
+            for n in range(30)
+        ],
         "doc_id long, text string, label int",
     )
     steps = [
@@ -277,7 +280,9 @@ def test_the_model_is_asked_only_for_the_class_of_a_document(spark, tmp_path):
         return [GOOD] * len(batch)
 
     docs = spark.createDataFrame([(n, n) for n in (1, 2, 3)], "doc_id long, pred int")
-    first = spark.createDataFrame([(n, 1, f"first{n}") for n in (1, 2, 3)], "doc_id long, page_num int, text string")
+    first = spark.createDataFrame(
+        [(n, 1, f"first{n}") for n in (1, 2, 3)], "doc_id long, page_num int, text string"
+    )
     ranked = spark.createDataFrame(
         [(n, r, r, f"ranked{n}-{r}") for n in (1, 2, 3) for r in (1, 2)],
         "doc_id long, page_num int, rank int, text string",
