@@ -65,10 +65,10 @@ def closes_guard(title: Column, date: Column) -> Column:
     return ~is_empty(title) | (title.isNotNull() & date.isNotNull())
 
 
-def verdict(text: Column) -> Column:
+def verdict(asked: Column) -> Column:
     """How one page's answer counts when several pages are tried in turn.
 
-    ``skip``: no text, so no question was asked; ``abort``: malformed, or a title
+    ``skip``: the page was not asked about, as it has no text; ``abort``: malformed, or a title
     that is not a string, which ends the document without tags; ``titled``: wins;
     ``blank``: a blank title; ``untitled``: no title key.
     """
@@ -83,7 +83,7 @@ def verdict(text: Column) -> Column:
         .otherwise("blank")
     )
     return (
-        F.when(is_empty(text), "skip")
+        F.when(~asked, "skip")
         .when(whole.isNull(), "abort")
         .when(_opens_with("{"), of_object)
         .when(_opens_with("["), F.when(in_list, "abort").otherwise("untitled"))

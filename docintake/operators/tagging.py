@@ -126,27 +126,35 @@ def _as_result(doc: DataFrame, winner: Column, failed: Column) -> DataFrame:
     )
 
 
-def tag_first_page(answered: DataFrame) -> DataFrame:
+def _has_text() -> Column:
+    return non_empty(F.col("text"))
+
+
+def tag_first_page(answered: DataFrame, asked: Column | None = None) -> DataFrame:
     """Tags of presentations: page 1 only, whatever its title.
 
-    ``answered`` holds ``doc_id, page_num, text, completion``.
+    ``answered`` holds ``doc_id, page_num, completion``, and ``text`` unless
+    ``asked`` says otherwise which pages were asked about.
     """
     first = answered.where(F.col("page_num") == 1)
-    asked = F.when(non_empty(F.col("text")), F.col("completion"))
+    if asked is None:
+        asked = _has_text()
     rows = (
-        tagjson.parse(first, asked)
+        tagjson.parse(first, F.when(asked, F.col("completion")))
         .withColumn("_state", tagjson.state())
         .withColumn("_tags", F.when(F.col("_state") == "complete", tagjson.tags()))
     )
     return _as_result(rows, F.col("_tags"), F.col("_state") == "broken")
 
 
-def judge_pages(answered: DataFrame) -> DataFrame:
+def judge_pages(answered: DataFrame, asked: Column | None = None) -> DataFrame:
     """``doc_id, rank, verdict, state, tags`` of ranked pages with their answers."""
+    if asked is None:
+        asked = _has_text()
     return tagjson.parse(answered, F.col("completion")).select(
         "doc_id",
         "rank",
-        tagjson.verdict(F.col("text")).alias("verdict"),
+        tagjson.verdict(asked).alias("verdict"),
         tagjson.state().alias("state"),
         tagjson.tags().alias("tags"),
     )
@@ -190,11 +198,11 @@ def tag_in_rounds(
     for rank in range(1, rounds + 1):
         here = open_pages.where(F.col("rank") == rank)
         answered, known = complete_prompts(build_prompts(here), complete, known=known)
-        asked = judge_pages(answered)
-        skipped = here.where(~non_empty(F.col("text"))).withColumn(
-            "completion", F.lit(None).cast("string")
-        )
-        done = materialize(asked.unionByName(judge_pages(skipped)), f"round-{rank}")
+        # Texts are not looked at any more, so they stay out of the join with answers.
+        asked = judge_pages(answered, F.lit(True))
+        empty = here.where(~_has_text()).withColumn("completion", F.lit(None).cast("string"))
+        skipped = judge_pages(empty, F.lit(False))
+        done = materialize(asked.unionByName(skipped), f"round-{rank}")
         judged = done if judged is None else judged.unionByName(done)
         closed = done.where(F.col("verdict").isin("titled", "abort")).select("doc_id")
         open_pages = open_pages.where(F.col("rank") > rank).join(closed, "doc_id", "left_anti")
@@ -233,4 +241,4 @@ def tag_documents(
     prompts = build_prompts(_of_class(first_page, docs, 1))
     answered, _ = complete_prompts(prompts, complete)
     three = tag_in_rounds(_of_class(ranked, docs, 3), complete)
-    return _routed(docs, tag_first_page(answered), three)
+    return _routed(docs, tag_first_page(answered, F.lit(True)), three)
