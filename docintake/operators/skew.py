@@ -14,11 +14,10 @@ from docintake.session import materialize
 ROWS_PER_PART = 500_000
 
 # Hot keys are passed around as 64-bit hashes with a number of parts, 16 bytes each,
-# so what is broadcast is below one megabyte whatever the data. Any other key holds
-# less than 1/MAX_HOT of the rows.
+# so what reaches the driver and is broadcast is below one megabyte whatever the data.
+# Any other key holds less than 1/MAX_HOT of the rows.
 MAX_HOT = 20_000
 
-
 # A table within both bounds may be broadcast.
 SMALL_ROWS = 10_000
 SMALL_BYTES = 8 << 20
@@ -40,9 +39,10 @@ def is_small(df: DataFrame) -> bool:
 
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Hashes of the up to MAX_HOT most frequent keys that exceed one part, and into
-    how many parts each is cut."""
+    how many parts each is cut. Rows with a NULL key count under a NULL hash."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
     return (
-        df.groupBy(F.xxhash64(*on).alias("_hash"))
+        df.groupBy(F.when(known, F.xxhash64(*on)).alias("_hash"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > rows_per_part)
         .orderBy(F.col("_rows").desc(), "_hash")
@@ -63,14 +63,13 @@ def skew_join(
     """Equi-join of ``left`` with a ``right`` that is unique on ``on``.
 
     ``small`` says that ``right`` has no more rows than a table that ``is_small``
-    has accepted; then it is broadcast and ``left`` stays where it is. Otherwise
-    both sides are shuffled, with hot keys cut up.
-
-    Rows of a hot key are spread over its parts by a hash of ``row_id``, and the one
-    matching right row is repeated per part. Rows with a NULL key match nothing and
-    are spread freely. A cold key whose hash equals that of a hot one is cut the
-    same way on both sides, so the result stays exact. The counting pass reads the
-    key columns only.
+    has accepted; then it is broadcast and ``left`` stays where it is.
+
+    Otherwise a counting pass over the key columns looks for hot keys, and without
+    any this is a plain join. Rows of a hot key are spread over its parts by a hash
+    of ``row_id``, and the one matching right row is repeated per part; rows with a
+    NULL key match nothing and are spread freely. Both sides use the same list of
+    hot keys, by hash, so a cold key that shares a hash is cut the same way on both.
     """
     on = list(on)
     for k in on:
@@ -78,8 +77,16 @@ def skew_join(
             raise ValueError(f"the sides have different types for {k}")
     if small:
         return left.join(F.broadcast(right), on, how)
+    found = hot_keys(left.select(*on), on, rows_per_part).collect()
+    if not found:
+        return left.join(right, on, how)
+
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    hot = F.broadcast(hot_keys(left.select(*on).where(known), on, rows_per_part))
+    hot = F.broadcast(
+        left.sparkSession.createDataFrame(
+            [tuple(r) for r in found if r["_hash"] is not None], "_hash long, _parts int"
+        )
+    )
     spread = F.xxhash64(*row_id)
     part = (
         F.when(~known, spread)

@@ -44,6 +44,18 @@ def test_what_is_broadcast_is_small_and_of_fixed_width(hot_left):
     assert skew.MAX_HOT * 16 < 1 << 20
 
 
+def test_without_hot_keys_the_join_is_plain(hot_left, unique_right):
+    rows = skew.skew_join(hot_left, unique_right, ["key"], ["id"])
+    assert "_part" not in rows._jdf.queryExecution().analyzed().toString()
+
+
+def test_many_rows_without_a_key_are_spread(spark, unique_right):
+    left = spark.range(2000).select("id", F.lit(None).cast("string").alias("key"))
+    rows = skew.skew_join(left, unique_right, ["key"], ["id"], rows_per_part=100)
+    assert "_part" in rows._jdf.queryExecution().analyzed().toString()
+    assert rows.count() == 2000 and rows.where("value IS NOT NULL").isEmpty()
+
+
 def test_small_tables_are_told_by_rows_and_bytes(spark, monkeypatch):
     rows = spark.createDataFrame([(n, "x" * 100) for n in range(50)], "id long, text string")
     assert skew.is_small(rows) and skew.is_small(rows.limit(0))
