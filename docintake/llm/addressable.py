@@ -27,7 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docintake.llm.common import arrow_schema, binary_array, chunks, table, whole_text
+from docintake.llm.common import (
+    arrow_schema,
+    binary_array,
+    chunks,
+    on_batches,
+    table,
+    whole_text,
+)
 from docintake.llm.fragments import text_encoder
 from docintake.session import scratch_path
 
@@ -143,14 +150,13 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     """
     spark = docs.sparkSession
     schema = arrow_schema(spark, BLOCKS)
-    (
+    in_order = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
         .repartitionByRange(F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-        .mapInArrow(block_writer(tokenizer, end_id, schema), BLOCKS)
-        .write.option("compression", "zstd")
-        .parquet(path)
     )
+    coded = on_batches(in_order, block_writer(tokenizer, end_id, schema), BLOCKS)
+    coded.write.option("compression", "zstd").parquet(path)
 
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -191,9 +197,8 @@ def read_codes(spark: SparkSession, path: str, where: Column | None = None) -> D
     """
     found = blocks(spark, path)
     found = found if where is None else found.where(where)
-    return found.select("docs", "before", "codes").mapInArrow(
-        read_blocks, "doc_id long, start long, n_tokens long, ids binary"
-    )
+    fields = "doc_id long, start long, n_tokens long, ids binary"
+    return on_batches(found.select("docs", "before", "codes"), read_blocks, fields)
 
 
 def tokens_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
@@ -227,7 +232,7 @@ def tokens_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
                 ids = [codes[p - row["before"]] for p in row["asked"]]
                 yield pa.RecordBatch.from_pydict({"place": row["asked"], "id": pa.array(ids, "int64")})
 
-    return met.select("codes", "before", "asked").mapInArrow(pick, "place long, id long")
+    return on_batches(met.select("codes", "before", "asked"), pick, "place long, id long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@lru_cache(maxsize=8)
+def ship_code(app: str) -> None:
+    """Send this package to the Python workers of an application, once.
+
+    The archive is made on the driver; Spark itself hands it to the executors.
+    """
+    package = Path(__file__).parent.parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="docintake-code-"), "docintake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
+def on_batches(df: DataFrame, step: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` for functions of this package."""
+    ship_code(df.sparkSession.sparkContext.applicationId)
+    return df.mapInArrow(step, schema)
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docintake.llm import addressable
+from docintake.llm import addressable, token_counts, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_addressable_codes": addressable.query,
+    "op3_token_counts": token_counts.query,
+    "op7_word_bpe": word_bpe.query,
 }
 
 ORACLES: dict[str, str] = {}
