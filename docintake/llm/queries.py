@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docintake.llm import addressable, token_counts, word_bpe
+from docintake.llm import (
+    addressable,
+    block_names,
+    hilbert,
+    license_rules,
+    token_counts,
+    word_bpe,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_addressable_codes": addressable.query,
     "op3_token_counts": token_counts.query,
+    "op4_hilbert_shards": hilbert.query,
     "op7_word_bpe": word_bpe.query,
+    "op8_block_names": block_names.query,
+    "op9_license_rules": license_rules.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_block_names": block_names.SQL,
+}
