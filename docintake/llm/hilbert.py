@@ -88,8 +88,9 @@ def common_start(low: str, high: str) -> int:
 def as_numbers(docs: DataFrame, dimensions: Sequence[str]) -> dict[str, Column]:
     """Each dimension as a number in the same order."""
     text = [d for d in dimensions if not isinstance(docs.schema[d].dataType, NumericType)]
-    ends = [f(F.col(d).cast("string")).alias(f"{n}{d}") for d in text for n, f in (("<", F.min), (">", F.max))]
-    found = docs.agg(*ends).first() if ends else None
+    lows = [F.min(F.col(d).cast("string")).alias(f"<{d}") for d in text]
+    highs = [F.max(F.col(d).cast("string")).alias(f">{d}") for d in text]
+    found = docs.agg(F.count(F.lit(1)), *lows, *highs).first()
     numbers = {}
     for d in dimensions:
         if d not in text:
@@ -102,6 +103,10 @@ def as_numbers(docs: DataFrame, dimensions: Sequence[str]) -> dict[str, Column]:
     return numbers
 
 
+def at_or_below(edges: Column, value: Column) -> Column:
+    return F.size(F.filter(edges, lambda edge: edge <= value))
+
+
 def cells(docs: DataFrame, dimensions: Sequence[str], bits: int) -> dict[str, Column]:
     """The cell of each dimension: the number of quantiles that lie at or below the value."""
     numbers = as_numbers(docs, dimensions)
@@ -112,8 +117,7 @@ def cells(docs: DataFrame, dimensions: Sequence[str], bits: int) -> dict[str, Co
     found = {}
     for d in dimensions:
         edges = F.array(*[F.lit(c) for c in sorted(set(cuts[d] or ()))]).cast("array<double>")
-        below = F.size(F.filter(edges, lambda e, d=d: e <= numbers[d]))
-        found[d] = F.when(numbers[d].isNull(), 0).otherwise(below)
+        found[d] = F.when(numbers[d].isNull(), 0).otherwise(at_or_below(edges, numbers[d]))
     return found
 
 
