@@ -10,6 +10,7 @@ from docintake.llm import (
     addressable,
     block_names,
     hilbert,
+    hyperminhash,
     license_rules,
     token_counts,
     word_bpe,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_word_bpe": word_bpe.query,
     "op8_block_names": block_names.query,
     "op9_license_rules": license_rules.query,
+    "op10_hyperminhash": hyperminhash.query,
 }
 
 ORACLES: dict[str, str] = {
