@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -52,6 +52,14 @@ def on_batches(df: DataFrame, step: Callable, schema) -> DataFrame:
     return df.mapInArrow(step, schema)
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name = f"_{name}"
+    return name
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

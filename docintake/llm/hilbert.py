@@ -17,7 +17,7 @@ the table doesn't have.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from docintake.llm.common import table, whole_text
+from docintake.llm.common import fresh, table, whole_text
 from docintake.session import scratch_path
 
 DIMENSIONS = ("lang", "source", "n_chars")
@@ -70,14 +70,6 @@ def curve_places(cells: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def fresh(name: str, taken: Iterable[str]) -> str:
-    """``name``, with underscores before it until no column is called so."""
-    lowered = {c.lower() for c in taken}
-    while name in lowered:
-        name = f"_{name}"
-    return name
-
-
 def common_start(low: str, high: str) -> int:
     n = 0
     while n < min(len(low), len(high)) and low[n] == high[n]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docintake.llm import (
     addressable,
     block_names,
+    factorisation,
     hilbert,
     hyperminhash,
     license_rules,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_addressable_codes": addressable.query,
     "op3_token_counts": token_counts.query,
     "op4_hilbert_shards": hilbert.query,
+    "op6_factorisation_machine": factorisation.query,
     "op7_word_bpe": word_bpe.query,
     "op8_block_names": block_names.query,
     "op9_license_rules": license_rules.query,
