@@ -13,14 +13,18 @@ from docintake.llm import (
     hilbert,
     hyperminhash,
     license_rules,
+    packing,
+    posting_lists,
     token_counts,
     word_bpe,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_addressable_codes": addressable.query,
+    "op2_retrieval_packing": packing.query,
     "op3_token_counts": token_counts.query,
     "op4_hilbert_shards": hilbert.query,
+    "op5_posting_lists": posting_lists.query,
     "op6_factorisation_machine": factorisation.query,
     "op7_word_bpe": word_bpe.query,
     "op8_block_names": block_names.query,
