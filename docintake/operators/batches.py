@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docintake.functions.urls import link_or_hash
-from docintake.operators.claims import TOP_K_MAX, pick, wants_download
-from docintake.operators.skew import running
+from docintake.operators.claims import pick, wants_download
 from docintake.operators.state import DONE, PROCESSED, UNPROCESSED
+from docintake.schemas import ARCHIVE
 
-ARCHIVE_COLUMNS = (
-    "pg_id",
-    "pdf_link",
-    "classify",
-    "title",
-    "status",
-    "sector",
-    "author",
-    "date",
-    "filename_location",
-)
+# Everything that an archive row has but the time it was written.
+ARCHIVE_COLUMNS = tuple(c for c in ARCHIVE.names if c != "last_updated")
 
 
 def load(rows: DataFrame) -> DataFrame:
@@ -104,15 +95,8 @@ def close_plan(batch: DataFrame) -> DataFrame:
 
 def worklist(links: DataFrame, batch_size: int, seed: str) -> DataFrame:
     """The claimed links in the order they are worked through, as JSON records."""
-    rows = pick(links, wants_download(), batch_size, seed).select("_draw", "id", "pdf_link")
-    if batch_size <= TOP_K_MAX:
-        # One task numbers the claimed rows, never the link table.
-        in_turn = Window.orderBy("_draw", "id")
-        rows = rows.withColumn("position", F.row_number().over(in_turn))
-    else:
-        rows = running(rows, [], ["_draw", "id"], "worklist", counts={"position": F.lit(True)})
-    return rows.select(
-        F.col("position").cast("int").alias("position"),
+    return pick(links, wants_download(), batch_size, seed).select(
+        F.col("_turn").cast("int").alias("position"),
         "id",
         "pdf_link",
         link_or_hash(F.col("pdf_link")).alias("href"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docintake.functions import urls
@@ -13,14 +13,6 @@ from docintake.schemas import CLAIM_COLUMNS
 IN_PROCESS = "in_process"
 READY = "ready"
 
-# Up to this batch size a claim is a plain top-k, in which every task hands that many
-# rows to the last one. Larger claims take the bucketed way below.
-TOP_K_MAX = 1_000
-
-# Up to this many ids, known beforehand, ids are broadcast: at most 0.8 MB.
-BROADCAST_IDS_MAX = 100_000
-
-
 # ``status <> 'in_process'`` is three-valued: rows without a status are not eligible.
 def not_in_process() -> Column:
     return F.col("status") != IN_PROCESS
@@ -52,38 +44,33 @@ def draw_order(seed: str) -> Column:
     return F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(seed)))
 
 
-def pick(
-    links: DataFrame, eligible: Column, batch_size: int, seed: str, top_k_max: int = TOP_K_MAX
-) -> DataFrame:
-    """``batch_size`` random eligible rows without replacement, with their ``_draw``."""
+def pick(links: DataFrame, eligible: Column, batch_size: int, seed: str) -> DataFrame:
+    """``batch_size`` random eligible rows without replacement, with their ``_draw`` and
+    ``_turn``, counted from 1.
+
+    The draw is a hash, so its first four hex digits split the rows evenly into 65,536
+    buckets. How many rows the buckets before hold says which buckets are wanted, so only
+    rows of those are shuffled, and each is put in order by itself. What is broadcast is
+    one pair of numbers per bucket.
+    """
     if isinstance(batch_size, bool) or not isinstance(batch_size, int) or batch_size < 1:
         raise ValueError("batch_size must be a positive integer")
     drawn = links.where(eligible).withColumn("_draw", draw_order(seed))
-    if batch_size <= top_k_max:
-        return drawn.orderBy("_draw", "id").limit(batch_size)
-    return _pick_many(drawn, batch_size)
-
-
-def _pick_many(drawn: DataFrame, batch_size: int) -> DataFrame:
-    """The same rows as the top-k, without sending them through one task.
-
-    The draw is a hash, so its first four hex digits split the rows evenly into
-    65,536 buckets. Buckets that lie wholly below the cut are taken by a filter;
-    only the one bucket the cut falls into is sorted.
-    """
-    bucketed = drawn.withColumn("_bucket", F.substring("_draw", 1, 4))
-    # At most 65,536 rows reach the driver, whatever the size of the table.
-    counts = bucketed.groupBy("_bucket").count().collect()
-    taken, cut = 0, None
-    for row in sorted(counts):
-        if taken + row["count"] > batch_size:
-            cut = row["_bucket"]
-            break
-        taken += row["count"]
-    if cut is None:
-        return bucketed.drop("_bucket")
-    rest = bucketed.where(F.col("_bucket") == cut).orderBy("_draw", "id").limit(batch_size - taken)
-    return bucketed.where(F.col("_bucket") < cut).unionByName(rest).drop("_bucket")
+    drawn = drawn.withColumn("_bucket", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int"))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (
+        drawn.groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .where(F.col("_before") < batch_size)
+    )
+    in_bucket = Window.partitionBy("_bucket").orderBy("_draw", "id")
+    return (
+        drawn.join(F.broadcast(wanted), "_bucket")
+        .withColumn("_turn", F.col("_before") + F.row_number().over(in_bucket))
+        .where(F.col("_turn") <= batch_size)
+        .drop("_bucket", "_before")
+    )
 
 
 def claim_batch(links: DataFrame, batch_size: int, seed: str) -> DataFrame:
@@ -103,22 +90,14 @@ def claim_for_tagging(links: DataFrame, batch_size: int, seed: str) -> DataFrame
     return pick(links, wants_tagging(), batch_size, seed).select("id", "pdf_link")
 
 
-def apply_claim(links: DataFrame, claimed: DataFrame, batch_size: int) -> DataFrame:
+def apply_claim(links: DataFrame, claimed: DataFrame) -> DataFrame:
     """The link table after the claim: claimed rows are in process."""
-    return set_status_by_id(links, claimed.select("id"), IN_PROCESS, batch_size)
-
+    return set_status_by_id(links, claimed.select("id"), IN_PROCESS)
 
-def set_status_by_id(
-    links: DataFrame, ids: DataFrame, status: str, at_most: int | None = None
-) -> DataFrame:
-    """Set the status of the rows whose id is listed.
 
-    ``at_most`` is a known bound on the number of ids; only then are they broadcast.
-    Link ids are unique, so the shuffled form has no hot key.
-    """
+def set_status_by_id(links: DataFrame, ids: DataFrame, status: str) -> DataFrame:
+    """Set the status of the rows whose id is listed."""
     marks = ids.select("id").distinct().withColumn("_hit", F.lit(True))
-    if at_most is not None and at_most <= BROADCAST_IDS_MAX:
-        marks = F.broadcast(marks)
     return (
         links.join(marks, "id", "left")
         .withColumn("status", F.when(F.col("_hit"), status).otherwise(F.col("status")))
@@ -135,4 +114,4 @@ def claim(
     """Claimed rows and the new link table. Both follow from the seed, so computing
     them separately gives one consistent claim."""
     claimed = how(links, batch_size, seed)
-    return claimed, apply_claim(links, claimed, batch_size)
+    return claimed, apply_claim(links, claimed)

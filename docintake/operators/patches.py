@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from docintake.functions.truth import non_empty
 from docintake.operators.claims import READY, is_stuck, set_status_by_id
-from docintake.operators.skew import is_small, skew_join
+from docintake.operators.skew import key_join
 from docintake.operators.state import is_processed, is_tagged
 from docintake.schemas import PATCH_COLUMNS
 
+# The fields that a sparse patch may carry.
 SPARSE_COLUMNS = ("title", "author", "sector", "date", "status")
 
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
-    if any(n not in df.columns for n in names):
-        raise ValueError("the table must contain the columns: " + ", ".join(names))
+    missing = sorted(set(names) - set(df.columns))
+    if missing:
+        raise ValueError(f"columns not found: {missing}")
 
 
 def last_patch(patch: DataFrame, ordinal: str) -> DataFrame:
@@ -42,7 +44,7 @@ def merge_patch(
     require_columns(patch, [*PATCH_COLUMNS, "pdf_link", ordinal])
     how = "inner" if changed_only else "left"
     last = last_patch(patch, ordinal)
-    joined = skew_join(links, last, ["pdf_link"], ["id"], how, small=is_small(patch))
+    joined = key_join(links, last, ["pdf_link"], how)
     hit = F.col("_patch").isNotNull()
     written = {c: F.when(hit, F.col(f"_patch.{c}")).otherwise(F.col(c)) for c in PATCH_COLUMNS}
     written["status"] = F.when(hit, READY).otherwise(F.col("status"))
@@ -70,7 +72,7 @@ def sparse_patch(
     ]
     fields = patch.groupBy("pdf_link").agg(*latest)
     how = "inner" if changed_only else "left"
-    joined = skew_join(links, fields, ["pdf_link"], ["id"], how, small=is_small(patch))
+    joined = key_join(links, fields, ["pdf_link"], how)
     written = {c: F.coalesce(F.col(f"_p_{c}.{c}"), F.col(c)) for c in SPARSE_COLUMNS}
     return joined.withColumns(written).select(*links.columns)
 
@@ -83,8 +85,8 @@ def patch_has_data(patch: DataFrame) -> DataFrame:
     return patch.withColumn("applied", any_field)
 
 
-def release_links(links: DataFrame, ids: DataFrame, at_most: int | None = None) -> DataFrame:
-    return set_status_by_id(links, ids, READY, at_most)
+def release_links(links: DataFrame, ids: DataFrame) -> DataFrame:
+    return set_status_by_id(links, ids, READY)
 
 
 def released(links: DataFrame, ids: DataFrame) -> DataFrame:
@@ -112,7 +114,9 @@ def first_rows(rows: DataFrame, key: Sequence[str], position: str, columns: Sequ
 def look_up(links: DataFrame, urls: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The asked links, each once, with the first row of those that are known."""
     asked = urls.select("pdf_link").distinct()
-    return asked.join(first_rows(links, ["pdf_link"], "id", ["id", *columns]), "pdf_link", "left")
+    # Rows of other links go before anything is aggregated.
+    known = links.join(asked, "pdf_link", "left_semi")
+    return asked.join(first_rows(known, ["pdf_link"], "id", ["id", *columns]), "pdf_link", "left")
 
 
 def link_lookup(links: DataFrame, urls: DataFrame) -> DataFrame:

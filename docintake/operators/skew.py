@@ -3,111 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docintake.session import materialize
 
-# A key with more rows than this is cut into parts of about this size.
-ROWS_PER_PART = 500_000
 
-# Hot keys are passed around as 64-bit hashes with a number of parts, 16 bytes each,
-# so what reaches the driver and is broadcast is below one megabyte whatever the data.
-# Any other key holds less than 1/MAX_HOT of the rows.
-MAX_HOT = 20_000
-
-# A table within both bounds may be broadcast.
-SMALL_ROWS = 10_000
-SMALL_BYTES = 8 << 20
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether a table is small enough to broadcast, by a look at its rows.
-
-    Fetches the sizes of at most SMALL_ROWS + 1 rows, and reads only the first
-    partitions of a large table.
-    """
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns],
-    )
-    sizes = df.select(width.alias("bytes")).take(SMALL_ROWS + 1)
-    return len(sizes) <= SMALL_ROWS and sum(r["bytes"] for r in sizes) <= SMALL_BYTES
-
-
-def hot_keys(df: DataFrame, on: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """Hashes of the up to MAX_HOT most frequent keys that exceed one part, and into
-    how many parts each is cut. Rows with a NULL key count under a NULL hash."""
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    return (
-        df.groupBy(F.when(known, F.xxhash64(*on)).alias("_hash"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > rows_per_part)
-        .orderBy(F.col("_rows").desc(), "_hash")
-        .limit(MAX_HOT)
-        .select("_hash", F.ceil(F.col("_rows") / rows_per_part).cast("int").alias("_parts"))
-    )
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    row_id: Sequence[str],
-    how: str = "left",
-    rows_per_part: int = ROWS_PER_PART,
-    small: bool = False,
-) -> DataFrame:
+def key_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join of ``left`` with a ``right`` that is unique on ``on``.
 
-    ``small`` says that ``right`` has no more rows than a table that ``is_small``
-    has accepted; then it is broadcast and ``left`` stays where it is.
-
-    Otherwise a counting pass over the key columns looks for hot keys, and without
-    any this is a plain join. Rows of a hot key are spread over its parts by a hash
-    of ``row_id``, and the one matching right row is repeated per part; rows with a
-    NULL key match nothing and are spread freely. Both sides use the same list of
-    hot keys, by hash, so a cold key that shares a hash is cut the same way on both.
+    The plan is the same at every size and nothing runs when it is built. Adaptive
+    execution measures both sides once they are there: it broadcasts a side below
+    ``spark.sql.autoBroadcastJoinThreshold``, and it splits a partition in which a hot key,
+    or rows without a key, pile up. No hint takes that choice away from it.
     """
-    on = list(on)
     for k in on:
         if left.schema[k].dataType != right.schema[k].dataType:
             raise ValueError(f"the sides have different types for {k}")
-    if small:
-        return left.join(F.broadcast(right), on, how)
-    found = hot_keys(left.select(*on), on, rows_per_part).collect()
-    if not found:
-        return left.join(right, on, how)
-
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
-    hot = F.broadcast(
-        left.sparkSession.createDataFrame(
-            [tuple(r) for r in found if r["_hash"] is not None], "_hash long, _parts int"
-        )
-    )
-    spread = F.xxhash64(*row_id)
-    part = (
-        F.when(~known, spread)
-        .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
-        .otherwise(F.lit(0))
-    )
-    cut = (
-        left.withColumn("_hash", F.xxhash64(*on))
-        .join(hot, "_hash", "left")
-        .withColumn("_part", part.cast("long"))
-        .drop("_hash", "_parts")
-    )
-    last = F.coalesce(F.col("_parts") - 1, F.lit(0)).cast("long")
-    repeated = (
-        right.where(known)
-        .withColumn("_hash", F.xxhash64(*on))
-        .join(hot, "_hash", "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        .drop("_hash", "_parts")
-    )
-    return cut.join(repeated, [*on, "_part"], how).drop("_part")
+    return left.join(right, list(on), how)
 
 
 def running(

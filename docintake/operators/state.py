@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docintake.functions import tagjson
 from docintake.functions.truth import guard_open, is_empty, non_empty
-from docintake.operators.skew import is_small, running, skew_join
+from docintake.operators.skew import key_join, running
 from docintake.schemas import TAG_FIELDS
 
 # Event kinds and working statuses.
@@ -117,15 +117,6 @@ def first_of_batch(batch: DataFrame, key: Sequence[str], columns: Sequence[str]
     return batch.groupBy(*key).agg(first).withColumn("starts_open", F.col("row.starts_open"))
 
 
-def events_of(
-    batch: DataFrame, events: DataFrame, key: Sequence[str], small: bool
-) -> DataFrame:
-    """Without the events of other links, if that can be told without a shuffle."""
-    if not small:
-        return events
-    return events.join(F.broadcast(batch.select(*key).distinct()), list(key), "left_semi")
-
-
 def _stamp(column: str, order: Sequence[str]) -> Column:
     return F.struct(*[F.col(f"{column}.{c}") for c in order])
 
@@ -135,11 +126,10 @@ def apply_writes(
     writes: DataFrame,
     key: Sequence[str] = KEY,
     order: Sequence[str] = ORDER,
-    small: bool = False,
 ) -> DataFrame:
     """The batch after its events. Columns that no event wrote keep their value."""
     net = first_of_batch(batch, key).drop("row").join(writes, list(key))
-    rows = skew_join(batch, net, key, ["id"], small=small)
+    rows = key_join(batch, net, key)
 
     last = F.col("w_last")
     # A broken answer fails its download, unless the link wants no tags any more.
@@ -171,9 +161,7 @@ def link_state(
     key: Sequence[str] = KEY,
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
-    small = is_small(batch)
-    writes = last_writes(events_of(batch, events, key, small), key, order)
-    return apply_writes(batch, writes, key, order, small)
+    return apply_writes(batch, last_writes(events, key, order), key, order)
 
 
 # --- the outcome of each single event ---------------------------------------
@@ -200,14 +188,13 @@ def _with_guard(
 ) -> DataFrame:
     """Events with ``known`` and, for known links, ``row`` and ``open``: whether the
     link still wanted tags when the event arrived."""
-    small = is_small(batch)
-    closings = guard_closings(events_of(batch, events, key, small), key, order)
+    closings = guard_closings(events, key, order)
     per_link = (
         first_of_batch(batch, key, columns)
         .join(closings, list(key), "left")
         .withColumn("known", F.lit(True))
     )
-    joined = skew_join(read_answers(events), per_link, key, order, how, small=small)
+    joined = key_join(read_answers(events), per_link, key, how)
     here = F.struct(*order)
     return joined.withColumn("known", F.coalesce("known", F.lit(False))).withColumn(
         "open",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docintake.functions import tagjson
 from docintake.functions.truth import non_empty
 from docintake.operators.scoring import TOP_PAGES
-from docintake.operators.skew import skew_join
+from docintake.operators.skew import key_join
 from docintake.schemas import TAG_FIELDS
 from docintake.session import materialize
 
@@ -87,7 +87,6 @@ def ask(distinct: DataFrame, complete: Complete, tasks: int | None = None) -> Da
 def complete_prompts(
     prompts: DataFrame,
     complete: Complete,
-    key: Sequence[str] = ("doc_id", "page_num"),
     known: DataFrame | None = None,
     tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
@@ -97,13 +96,14 @@ def complete_prompts(
     ``known`` already holds its answer. New answers are written before they are
     used, so later steps never call the model again.
     """
+    prompts = materialize(prompts, "prompts")
     new = distinct_prompts(prompts)
     if known is not None:
         new = new.join(known.select("prompt_hash"), "prompt_hash", "left_anti")
     answers = materialize(ask(new, complete, tasks), "answers")
     if known is not None:
         answers = known.unionByName(answers)
-    return skew_join(prompts, answers, ["prompt_hash"], key), answers
+    return key_join(prompts, answers, ["prompt_hash"]), answers
 
 
 def parse_tags(answers: DataFrame) -> DataFrame:
@@ -186,15 +186,19 @@ def tag_resolve(answered: DataFrame) -> DataFrame:
 
 
 def tag_in_rounds(
-    ranked_texts: DataFrame, complete: Complete, rounds: int = TOP_PAGES
-) -> DataFrame:
+    ranked_texts: DataFrame,
+    complete: Complete,
+    rounds: int = TOP_PAGES,
+    known: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """The same result, asking about a page only if the pages before it left the
     document open. ``ranked_texts`` holds ``doc_id, rank, page_num, text``.
 
+    Answers in ``known`` are not asked for again; all answers come back as well.
     There are as many jobs as rounds, not as many as documents, and each round's
     judged pages are written before the next one starts.
     """
-    open_pages, known, judged = materialize(ranked_texts, "ranked"), None, None
+    open_pages, judged = materialize(ranked_texts, "ranked"), None
     for rank in range(1, rounds + 1):
         here = open_pages.where(F.col("rank") == rank)
         answered, known = complete_prompts(build_prompts(here), complete, known=known)
@@ -206,7 +210,7 @@ def tag_in_rounds(
         judged = done if judged is None else judged.unionByName(done)
         closed = done.where(F.col("verdict").isin("titled", "abort")).select("doc_id")
         open_pages = open_pages.where(F.col("rank") > rank).join(closed, "doc_id", "left_anti")
-    return resolve_verdicts(judged)
+    return resolve_verdicts(judged), known
 
 
 def _of_class(rows: DataFrame, docs: DataFrame, pred: int) -> DataFrame:
@@ -232,13 +236,20 @@ def tag_all(docs: DataFrame, first_page: DataFrame, ranked: DataFrame) -> DataFr
 
 
 def tag_documents(
-    docs: DataFrame, first_page: DataFrame, ranked: DataFrame, complete: Complete
-) -> DataFrame:
-    """The same from page texts, asking the model only what each class needs.
+    docs: DataFrame,
+    first_page: DataFrame,
+    ranked: DataFrame,
+    complete: Complete,
+    known: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The same from page texts, asking the model only what each class needs, and all
+    answers by prompt hash.
 
-    Leave documents that already have tags out of ``docs``.
+    A prompt is asked once, whichever classes share it; hand the answers in as ``known``
+    and another run does not ask again. Leave documents that already have tags out of
+    ``docs``.
     """
     prompts = build_prompts(_of_class(first_page, docs, 1))
-    answered, _ = complete_prompts(prompts, complete)
-    three = tag_in_rounds(_of_class(ranked, docs, 3), complete)
-    return _routed(docs, tag_first_page(answered, F.lit(True)), three)
+    answered, known = complete_prompts(prompts, complete, known=known)
+    three, known = tag_in_rounds(_of_class(ranked, docs, 3), complete, known=known)
+    return _routed(docs, tag_first_page(answered, F.lit(True)), three), known

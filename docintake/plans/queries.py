@@ -23,7 +23,7 @@ from docintake.operators import (
     state,
     tagging,
 )
-from docintake.operators.skew import skew_join
+from docintake.operators.skew import key_join
 from docintake.plans import fixtures as fx
 from docintake.plans.lifecycle import Intake
 from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
@@ -151,7 +151,7 @@ def needs_tagging(spark: SparkSession, d: str) -> DataFrame:
         fx.links(spark, d), ["pdf_link"], "id", ["id", "title", "date"]
     )
     downloads = fx.link_events(spark, d).where(F.col("kind") == state.DOWNLOAD)
-    rows = skew_join(downloads, first, ["pdf_link"], state.ORDER)
+    rows = key_join(downloads, first, ["pdf_link"])
     known = F.col("id").isNotNull()
     return rows.select(
         "event_id",
@@ -161,10 +161,9 @@ def needs_tagging(spark: SparkSession, d: str) -> DataFrame:
 
 
 def partition_by_status(spark: SparkSession, d: str) -> DataFrame:
-    rows = _state(spark, d)
-    processed = batches.with_status(rows, state.PROCESSED).withColumn("part", F.lit("processed"))
-    waiting = batches.with_status(rows, state.UNPROCESSED).withColumn("part", F.lit("unprocessed"))
-    return processed.unionByName(waiting).select("id", "pdf_link", "status", "part")
+    part = F.when(F.col("status") == state.PROCESSED, "processed").otherwise("unprocessed")
+    kept = _state(spark, d).where(F.col("status").isin(state.PROCESSED, state.UNPROCESSED))
+    return kept.select("id", "pdf_link", "status", part.alias("part"))
 
 
 def prune_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -174,11 +173,9 @@ def prune_batch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bulk_transition(spark: SparkSession, d: str) -> DataFrame:
-    rows = _state(spark, d)
-    return rows.select("id", F.col("status").alias("before")).join(
-        batches.set_done(batches.set_processed(rows)).select("id", F.col("status").alias("after")),
-        "id",
-    )
+    rows = _state(spark, d).select("id", "pdf_link", "status", F.col("status").alias("before"))
+    moved = batches.set_done(batches.set_processed(rows))
+    return moved.select("id", "before", F.col("status").alias("after"))
 
 
 def status_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -278,7 +275,7 @@ def completed_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def url_route(spark: SparkSession, d: str) -> DataFrame:
-    rows = browser.url_route(fx.links(spark, d).withColumn("pdf_link", F.col("pdf_link")))
+    rows = browser.url_route(fx.links(spark, d))
     return rows.select(
         "id", "extension", "route", "page_type", "is_html", "no_extension", "is_pdf_file"
     )
@@ -426,7 +423,7 @@ def tag_resolve(spark: SparkSession, d: str) -> DataFrame:
 
 def tag_in_rounds(spark: SparkSession, d: str) -> DataFrame:
     """The staged form, asking the stand-in model round by round."""
-    return tagging.tag_in_rounds(_ranked_texts(spark, d), echo_model())
+    return tagging.tag_in_rounds(_ranked_texts(spark, d), echo_model())[0]
 
 
 def tag_all(spark: SparkSession, d: str) -> DataFrame:
@@ -438,9 +435,10 @@ def tag_all(spark: SparkSession, d: str) -> DataFrame:
 def tag_documents(spark: SparkSession, d: str) -> DataFrame:
     """From texts to tags, asking the stand-in model about what each class needs."""
     first = pagetext.first_page_texts(fx.doc_pages(spark, d)).select("doc_id", "page_num", "text")
-    return tagging.tag_documents(
+    tagged, _ = tagging.tag_documents(
         score_documents(spark, d), first, _ranked_texts(spark, d), echo_model()
     )
+    return tagged
 
 
 # --- labels and CSV -------------------------------------------------------------------
@@ -539,7 +537,7 @@ def stream_retry(spark: SparkSession, d: str) -> DataFrame:
 def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     path, checkpoint = _sink(spark)
     jobs.stream_rejects(
-        _event_stream(spark, d), fx.links(spark, d), path, checkpoint
+        _event_stream(spark, d), lambda: fx.links(spark, d), path, checkpoint
     ).awaitTermination()
     schema = "event_id long, pdf_link string, outcome int"
     return read_parts(spark, path, T.StructType.fromDDL(schema))
@@ -584,7 +582,7 @@ def big_event_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 def big_reconcile(spark: SparkSession, d: str) -> DataFrame:
     rows = reconcile.reconcile_downloads(
-        fx.big_events(spark, d), fx.big_links(spark, d), fx.BIG_ORDER
+        fx.big_events(spark, d), fx.big_links(spark, d)
     )
     return rows.select("pdf_link", "l_linenumber", "l_partkey", "filename", "id", "status")
 

@@ -58,19 +58,26 @@ def test_seed_decides(links):
 
 
 @pytest.mark.parametrize("size", [1, 7, 20, 35, 500])
-def test_large_claims_take_the_same_rows(links, size):
-    small = claims.pick(links, claims.wants_download(), size, "s")
-    large = claims.pick(links, claims.wants_download(), size, "s", top_k_max=0)
-    assert sorted(small.collect()) == sorted(large.collect())
-
-
-def test_large_claims_cut_inside_a_bucket(spark):
-    drawn = spark.createDataFrame(
-        [(n, f"{'0000' if n < 50 else '0001'}{(n * 7) % 50:04d}") for n in range(100)],
-        "id long, _draw string",
+def test_claims_are_the_first_in_draw_order(links, size):
+    got = claims.pick(links, claims.wants_download(), size, "s").orderBy("_turn").collect()
+    drawn = links.where(claims.wants_download()).withColumn("_draw", claims.draw_order("s"))
+    want = drawn.orderBy("_draw", "id").limit(size).collect()
+    assert [r["id"] for r in got] == [r["id"] for r in want]
+    assert [r["_turn"] for r in got] == list(range(1, len(want) + 1))
+
+
+def test_claims_cut_inside_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(
+        claims,
+        "draw_order",
+        lambda seed: F.format_string(
+            "%s%04d", F.when(F.col("id") < 50, "0000").otherwise("0001"), (F.col("id") * 7) % 50
+        ),
     )
+    rows = spark.range(100)
+    drawn = rows.withColumn("_draw", claims.draw_order("s"))
     for size in (10, 50, 60, 100, 200):
-        got = {r["id"] for r in claims._pick_many(drawn, size).collect()}
+        got = {r["id"] for r in claims.pick(rows, F.lit(True), size, "s").collect()}
         want = {r["id"] for r in drawn.orderBy("_draw", "id").limit(size).collect()}
         assert got == want
 
@@ -85,18 +92,21 @@ def test_claimed_rows_are_in_process_and_others_unchanged(links):
     assert not ids & {r["id"] for r in again.collect()}
 
 
-def test_claim_is_a_top_k_without_shuffle(spark, links, tmp_path):
+def test_claims_filter_at_the_scan_and_run_nothing_when_built(spark, links, tmp_path):
     links.write.parquet(str(tmp_path / "links"))
     stored = spark.read.parquet(str(tmp_path / "links"))
-    plan = claims.claim_batch(stored, 5, "s")._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    rows = claims.claim_batch(stored, 5, "s")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len(tracker.getJobIdsForGroup(None)) == before
     assert "IsNull(filename_location)" in plan and "Not(EqualTo(status,in_process))" in plan
 
 
 def test_worklist_is_numbered_in_draw_order(links):
     rows = batches.worklist(links, 6, "s").orderBy("position").collect()
     assert [r["position"] for r in rows] == [1, 2, 3, 4, 5, 6]
-    assert [r["id"] for r in rows] == [r["id"] for r in claims.claim_batch(links, 6, "s").collect()]
+    assert {r["id"] for r in rows} == {r["id"] for r in claims.claim_batch(links, 6, "s").collect()}
     assert batches.up_to(batches.worklist(links, 6, "s"), 4).count() == 4
 
 

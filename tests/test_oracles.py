@@ -7,6 +7,8 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_point
+from docintake.plans.oracles import ORACLES
+from docintake.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +16,16 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, sf_dir, name):
     rows = entry_point.queries()[name](spark, sf_dir)
     assert difference(rows, con, entry_point.oracle_sql()[name]) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):

@@ -23,76 +23,53 @@ def unique_right(spark):
     return spark.createDataFrame(rows, "key string, value long")
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
-def test_skew_join_equals_plain_join(hot_left, unique_right, how):
-    got = skew.skew_join(hot_left, unique_right, ["key"], ["id"], how, rows_per_part=100)
-    want = hot_left.join(unique_right, "key", how)
-    assert set(got.columns) == set(want.columns)
-    assert Counter(got.select(*want.columns).collect()) == Counter(want.collect())
-
-
-def test_only_frequent_keys_are_hot(hot_left):
-    want = hot_left.sparkSession.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
-    got = skew.hot_keys(hot_left, ["key"], 500).collect()
-    assert [(r["_hash"], r["_parts"]) for r in got] == [(want, 2)]
-    assert skew.hot_keys(hot_left, ["key"], 5000).count() == 0
+LOW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
 
 
-def test_what_is_broadcast_is_small_and_of_fixed_width(hot_left):
-    hot = skew.hot_keys(hot_left, ["key"], 1)
-    assert [f.dataType.simpleString() for f in hot.schema] == ["bigint", "int"]
-    assert skew.MAX_HOT * 16 < 1 << 20
+@pytest.fixture
+def low_thresholds(spark):
+    for k, v in LOW.items():
+        spark.conf.set(k, v)
+    yield
+    for k in LOW:
+        spark.conf.unset(k)
 
 
-def test_without_hot_keys_the_join_is_plain(hot_left, unique_right):
-    rows = skew.skew_join(hot_left, unique_right, ["key"], ["id"])
-    assert "_part" not in rows._jdf.queryExecution().analyzed().toString()
-
-
-def test_many_rows_without_a_key_are_spread(spark, unique_right):
-    left = spark.range(2000).select("id", F.lit(None).cast("string").alias("key"))
-    rows = skew.skew_join(left, unique_right, ["key"], ["id"], rows_per_part=100)
-    assert "_part" in rows._jdf.queryExecution().analyzed().toString()
-    assert rows.count() == 2000 and rows.where("value IS NOT NULL").isEmpty()
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
+def test_key_join_equals_join(hot_left, unique_right, low_thresholds, how):
+    got = skew.key_join(hot_left, unique_right, ["key"], how)
+    assert Counter(got.collect()) == Counter(hot_left.join(unique_right, "key", how).collect())
 
 
-def test_small_tables_are_told_by_rows_and_bytes(spark, monkeypatch):
-    rows = spark.createDataFrame([(n, "x" * 100) for n in range(50)], "id long, text string")
-    assert skew.is_small(rows) and skew.is_small(rows.limit(0))
-    monkeypatch.setattr(skew, "SMALL_BYTES", 50 * 100)
-    assert not skew.is_small(rows)
-    monkeypatch.undo()
-    monkeypatch.setattr(skew, "SMALL_ROWS", 49)
-    assert not skew.is_small(rows)
+@pytest.mark.parametrize("key", ["hot", None])
+def test_a_third_of_the_rows_under_one_key_are_split(spark, unique_right, low_thresholds, key):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(key)).otherwise(F.concat(F.lit("k"), F.col("id") % 40))
+    left = spark.range(0, 60_000, 1, 8).select("id", hot.alias("key"), F.uuid().alias("payload"))
+    joined = skew.key_join(left, unique_right, ["key"])
+    assert joined.count() == 60_000
+    rows = joined.select("id", "value", F.length("payload"))
+    rows.collect()
+    assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_small_right_side_is_joined_without_a_shuffle(hot_left, unique_right):
-    rows = skew.skew_join(hot_left, unique_right, ["key"], ["id"], small=True)
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
-    assert Counter(rows.collect()) == Counter(hot_left.join(unique_right, "key", "left").collect())
+def test_a_side_is_broadcast_by_its_measured_size_only(spark, tmp_path):
+    batch = spark.range(100).select("id", F.lit("u").alias("pdf_link"))
+    wide = batch.select("pdf_link", F.repeat(F.lit("x"), 500_000).alias("title"))
+    right = wide.groupBy("pdf_link").agg(F.max("title").alias("title"))
+    joined = skew.key_join(batch, right, ["pdf_link"])
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().analyzed().toString()
 
 
 def test_key_types_must_agree(spark, hot_left):
     other = spark.range(3).select(F.col("id").alias("key"))
     with pytest.raises(ValueError):
-        skew.skew_join(hot_left, other, ["key"], ["id"])
-
-
-def test_hot_rows_spread_over_many_tasks(spark, hot_left, unique_right):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = skew.skew_join(hot_left, unique_right, ["key"], ["id"], rows_per_part=100)
-        per_task = (
-            joined.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-        )
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # 1,000 rows in ten parts, spread over eight tasks.
-    assert len(per_task) >= 4
-    assert max(r["count"] for r in per_task) < 600
+        skew.key_join(hot_left, other, ["key"])
 
 
 def test_running_equals_a_window(spark):

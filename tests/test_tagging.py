@@ -96,7 +96,7 @@ def test_rounds_give_the_same_and_ask_no_more_than_needed(spark, documents, tmp_
         return [answer_of[t] for t in texts]
 
     rows = spark.createDataFrame(pages(documents), SCHEMA).drop("completion")
-    result = tagging.tag_in_rounds(rows, complete)
+    result, _ = tagging.tag_in_rounds(rows, complete)
     got = {r["doc_id"]: (r["result"], r["title"]) for r in result.collect()}
     result.collect()
     assert got == {doc: by_hand(answers) for doc, answers in documents.items()}
@@ -287,6 +287,27 @@ def test_the_model_is_asked_only_for_the_class_of_a_document(spark, tmp_path):
         [(n, r, r, f"ranked{n}-{r}") for n in (1, 2, 3) for r in (1, 2)],
         "doc_id long, page_num int, rank int, text string",
     )
-    got = tagging.tag_documents(docs, first, ranked, complete).collect()
+    got = tagging.tag_documents(docs, first, ranked, complete)[0].collect()
     assert {r["doc_id"]: r["result"] for r in got} == {1: "tagged", 2: "none", 3: "tagged"}
     assert {p.name for p in calls.iterdir()} == {"first1", "ranked3-1"}
+
+
+def test_a_prompt_that_classes_share_is_asked_once_and_never_again(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def complete(batch):
+        for m in batch:
+            with open(calls / json.loads(m)[-1]["content"], "a") as f:
+                f.write("x")
+        return [GOOD] * len(batch)
+
+    docs = spark.createDataFrame([(1, 1), (3, 3)], "doc_id long, pred int")
+    first = spark.createDataFrame([(1, 1, "same")], "doc_id long, page_num int, text string")
+    ranked = spark.createDataFrame(
+        [(3, 1, 1, "same")], "doc_id long, page_num int, rank int, text string"
+    )
+    once, answers = tagging.tag_documents(docs, first, ranked, complete)
+    again, _ = tagging.tag_documents(docs, first, ranked, complete, answers)
+    assert sorted(once.collect()) == sorted(again.collect())
+    assert {p.name: p.read_text() for p in calls.iterdir()} == {"same": "x"}
