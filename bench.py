@@ -21,7 +21,6 @@ HEADLINE = (
     "archive_on_download",
     "reconcile_downloads",
     "retry_sweeps",
-    "retry_candidates",
     "score_documents",
     "title_page_top3",
     "title_page_text",
@@ -35,6 +34,7 @@ HEADLINE = (
     "big_event_outcomes",
     "big_reconcile",
     "big_retry_sweeps",
+    "big_retry_candidates",
 )
 
 

@@ -217,6 +217,12 @@ def archive_on_download(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", *ARCHIVED)
 
 
+def archive_one(spark: SparkSession, d: str) -> DataFrame:
+    """What archiving a single link writes, whatever its status."""
+    link = fx.links(spark, d).where("id = 7").first()["pdf_link"]
+    return batches.first_archive(_state(spark, d), link).select(*ARCHIVED)
+
+
 def archive_truncate(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     archive.append_archive(batches.archive_rows(fx.links(spark, d)), path, "run-1")
@@ -494,6 +500,14 @@ def csv_snapshot_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def csv_snapshot_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a limited snapshot after an import."""
+    rows, path = fx.big_links(spark, d), scratch_path(spark, "snapshot")
+    csvfiles.export_snapshot(rows, path, "id")
+    back = csvfiles.import_snapshot(spark, path, rows.schema)
+    return back.select("id", "pdf_link", "status", "classify", "filename_location")
+
+
 # --- streaming ------------------------------------------------------------------------
 
 
@@ -587,13 +601,21 @@ def big_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("pdf_link", "l_linenumber", "l_partkey", "filename", "id", "status")
 
 
+CLIENT_ORDER = ("ts", "pdf_link", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
 def big_retry_sweeps(spark: SparkSession, d: str) -> DataFrame:
-    order = ("ts", "pdf_link", "l_linenumber", "l_partkey", "l_extendedprice")
-    return reconcile.retry_sweeps(fx.big_events(spark, d), order).select(
+    return reconcile.retry_sweeps(fx.big_events(spark, d), CLIENT_ORDER).select(
         "client_id", "sweep_no", "pdf_link", "l_linenumber", "l_partkey"
     )
 
 
+def big_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Clients with many links, of which every fourth is unknown to the table."""
+    known = fx.big_links(spark, d).where(F.col("id") % 4 != 0)
+    return reconcile.retry_candidates(fx.big_events(spark, d), known, CLIENT_ORDER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -654,6 +676,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mixed_worklist,
         csv_roundtrip,
         csv_snapshot_counts,
+        csv_snapshot_rows,
+        archive_one,
         stream_link_state,
         stream_archive,
         stream_retry,
@@ -665,5 +689,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         big_event_outcomes,
         big_reconcile,
         big_retry_sweeps,
+        big_retry_candidates,
     )
 }

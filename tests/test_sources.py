@@ -17,7 +17,7 @@ def test_label_file(spark, tmp_path):
         ",LINK,Presentation?\n0,http://a,Yes\n1,http://b,No\n2,http://c,50/50\n"
         '3,http://d,\n4,http://e,maybe\n5,"http://f,""x""\nz",Yes\n'
     )
-    rows = labels.ingest(csvfiles.read_labels(spark, str(path)))
+    rows = labels.ingest(csvfiles.read_labels(spark, str(path), multi_line=True))
     assert rows.columns == ["pdf_link", "Presentation?", "classify_op"]
     assert [r["classify_op"] for r in rows.collect()] == [1, 2, 3, 0, 0, 1]
     assert rows.collect()[5]["pdf_link"] == 'http://f,"x"\nz'
@@ -27,6 +27,22 @@ def test_label_file(spark, tmp_path):
     assert [(r["value"], r["n"]) for r in raw] == [("Yes", 2), ("50/50", 1), ("No", 1), ("maybe", 1)]
 
 
+def test_words_for_missing_values(spark, tmp_path):
+    path = tmp_path / "labels.csv"
+    path.write_text(",LINK,Presentation?\n0,http://a,NA\n1,http://b,null\n2,http://c,N/A\n3,NaN,Yes\n")
+    rows = labels.ingest(csvfiles.read_labels(spark, str(path)))
+    assert [(r["pdf_link"], r["Presentation?"]) for r in rows.collect()] == [
+        ("http://a", None),
+        ("http://b", None),
+        ("http://c", None),
+        (None, "Yes"),
+    ]
+    counts = labels.value_counts(rows, "Presentation?").collect()
+    assert [(r["value"], r["n"]) for r in counts] == [("Yes", 1)]
+    kept = csvfiles.read_labels(spark, str(path), missing=())
+    assert [r["Presentation?"] for r in kept.collect()] == ["NA", "null", "N/A", "Yes"]
+
+
 def test_dataset_file(spark, tmp_path):
     path = tmp_path / "dataset.csv"
     path.write_text("presentation,fname\n3,a.pdf\n1,b.pdf\n3,c.pdf\n")
