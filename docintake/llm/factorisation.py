@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from docintake.llm.common import chunks, fresh, on_batches, table, texts_of
+from docintake.llm.fragments import starts_of_texts
 from docintake.llm.shingles import STEP, mixed, words_of
 
 # Hashed words.
@@ -103,6 +104,7 @@ def features(texts: pa.Array, n_chars: np.ndarray) -> tuple[np.ndarray, np.ndarr
     doubled = np.zeros(len(data), bool)
     if len(data) > 1:
         doubled[1:] = data[1:] == data[:-1]
+        doubled &= ~starts_of_texts(len(data), bounds)
     stats = np.stack(
         [
             np.ones(n),
