@@ -101,7 +101,9 @@ def reset_null_tags(links: DataFrame) -> DataFrame:
     return links.withColumn("status", F.when(is_stuck(), READY).otherwise(F.col("status")))
 
 
-def first_rows(rows: DataFrame, key: Sequence[str], position: str, columns: Sequence[str]) -> DataFrame:
+def first_rows(
+    rows: DataFrame, key: Sequence[str], position: str, columns: Sequence[str]
+) -> DataFrame:
     """The first row per key by position, as an aggregate that combines before the shuffle."""
     picked = F.min(F.struct(F.col(position), *[c for c in columns if c != position]))
     return (

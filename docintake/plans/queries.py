@@ -19,6 +19,7 @@ from docintake.operators import (
     pagetext,
     patches,
     reconcile,
+    results,
     scoring,
     state,
     tagging,
@@ -447,6 +448,32 @@ def tag_documents(spark: SparkSession, d: str) -> DataFrame:
     return tagged
 
 
+def _worked_events(spark: SparkSession, d: str) -> DataFrame:
+    """The event log, its classes and tags worked out from the documents."""
+    events = fx.link_events(spark, d).drop("pred", "tag_json")
+    first = pagetext.first_page_texts(fx.doc_pages(spark, d)).select("doc_id", "page_num", "text")
+    worked, _ = results.with_results(
+        _working(spark, d),
+        events.withColumn("doc_id", F.col("event_id") % 200),
+        score_documents(spark, d),
+        first,
+        _ranked_texts(spark, d),
+        echo_model(),
+    )
+    return worked
+
+
+def document_to_state(spark: SparkSession, d: str) -> DataFrame:
+    """Downloaded documents scored and tagged, and what that makes of the links."""
+    rows = state.link_state(_working(spark, d), _worked_events(spark, d))
+    return rows.select(*STATE_COLUMNS)
+
+
+def document_to_archive(spark: SparkSession, d: str) -> DataFrame:
+    rows = state.archive_on_download(_working(spark, d), _worked_events(spark, d))
+    return rows.select("event_id", *ARCHIVED)
+
+
 # --- labels and CSV -------------------------------------------------------------------
 
 
@@ -670,6 +697,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_in_rounds,
         tag_all,
         tag_documents,
+        document_to_state,
+        document_to_archive,
         label_ingest,
         label_value_counts,
         label_value_counts_raw,

@@ -41,3 +41,9 @@ def test_stand_in_models_need_no_module_on_the_executors(tmp_path):
         (tmp_path / "model").write_bytes(cloudpickle.dumps(model))
         load = f"import pickle; pickle.load(open({str(tmp_path / 'model')!r}, 'rb'))"
         subprocess.run([sys.executable, "-c", load], cwd=tmp_path, check=True)
+
+
+def test_sweeps_of_busy_clients_find_downloads_of_both_kinds(spark):
+    rows = QUERIES["big_retry_candidates"](spark, "/root/testdata/sf0.01").collect()
+    assert {r["action"] for r in rows} == {"delete", "download"}
+    assert any(r["first_sweep"] < r["last_sweep"] for r in rows)
