@@ -12,6 +12,8 @@ is one token, as the library has it by default.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -43,7 +45,7 @@ def frequencies(block: Block) -> dict:
     }
 
 
-def sums(kept: dict, pieces: pa.Array) -> dict:
+def sums(kept: dict, pieces: pa.Array) -> Iterator[dict]:
     n_pairs = np.array(kept["n_pairs"], np.int64)
     total = int(n_pairs.sum())
     per_word = pieces.to_numpy().astype(np.int64)
@@ -51,7 +53,7 @@ def sums(kept: dict, pieces: pa.Array) -> dict:
     upto = np.concatenate([[0], np.cumsum(counted)])
     ends = np.cumsum(n_pairs)
     n_tokens = upto[ends] - upto[ends - n_pairs]
-    return {"doc_id": kept["doc_id"], "n_bytes": kept["n_bytes"], "n_tokens": n_tokens}
+    yield {"doc_id": kept["doc_id"], "n_bytes": kept["n_bytes"], "n_tokens": n_tokens}
 
 
 def token_counts(docs: DataFrame, tokenizer: str, special: str | None = SPECIAL) -> DataFrame:

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from docintake.llm.common import arrow_schema, chunks, on_batches, texts_of, whole_text
 from docintake.llm.fragments import cut_pretokens, fragment_array
 
-# Bytes of text in a block; a longer text is a block of its own.
+# Bytes of text in a block, or a little more. Larger blocks shuffle fewer distinct words
+# and take more memory.
 BLOCK_BYTES = 16 << 20
 
 
@@ -50,36 +51,61 @@ def split_at(texts: pa.Array, special: str) -> tuple[pa.Array, np.ndarray, np.nd
     return pa.array(flat, pa.string()), owner, odd
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch], special: str | None) -> Iterator[Block]:
-    for chunk in chunks(batches, most=BLOCK_BYTES):
-        texts = chunk.column("text")
-        data, whole = texts_of(texts)
+def cut_chunk(chunk: pa.RecordBatch, special: str | None) -> tuple[pa.Array, np.ndarray]:
+    """The pre-tokens of a chunk, dictionary-encoded, and how many each text has."""
+    texts = chunk.column("text")
+    data, bounds = texts_of(texts)
+    owner = np.arange(chunk.num_rows)
+    found = special and pc.any(pc.match_substring(texts, special)).as_py()
+    if found:
+        segments, owner, odd = split_at(texts, special)
+        data, bounds = texts_of(segments)
+    starts = cut_pretokens(data, bounds)
+    segment = np.searchsorted(bounds, starts, "right") - 1
+    if found:
+        keep = ~odd[segment] | (starts == bounds[segment])
+        starts, segment = starts[keep], segment[keep]
+    counts = np.bincount(owner[segment], minlength=chunk.num_rows)
+    return fragment_array(data, starts).dictionary_encode(), counts
+
+
+def blocks_of(
+    batches: Iterator[pa.RecordBatch], special: str | None, size: int
+) -> Iterator[Block]:
+    """Blocks of about ``size`` bytes of text, cut chunk by chunk."""
+    held: list[tuple] = []
+    filled = 0
+    for chunk in chunks(batches):
+        data, bounds = texts_of(chunk.column("text"))
+        n_bytes = np.diff(bounds)
         named = xxhash.xxh3_64(np.ascontiguousarray(data))
-        named.update(np.ascontiguousarray(whole))
+        named.update(n_bytes)
         named.update(repr(chunk.column("doc_id").to_pylist()).encode())
-        bounds, owner = whole, np.arange(chunk.num_rows)
-        found = special and pc.any(pc.match_substring(texts, special)).as_py()
-        if found:
-            segments, owner, odd = split_at(texts, special)
-            data, bounds = texts_of(segments)
-        starts = cut_pretokens(data, bounds)
-        segment = np.searchsorted(bounds, starts, "right") - 1
-        if found:
-            keep = ~odd[segment] | (starts == bounds[segment])
-            starts, segment = starts[keep], segment[keep]
-        coded = fragment_array(data, starts).dictionary_encode()
-        words, which = coded.dictionary, coded.indices.to_numpy()
-        by_count = np.argsort(-np.bincount(which, minlength=len(words)), kind="stable")
-        number = np.empty(len(words), np.uint32)
-        number[by_count] = np.arange(len(words), dtype=np.uint32)
-        yield Block(
-            named.intdigest() - (1 << 63),
-            chunk.column("doc_id"),
-            np.diff(whole),
-            np.bincount(owner[segment], minlength=chunk.num_rows),
-            words.take(pa.array(by_count)),
-            number[which],
-        )
+        held.append((chunk.column("doc_id"), n_bytes, named.digest(), *cut_chunk(chunk, special)))
+        filled += len(data)
+        if filled >= size:
+            yield joined(held)
+            held, filled = [], 0
+    if held:
+        yield joined(held)
+
+
+def joined(held: list[tuple]) -> Block:
+    doc_ids, n_bytes, names, coded, counts = zip(*held, strict=True)
+    whole = pa.chunked_array(coded).unify_dictionaries()
+    words = whole.chunk(0).dictionary
+    which = np.concatenate([c.indices.to_numpy() for c in whole.chunks])
+    by_count = np.argsort(-np.bincount(which, minlength=len(words)), kind="stable")
+    number = np.empty(len(words), np.uint32)
+    number[by_count] = np.arange(len(words), dtype=np.uint32)
+    return Block(
+        xxhash.xxh3_64_intdigest(b"".join(names)) - (1 << 63),
+        pa.concat_arrays(doc_ids),
+        np.concatenate(n_bytes),
+        np.concatenate(counts),
+        words.take(pa.array(by_count)),
+        number[which],
+    )
 
 
 def squeeze(numbers: np.ndarray) -> bytes:
@@ -100,19 +126,21 @@ def through_words(
     make_value: Callable[[], Callable[[list[str]], pa.Array]],
     keep: Callable[[Block], dict],
     kept: str,
-    finish: Callable[[dict, pa.Array], dict],
+    finish: Callable[[dict, pa.Array], Iterator[dict]],
     result: str,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Documents by way of their distinct words.
 
     ``make_value`` gives, once per task, the function from distinct words to their values
     of Spark type ``value``. ``keep`` says what stays of a block (columns ``kept``), and
-    ``finish`` makes the columns ``result`` from that and the values in word order.
+    ``finish`` makes the columns ``result`` from that and the values in word order, some
+    documents at a time.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches, special):
+        for block in blocks_of(batches, special, block_bytes):
             n = len(block.words)
             names, slots = pa.array(np.full(n, block.name)), pa.array(np.arange(n, dtype=np.int32))
             columns = [names, slots, block.words.cast(pa.string())]
@@ -137,7 +165,7 @@ def through_words(
             yield pa.RecordBatch.from_arrays(columns, ["block", "slot", "value"])
 
     def keep_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches, special):
+        for block in blocks_of(batches, special, block_bytes):
             row = {"block": block.name, "n_distinct": len(block.words), **keep(block)}
             yield pa.RecordBatch.from_pylist([row], schema=kept_schema)
 
@@ -151,8 +179,14 @@ def through_words(
         column = right.column("value")
         column = column.chunk(0) if column.num_chunks else pa.array([], column.type)
         column = column.take(pa.array(order))
-        tables = [pa.Table.from_pydict(finish(row, column), schema=result_schema) for row in rows]
-        return pa.concat_tables(tables)
+        return pa.Table.from_batches(
+            [
+                pa.RecordBatch.from_pydict(some, schema=result_schema)
+                for row in rows
+                for some in finish(row, column)
+            ],
+            schema=result_schema,
+        )
 
     fields = f"block long, n_distinct int, {kept}"
     kept_schema = arrow_schema(docs.sparkSession, fields)

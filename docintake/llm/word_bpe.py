@@ -12,8 +12,9 @@ other than ``doc_id`` and ``text`` are not read. No string inside a text is spec
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +30,12 @@ from docintake.llm.word_blocks import Block, spread, squeeze, through_words
 
 RANKS = "byte_bpe_50k.tiktoken"
 
+# Bytes of text in a block; ids come back for each of its distinct words.
+BLOCK_BYTES = 32 << 20
+
+# Words that are laid out at a time.
+WORDS_AT_ONCE = 400_000
+
 
 @lru_cache(maxsize=2)
 def ranks(path: str) -> dict[bytes, int]:
@@ -61,39 +68,85 @@ def sequence(block: Block) -> dict:
     }
 
 
-def lay_out(kept: dict, word_ids: pa.Array) -> dict:
-    """Ids of each document, by the positions of its words."""
-    n_words = np.array(kept["n_words"], np.int64)
-    slots = spread(kept["positions"], int(n_words.sum()))
-    size = np.diff(word_ids.offsets.to_numpy())
-    pool = word_ids.flatten().to_numpy()
-    lengths = size[slots].astype(np.int64)
-    ids = pool[ranges((np.cumsum(size) - size)[slots], lengths)]
-    upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(n_words)])]
-    listed = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids, pa.int32()))
-    return {"doc_id": kept["doc_id"], "ids": listed}
-
-
-def encode(docs: DataFrame, rank_file: str) -> DataFrame:
-    """``doc_id`` and ``ids`` of every whole text, as the tiktoken library would give them."""
+def id_code(path: str) -> str:
+    """How a word's ids travel: as 16-bit numbers where the vocabulary allows."""
+    return "H" if max(ranks(path).values()) < 1 << 16 else "I"
+
+
+def lay_out(kept: dict, word_ids: pa.Array, code: str) -> Iterator[dict]:
+    """Ids of each document, by the positions of its words, some documents at a time."""
+    width = np.dtype(code)
+    _, offsets, pool = word_ids.buffers()
+    ends = np.frombuffer(offsets, np.int32)[word_ids.offset : word_ids.offset + len(word_ids) + 1]
+    size = np.diff(ends) // width.itemsize
+    pool = np.frombuffer(pool, width) if pool is not None else np.zeros(0, width)
+    words_upto = np.concatenate([[0], np.cumsum(np.array(kept["n_words"], np.int64))])
+    slots = spread(kept["positions"], int(words_upto[-1]))
+    first, n_docs = 0, len(kept["doc_id"])
+    while first < n_docs:
+        last = int(np.searchsorted(words_upto, words_upto[first] + WORDS_AT_ONCE, "right")) - 1
+        last = max(first + 1, min(last, n_docs))
+        upto = words_upto[first : last + 1]
+        here = slots[upto[0] : upto[-1]]
+        lengths = size[here].astype(np.int64)
+        ids = pool[ranges((ends[:-1] // width.itemsize)[here].astype(np.int64), lengths)]
+        listed = np.concatenate([[0], np.cumsum(lengths)])[upto - upto[0]].astype(np.int32)
+        yield {
+            "doc_id": kept["doc_id"][first:last],
+            "ids": pa.ListArray.from_arrays(pa.array(listed), pa.array(ids.astype(np.int32))),
+        }
+        first = last
+
+
+def bytes_of(lists: pa.ListArray, path: str) -> pa.Array:
+    """The bytes that lists of ids decode to: each id is looked up in the token-byte table."""
+    starts, size, pool = token_bytes(path)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    valid = lists.is_valid().to_numpy(zero_copy_only=False)
+    upto = np.concatenate([[0], np.cumsum(size[ids])])
+    ends = upto[np.cumsum(np.diff(lists.offsets.to_numpy()) * valid)]
+    data = pool[ranges(starts[ids], size[ids])]
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    found = pa.Array.from_buffers(pa.binary(), len(lists), buffers)
+    return pc.if_else(pa.array(valid), found, pa.scalar(None, pa.binary()))
+
+
+def lay_out_and_decode(kept: dict, word_ids: pa.Array, code: str, path: str) -> Iterator[dict]:
+    for some in lay_out(kept, word_ids, code):
+        yield {**some, "decoded": bytes_of(some["ids"], path)}
+
+
+def encode(docs: DataFrame, rank_file: str, decoded: bool = False) -> DataFrame:
+    """``doc_id`` and ``ids`` of every whole text, as the tiktoken library would give them.
+
+    With ``decoded`` also the bytes that the ids decode to, worked out where the ids are
+    laid out, so that they need not travel once more.
+    """
+    code = id_code(rank_file)
 
     def encoder():
         library = encoding(rank_file)
 
         def of_words(words: list[str]) -> pa.Array:
-            return pa.array([library.encode_ordinary(w) for w in words], pa.list_(pa.int32()))
+            found = [array(code, library.encode_ordinary(w)).tobytes() for w in words]
+            return pa.array(found, pa.binary())
 
         return of_words
 
+    finish = partial(lay_out, code=code)
+    if decoded:
+        finish = partial(lay_out_and_decode, code=code, path=rank_file)
     return through_words(
         docs,
         None,
-        "array<int>",
+        "binary",
         encoder,
         sequence,
         "doc_id array<long>, n_words array<int>, positions binary",
-        lay_out,
-        "doc_id long, ids array<int>",
+        finish,
+        "doc_id long, ids array<int>" + ", decoded binary" * decoded,
+        BLOCK_BYTES,
     )
 
 
@@ -105,23 +158,12 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
     """
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, size, pool = token_bytes(rank_file)
         for batch in batches:
             for first in range(0, batch.num_rows, 1000):
                 part = batch.slice(first, 1000)
-                lists = part.column("ids")
-                ids = lists.flatten().to_numpy(zero_copy_only=False)
-                upto = np.concatenate([[0], np.cumsum(size[ids])])
-                per_row = np.diff(lists.offsets.to_numpy()) * lists.is_valid().to_numpy(False)
-                ends = upto[np.cumsum(per_row)]
-                data = pool[ranges(starts[ids], size[ids])]
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                valid = pa.array(lists.is_valid().to_numpy(False))
-                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
-                decoded = pa.Array.from_buffers(pa.binary(), part.num_rows, buffers)
-                decoded = pc.if_else(valid, decoded, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, decoded], [*part.schema.names, "decoded"]
+                    [*part.columns, bytes_of(part.column("ids"), rank_file)],
+                    [*part.schema.names, "decoded"],
                 )
 
     fields = [*encoded.schema.fields, StructField("decoded", BinaryType())]
@@ -132,7 +174,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``op7``: number and checksum of each document's ids, and checksum of the bytes
     that they decode to."""
     path = public_tokenizers.path(RANKS)
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = encode(table(spark, sf_dir, "documents"), path, decoded=True)
     digits = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select(
         "doc_id",
