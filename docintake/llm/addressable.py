@@ -103,7 +103,8 @@ class Codes:
                 break
             stretch = place // RANK_BITS
             before = bits[stretch * RANK_BITS // 8 : byte]
-            within = int(np.bitwise_count(before).sum()) + (int(bits[byte]) & (1 << bit) - 1).bit_count()
+            same_byte = int(bits[byte]) & (1 << bit) - 1
+            within = int(np.bitwise_count(before).sum()) + same_byte.bit_count()
             place = int(rank[stretch]) + within
         return value
 
@@ -230,7 +231,8 @@ def tokens_at(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 codes = Codes(row["codes"])
                 ids = [codes[p - row["before"]] for p in row["asked"]]
-                yield pa.RecordBatch.from_pydict({"place": row["asked"], "id": pa.array(ids, "int64")})
+                found = {"place": row["asked"], "id": pa.array(ids, pa.int64())}
+                yield pa.RecordBatch.from_pydict(found)
 
     return on_batches(met.select("codes", "before", "asked"), pick, "place long, id long")
 

@@ -73,7 +73,11 @@ def first_names(docs: DataFrame, size: int, fingerprint: Callable[..., Column])
             blocks_of(F.col("norm"), size).alias("blocks"),
         )
         .select(
-            "row", "doc_id", "text_sha256", F.size("blocks").alias("n_blocks"), F.posexplode("blocks")
+            "row",
+            "doc_id",
+            "text_sha256",
+            F.size("blocks").alias("n_blocks"),
+            F.posexplode("blocks"),
         )
         .select(
             "row",

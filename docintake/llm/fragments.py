@@ -38,6 +38,10 @@ WHITE_SPACE = (
 )
 
 
+# Fixed values of UTF-8: range of the first byte, bytes, and the first byte's share.
+LEADS = ((0xC0, 0xE0, 2, 0x1F), (0xE0, 0xF0, 3, 0x0F), (0xF0, 0xF8, 4, 0x07))
+
+
 @lru_cache(maxsize=1)
 def known_classes() -> np.ndarray:
     """The class of every code point met so far, UNKNOWN for others."""
@@ -78,7 +82,7 @@ def starts_of_texts(size: int, bounds: np.ndarray) -> np.ndarray:
 def classes_of(data: np.ndarray) -> np.ndarray:
     """The class of each byte; all bytes of a UTF-8 character have the character's."""
     kind = known_classes()[data]
-    for low, high, width, bits in ((0xC0, 0xE0, 2, 0x1F), (0xE0, 0xF0, 3, 0x0F), (0xF0, 0xF8, 4, 7)):
+    for low, high, width, bits in LEADS:
         lead = np.flatnonzero((data >= low) & (data < high))
         lead = lead[lead + width <= len(data)]
         point = (data[lead] & bits).astype(np.int64)

@@ -89,7 +89,8 @@ def as_numbers(docs: DataFrame, dimensions: Sequence[str]) -> dict[str, Column]:
             numbers[d] = F.col(d).cast("double")
             continue
         skip = common_start(found[f"<{d}"] or "", found[f">{d}"] or "")
-        rest = F.substring(F.encode(F.substring(F.col(d).cast("string"), skip + 1, 7), "utf-8"), 1, 7)
+        behind = F.substring(F.col(d).cast("string"), skip + 1, 7)
+        rest = F.substring(F.encode(behind, "utf-8"), 1, 7)
         padded = F.rpad(F.hex(rest), 14, "0")
         numbers[d] = F.conv(padded, 16, 10).cast("double")
     return numbers
@@ -126,9 +127,14 @@ class CurveFiles:
 
 
 def write_along_curve(
-    docs: DataFrame, path: str, dimensions: Sequence[str] = DIMENSIONS, bits: int = BITS
+    docs: DataFrame,
+    path: str,
+    dimensions: Sequence[str] = DIMENSIONS,
+    bits: int = BITS,
+    runs: int | None = None,
 ) -> CurveFiles:
-    """Write all columns of ``docs`` in curve order, one run per task."""
+    """Write all columns of ``docs`` in curve order, one run per task; ``runs`` sets how
+    many, otherwise Spark does."""
     if bits * len(dimensions) > GRID_BITS:
         raise ValueError(f"the grid may have {GRID_BITS} bits")
     spark, n = docs.sparkSession, len(dimensions)
@@ -148,7 +154,7 @@ def write_along_curve(
         docs.withColumn(point, code)
         .join(F.broadcast(places), point)
         .drop(point)
-        .repartitionByRange(*order, F.xxhash64("text"))
+        .repartitionByRange(*([runs] if runs else []), *order, F.xxhash64("text"))
         .sortWithinPartitions(*order, F.xxhash64("text"), "text")
         .withColumn(names.position, F.monotonically_increasing_id())
         .write.parquet(path)

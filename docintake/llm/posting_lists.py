@@ -234,11 +234,9 @@ def search(
                     ["list", "own", "node", "embedding"],
                 )
 
+    fields = "list int, own boolean, node long, embedding array<double>"
     posted = written(
-        on_batches(
-            firsts.select("node", "embedding"), post, "list int, own boolean, node long, embedding array<double>"
-        ),
-        "posting-lists",
+        on_batches(firsts.select("node", "embedding"), post, fields), "posting-lists"
     )
     sizes = posted.groupBy("list").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("own").cast("long")).alias("own")
@@ -251,7 +249,8 @@ def search(
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
-                chosen = index.lists_to_read(unit(matrix(part.column("embedding"))), held[:, 1], k + 1)
+                asks = unit(matrix(part.column("embedding")))
+                chosen = index.lists_to_read(asks, held[:, 1], k + 1)
                 take = pa.array(np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -310,8 +309,8 @@ def search(
         at, of = np.repeat(np.arange(len(q)), most), best.ravel()
         exact = cosine(q[at], v[of])
         chosen = np.lexsort((nodes[of], -exact, at)).reshape(len(q), most)[:, : k + 1].ravel()
-        found = [pa.array(queries[at[chosen]]), pa.array(nodes[of[chosen]]), pa.array(exact[chosen])]
-        return pa.Table.from_arrays(found, schema=schema)
+        columns = (queries[at[chosen]], nodes[of[chosen]], exact[chosen])
+        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     key = ["list", "part", "turn"]
     scanned = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
