@@ -11,8 +11,9 @@ full sets.
 **No pairs within a group.** Documents with equal sets are one class. In a bucket of classes
 one leader is compared with all others. Jaccard distance is a metric, so the results say
 which of the others can still be linked with each other: a class further from every class
-outside its component than the limit allows is done. The rest goes on with a new leader,
-until no bucket has classes that might be linked and are not connected. A group of
+outside its component than the limit allows is done. So is one that has too many shingles
+to itself to be linked with any of the others. The rest goes on with more leaders, until no
+bucket has classes that might be linked and are not connected. A group of
 near-copies is done after one leader, whatever its size.
 
 Defined results: a text that is null or has no words has an empty set and is linked with
@@ -45,8 +46,15 @@ BANDS = BUCKETS // ROWS
 # Linked at 100 * intersection >= 75 * union.
 SIMILARITY = 75
 
+# Leaders of a bucket in the second turn; in each further turn so many times more.
+FEW_LEADERS = 32
+
+# Members of a bucket that leaders meet in one group.
+PART = 4096
+
 # An estimate may be off by this many standard deviations before it rejects a pair.
 DEVIATIONS = 6.0
+SPREAD = SIMILARITY / 100 * (1 - SIMILARITY / 100)
 
 
 @lru_cache(maxsize=1)
@@ -90,13 +98,13 @@ def chance(n: int, m: int) -> float:
     """The share of buckets in which two disjoint sets of these sizes agree by chance.
 
     The smallest of k uniform numbers lies in [a, b] with probability (1-a)^k - (1-b)^k;
-    a register value is such an interval. Every second value of the mantissa is enough.
+    a register value is such an interval.
     """
     per, other = max(n / BUCKETS, 1.0), max(m / BUCKETS, 1.0)
-    total = 0.0
+    total, steps = 0.0, 1 + np.arange((1 << MANTISSA_BITS) + 1) / (1 << MANTISSA_BITS)
     for zeros in range(53):
-        edge = 2.0 ** -(zeros + 1) * (1 + np.arange((1 << MANTISSA_BITS) + 1) / (1 << MANTISSA_BITS))
-        a, b = np.exp(per * np.log1p(-edge * 0.999999)), np.exp(other * np.log1p(-edge * 0.999999))
+        beyond = np.log1p(-0.999999 * steps * 2.0 ** -(zeros + 1))
+        a, b = np.exp(per * beyond), np.exp(other * beyond)
         total += float(((a[:-1] - a[1:]) * (b[:-1] - b[1:])).sum())
     return total
 
@@ -115,11 +123,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
 
 def slack(n_own: int) -> float:
     """How far an estimate from so many registers may be off."""
-    share = SIMILARITY / 100
-    return DEVIATIONS * float(np.sqrt(share * (1 - share) / max(1, n_own)))
+    return DEVIATIONS * float(np.sqrt(SPREAD / max(1, n_own)))
 
 
-SKETCH = "row long, doc_id long, text_key long, n_shingles long, set_id binary, n_own int, bands array<long>"
+SKETCH = """row long, doc_id long, text_key long, n_shingles long, set_id binary, n_own int,
+bands array<long>"""
 
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,104 +153,112 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row += len(sets)
 
 
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """One row per document: its set's size, identity and registers, four to a number."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = keyed_texts(docs)
     return on_batches(texts.withColumn("text_key", F.xxhash64("text")), sketch, SKETCH)
 
 
+def fingerprint(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges, and as good as never for others."""
+    hashed = F.xxhash64("u", "v").cast("decimal(38,0)")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node, root``: the smallest node reachable, for every node of ``links`` (u, v).
+    """``node, root``: the smallest node reachable, for every node of ``links`` (u, v) but
+    the roots themselves.
 
     Each step hangs the larger neighbours of a node, then the smaller ones, under the
     smallest of them, which halves long chains; it ends when all hang under their root.
     """
     edges = written(links.where("u <> v").select("u", "v").distinct(), "edges")
+    seen = fingerprint(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hung = [F.col("v").alias("u"), F.col("m").alias("v")]
+        large = both.where("v > u").join(least, "u").select(*hung)
         down = large.where("u <> v").distinct()
         under = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(under, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = down.join(under, "u").select(*hung)
         kept = under.select("u", F.col("m").alias("v"))
-        after = written(small.where("u <> v").union(kept).distinct(), "edges")
-        changed = after.exceptAll(edges).take(1) or edges.exceptAll(after).take(1)
-        edges = after
-        if not changed:
+        edges = written(small.where("u <> v").union(kept).distinct(), "edges")
+        before, seen = seen, fingerprint(edges)
+        if seen == before:
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
-def compare_registers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with the best similarity that their registers allow."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-
-        def side(name: str, batch=batch) -> np.ndarray:
-            return batch.column(name).flatten().to_numpy().view("<u2").reshape(-1, BUCKETS)
-
-        a, b = side("bands_u"), side("bands_v")
-        numbers = [batch.column(c).to_pylist() for c in ("n_u", "n_v", "own_u", "own_v")]
-        most = [
-            estimate(a[i], b[i], n, m) + slack(min(p, q))
-            for i, (n, m, p, q) in enumerate(zip(*numbers, strict=True))
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("u"), batch.column("v"), pa.array(most, pa.float64())], ["u", "v", "most"]
-        )
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: only what connects two components is worked on."""
+    ends = links.select("u", "v")
+    for end in ("u", "v"):
+        known = labels.select(F.col("node").alias(end), F.col("root").alias("_root"))
+        ends = ends.join(known, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    joined = written(components(ends), "merged-roots")
+    further = joined.select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    moved = labels.join(further, "root", "left")
+    moved = moved.select("node", F.coalesce("_root", "root").alias("root"))
+    return written(moved.union(joined), "labels")
 
 
-def compare_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with the exact sizes of intersection and union. Rows of one ``u`` lie together."""
-    last, last_set = None, None
+def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs with ``linked`` and ``distance``: by registers, and on full sets where those
+    leave it open. Rows of one ``u`` lie together, so its set is made once."""
+    last, last_set, limit = None, None, SIMILARITY / 100
     for batch in batches:
         for chunk in chunks(iter([batch]), "text_v"):
-            sets = shingle_sets(chunk.column("text_v"))
-            shared, union = [], []
-            for i, u in enumerate(chunk.column("u").to_pylist()):
-                if u != last:
-                    last, last_set = u, shingle_sets(chunk.column("text_u").slice(i, 1))[0]
-                shared.append(overlap(last_set, sets[i]))
-                union.append(len(last_set) + len(sets[i]) - shared[-1])
+
+            def side(name: str, chunk=chunk) -> np.ndarray:
+                return chunk.column(name).flatten().to_numpy().view("<u2").reshape(-1, BUCKETS)
+
+            a, b = side("bands_u"), side("bands_v")
+            numbers = [chunk.column(c).to_pylist() for c in ("n_u", "n_v", "own_u", "own_v")]
+            most = np.array(
+                [
+                    estimate(a[i], b[i], n, m) + slack(min(p, q))
+                    for i, (n, m, p, q) in enumerate(zip(*numbers, strict=True))
+                ]
+            )
+            linked, distance = np.zeros(len(most), bool), 1 - most
+            near = np.flatnonzero(most >= limit)
+            u = chunk.column("u").to_pylist()
+            sets = shingle_sets(chunk.column("text_v").take(pa.array(near)))
+            for i, found in zip(near.tolist(), sets, strict=True):
+                if u[i] != last:
+                    last, last_set = u[i], shingle_sets(chunk.column("text_u").slice(i, 1))[0]
+                shared = overlap(last_set, found)
+                joint = len(last_set) + len(found) - shared
+                linked[i] = 100 * shared >= SIMILARITY * joint
+                distance[i] = 1 - shared / joint
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("u"), chunk.column("v"), pa.array(shared), pa.array(union)],
-                ["u", "v", "shared", "joint"],
+                [chunk.column("u"), chunk.column("v"), pa.array(linked), pa.array(distance)],
+                ["u", "v", "linked", "distance"],
             )
 
 
-def judged(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Distinct pairs (u, v) with ``linked`` and ``distance``: exact where they were
     confirmed on full sets, else a lower bound."""
 
     def side(of: str) -> DataFrame:
-        return reps.select(
+        return nodes.select(
             F.col("node").alias(of),
             F.col("bands").alias(f"bands_{of}"),
             F.col("n_shingles").alias(f"n_{of}"),
             F.col("n_own").alias(f"own_{of}"),
+            F.col("text").alias(f"text_{of}"),
         )
 
     met = pairs.join(side("v"), "v").join(side("u"), "u")
-    rated = written(on_batches(met, compare_registers, "u long, v long, most double"), "rated")
-    near = rated.where(F.col("most") >= SIMILARITY / 100)
-    with_v = near.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v")
-    with_u = with_v.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
-    exact = on_batches(
-        with_u.select("u", "v", "text_u", "text_v"),
-        compare_sets,
-        "u long, v long, shared long, joint long",
-    ).select(
-        "u",
-        "v",
-        (100 * F.col("shared") >= SIMILARITY * F.col("joint")).alias("linked"),
-        (1 - F.col("shared") / F.col("joint")).alias("distance"),
+    return written(
+        on_batches(met, compare, "u long, v long, linked boolean, distance double"), "judged"
     )
-    far = rated.where(F.col("most") < SIMILARITY / 100).select(
-        "u", "v", F.lit(False).alias("linked"), (1 - F.col("most")).alias("distance")
-    )
-    return written(exact.union(far), "judged")
 
 
 def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -264,12 +280,83 @@ def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def links(reps: DataFrame, texts_of_nodes) -> DataFrame:
-    """Enough links (u, v) between classes to connect what is connected.
+def explode_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in chunks(batches):
+        sets = shingle_sets(chunk.column("text"))
+        size = [len(s) for s in sets]
+        node = np.repeat(chunk.column("node").to_numpy(), size)
+        every = np.concatenate(sets).view(np.int64)
+        for first in range(0, len(node), 50_000):
+            part = slice(first, first + 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[part]), pa.array(every[part])], ["node", "shingle"]
+            )
+
+
+def with_possible_partners(left: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The open members that a link may still reach, with their size ``n`` and ``most``.
+
+    Shingles that no other open class holds are in no intersection. A class of n shingles,
+    u of them its own alone, is linked with one of m only if what it shares can be enough:
+    75 * m <= 175 * (n - u) - 75 * n, which is ``most``. In a bucket whose classes are all
+    too much their own, none can be linked with another, and none stays.
+    """
+    open_nodes = nodes.join(left.select("node").distinct(), "node", "left_semi")
+    texts = open_nodes.select("node", "text")
+    held = on_batches(texts, explode_shingles, "node long, shingle long")
+    alone = held.groupBy("shingle").agg(
+        F.min("node").alias("node"), F.count(F.lit(1)).alias("holders")
+    )
+    own = alone.where("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    shared = F.col("n") - F.coalesce("own", F.lit(0))
+    share = (100 + SIMILARITY) * shared - SIMILARITY * F.col("n")
+    sizes = (
+        open_nodes.select("node", F.col("n_shingles").alias("n"))
+        .join(own, "node", "left")
+        .select("node", "n", share.alias("most"))
+    )
+    sized = written(left.join(sizes, "node"), "sized-members")
+    bounds = sized.groupBy("band", "code").agg(
+        F.min("n").alias("least_n"), F.max("most").alias("largest_most")
+    )
+    possible = (SIMILARITY * F.col("least_n") <= F.col("most")) & (
+        SIMILARITY * F.col("n") <= F.col("largest_most")
+    )
+    kept = sized.join(bounds, ["band", "code"]).where(possible).drop("least_n", "largest_most")
+    return written(kept, "open-members")
+
+
+def meet(leaders: pa.Table, members: pa.Table) -> pa.Table:
+    """Pairs of a leader and a member of a bucket that are not connected, not ruled out by
+    their sizes or registers, and don't share an earlier band, where they meet too."""
+
+    def columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+        plain = [table.column(c).to_numpy() for c in ("node", "n", "most", "root", "n_own")]
+        bands = table.column("bands").combine_chunks().flatten().to_numpy()
+        return *plain, bands.view("<u2").reshape(-1, BUCKETS)
+
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    if leaders.num_rows and members.num_rows:
+        band = leaders.column("band")[0].as_py()
+        nodes, n, most, roots, own, drawn = columns(members)
+        for u, n_u, most_u, root_u, own_u, drawn_u in zip(*columns(leaders), strict=True):
+            open_ = (roots != root_u) & (SIMILARITY * n <= most_u) & (SIMILARITY * n_u <= most)
+            at = np.flatnonzero(open_)
+            same = drawn[at] == drawn_u
+            margin = DEVIATIONS * np.sqrt(SPREAD / np.minimum(own[at], own_u))
+            first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+            v = nodes[at[first & (same.mean(1) + margin >= SIMILARITY / 100)]]
+            found.append((np.minimum(u, v), np.maximum(u, v)))
+    u, v = (np.concatenate(side) for side in zip(*found, strict=True))
+    return pa.table({"u": u, "v": v})
+
+
+def connected(reps: DataFrame, with_texts) -> DataFrame:
+    """Components of the classes (``node, root`` but for the roots) by their links.
 
     First every bucket's smallest class is compared with all others of the bucket. Then,
-    while a bucket holds classes of different components, up to 8, 64, ... of those outside
-    its largest component are compared with the members of other components, and leave.
+    while a bucket holds classes of different components, up to 32, 1024, ... of those
+    outside its largest component are compared with the members of others, and leave.
     """
     banded = reps.select("node", F.posexplode("bands").alias("band", "code"))
     buckets = banded.groupBy("band", "code").agg(
@@ -278,51 +365,48 @@ def links(reps: DataFrame, texts_of_nodes) -> DataFrame:
     members = written(
         banded.join(buckets.where("n > 1").drop("n"), ["band", "code"]), "bucket-members"
     )
-    texts = texts_of_nodes(members.select("node").distinct())
-    pairs = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-    found = judged(pairs.distinct(), reps, texts)
-    left = written(still_open(members, found), "open-members")
-    known, leaders = found, 8
+    nodes = with_texts(members.select("node").distinct())
+    star = [F.col("leader").alias("u"), F.col("node").alias("v")]
+    pairs = members.where("node <> leader").select(*star)
+    known = judged(pairs.distinct(), nodes)
+    labels = written(components(known.where("linked")), "labels")
+    left, leaders = with_possible_partners(still_open(members, known), nodes), FEW_LEADERS
+    in_bucket = Window.partitionBy("band", "code").orderBy("node")
+    drawn = nodes.select("node", "bands", "n_own")
     while left.take(1):
-        labels = components(known.where("linked"))
-        labelled = (
-            left.join(labels, "node", "left")
-            .select("band", "code", "node", F.coalesce("root", "node").alias("root"))
-        )
-        sizes = labelled.groupBy("band", "code", "root").agg(F.count(F.lit(1)).alias("n"))
+        labelled = left.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        sizes = labelled.groupBy("band", "code", "root").agg(F.count(F.lit(1)).alias("members"))
         largest = sizes.groupBy("band", "code").agg(
-            F.max(F.struct("n", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")
-        )
-        split = labelled.join(largest.where("parts > 1"), ["band", "code"]).select(
-            "band", "code", "node", "root", F.col("largest.root").alias("main")
+            F.max(F.struct("members", "root"))["root"].alias("main"),
+            F.count(F.lit(1)).alias("components"),
+            F.ceil(F.sum("members") / PART).cast("int").alias("parts"),
         )
-        split = written(split, "split-buckets")
-        in_bucket = Window.partitionBy("band", "code").orderBy("node")
+        split = labelled.join(largest.where("components > 1"), ["band", "code"])
+        split = written(split.drop("components"), "split-buckets")
         chosen = (
             split.where("root <> main")
             .withColumn("turn", F.row_number().over(in_bucket))
             .where(F.col("turn") <= leaders)
-            .select("band", "code", F.col("node").alias("u"), F.col("root").alias("root_u"))
+            .drop("turn")
         )
         chosen = written(chosen, "leaders")
-        pairs = (
-            chosen.join(split.withColumnRenamed("node", "v"), ["band", "code"])
-            .where("root <> root_u")
-            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-            .distinct()
-            .join(known.select("u", "v"), ["u", "v"], "left_anti")
+        every = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        some = split.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+        key, fields = ["band", "code", "part"], ["node", "n", "most", "root", "bands", "n_own"]
+        # Both sides read the same registers; names given anew tell their columns apart.
+        every, some = (
+            t.join(drawn, "node").select(*key, *fields).toDF(*key, *fields) for t in (every, some)
         )
-        known = known.union(judged(pairs, reps, texts))
-        left = written(
-            split.select("band", "code", "node").join(
-                chosen.select("band", "code", F.col("u").alias("node")),
-                ["band", "code", "node"],
-                "left_anti",
-            ),
-            "open-members",
-        )
-        leaders *= 8
-    return known.where("linked").select("u", "v")
+        met = every.groupBy(*key).cogroup(some.groupBy(*key)).applyInArrow(meet, "u long, v long")
+        pairs = met.distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")
+        found = judged(pairs, nodes)
+        known = known.union(found)
+        if found.where("linked").take(1):
+            labels = merged(labels, found.where("linked"))
+        gone = chosen.select("band", "code", "node")
+        left = split.drop("root", "main", "parts").join(gone, ["band", "code", "node"], "left_anti")
+        left, leaders = written(left, "open-members"), leaders * FEW_LEADERS
+    return labels
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -342,16 +426,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
         "representatives",
     )
 
-    def texts_of_nodes(nodes: DataFrame) -> DataFrame:
-        asked = reps.join(nodes, "node", "left_semi").select(
-            "node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+    def with_texts(nodes: DataFrame) -> DataFrame:
+        asked = reps.join(nodes, "node", "left_semi").withColumnsRenamed(
+            {"doc_id": "_id", "text_key": "_key"}
         )
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+        texts = keyed_texts(docs)
         same = texts["doc_id"].eqNullSafe(asked["_id"]) & (F.xxhash64("text") == asked["_key"])
-        found = texts.join(asked, same).select("node", "text")
+        found = texts.join(asked, same).drop("doc_id", "_id", "_key")
         return written(found.dropDuplicates(["node"]), "texts-of-members")
 
-    labels = components(links(reps, texts_of_nodes))
+    labels = connected(reps, with_texts)
     named = classes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "root").select("set_id", "root", "component_id")
@@ -377,10 +461,9 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     stay = least.select("first.doc_id", "first.text_key").union(alone)
     stay = stay.toDF("_id", "_key").distinct()
     keyed = docs.withColumn("_text_key", F.xxhash64(whole_text()))
-    same = keyed["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (keyed["_text_key"] == stay["_key"])
-    return (
-        keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
-    )
+    same = keyed["doc_id"].cast("long").eqNullSafe(stay["_id"])
+    kept = keyed.join(stay, same & (keyed["_text_key"] == stay["_key"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
