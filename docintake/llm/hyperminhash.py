@@ -9,8 +9,8 @@ for registers that are equal by chance, and what may be similar enough is confir
 full sets.
 
 **No pairs within a group.** Documents with equal sets are one class. In a bucket of classes
-one leader is compared with all others. Jaccard distance is a metric, so the results say
-which of the others can still be linked with each other: a class further from every class
+one leader is compared with all others, and its distances from them are measured on full
+sets. Jaccard distance is a metric, so they say which of the others can still be linked with each other: a class further from every class
 outside its component than the limit allows is done. So is one that has too many shingles
 to itself to be linked with any of the others. The rest goes on with more leaders, until no
 bucket has classes that might be linked and are not connected. A group of
@@ -25,7 +25,7 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -207,9 +207,12 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.union(joined), "labels")
 
 
-def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compare(
+    batches: Iterator[pa.RecordBatch], measured: bool
+) -> Iterator[pa.RecordBatch]:
     """Pairs with ``linked`` and ``distance``: by registers, and on full sets where those
-    leave it open. Rows of one ``u`` lie together, so its set is made once."""
+    leave it open or distances are to be ``measured``. Rows of one ``u`` lie together, so
+    its set is made once."""
     last, last_set, limit = None, None, SIMILARITY / 100
     for batch in batches:
         for chunk in chunks(iter([batch]), "text_v"):
@@ -226,7 +229,7 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ]
             )
             linked, distance = np.zeros(len(most), bool), 1 - most
-            near = np.flatnonzero(most >= limit)
+            near = np.flatnonzero((most >= limit) | measured)
             u = chunk.column("u").to_pylist()
             sets = shingle_sets(chunk.column("text_v").take(pa.array(near)))
             for i, found in zip(near.tolist(), sets, strict=True):
@@ -242,9 +245,9 @@ def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) with ``linked`` and ``distance``: exact where they were
-    confirmed on full sets, else a lower bound."""
+def judged(pairs: DataFrame, nodes: DataFrame, measured: bool = False) -> DataFrame:
+    """Distinct pairs (u, v) with ``linked`` and ``distance``: exact where they went to the
+    full sets, which all do if distances are ``measured``, else a lower bound."""
 
     def side(of: str) -> DataFrame:
         return nodes.select(
@@ -257,7 +260,10 @@ def judged(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     met = pairs.join(side("v"), "v").join(side("u"), "u")
     return written(
-        on_batches(met, compare, "u long, v long, linked boolean, distance double"), "judged"
+        on_batches(
+            met, partial(compare, measured=measured), "u long, v long, linked boolean, distance double"
+        ),
+        "judged",
     )
 
 
@@ -368,7 +374,7 @@ def connected(reps: DataFrame, with_texts) -> DataFrame:
     nodes = with_texts(members.select("node").distinct())
     star = [F.col("leader").alias("u"), F.col("node").alias("v")]
     pairs = members.where("node <> leader").select(*star)
-    known = judged(pairs.distinct(), nodes)
+    known = judged(pairs.distinct(), nodes, measured=True)
     labels = written(components(known.where("linked")), "labels")
     left, leaders = with_possible_partners(still_open(members, known), nodes), FEW_LEADERS
     in_bucket = Window.partitionBy("band", "code").orderBy("node")
