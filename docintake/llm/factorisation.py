@@ -38,11 +38,11 @@ WORD_BITS = 14
 WORDS = 1 << WORD_BITS
 
 # The largest number of labelled documents that the machine is fitted on.
-SAMPLE = 4000
+SAMPLE = 2000
 
 RANK = 4
-EPOCHS = 120
-RATE = 0.05
+EPOCHS = 60
+RATE = 0.08
 PENALTY = 2e-4
 
 # A document is good from this score on.
@@ -191,10 +191,11 @@ def fit(sizes: np.ndarray, which: np.ndarray, values: np.ndarray, labels: np.nda
     stat = which < N_STATS
     columns = values[stat].reshape(-1, N_STATS)
     machine.mean, machine.spread = columns.mean(0), np.maximum(columns.std(0), 1e-3)
-    x = machine.scaled(which, values)
+    x = machine.scaled(which, values).astype(np.float32)
+    labels = labels.astype(np.float32)
     draw = np.random.default_rng(7)
-    machine.vectors = draw.normal(0, 0.01, (SIZE, RANK))
-    machine.weights = np.zeros(SIZE)
+    machine.vectors = draw.normal(0, 0.01, (SIZE, RANK)).astype(np.float32)
+    machine.weights = np.zeros(SIZE, np.float32)
     row = np.repeat(np.arange(len(sizes)), sizes)
     by_feature = np.argsort(which, kind="stable")
     present, first = np.unique(which[by_feature], return_index=True)
@@ -202,7 +203,7 @@ def fit(sizes: np.ndarray, which: np.ndarray, values: np.ndarray, labels: np.nda
     for step in range(1, EPOCHS + 1):
         odds, sums = machine.raw(sizes, which, x)
         error = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - labels) / len(labels)
-        gradient = np.empty((len(x), RANK + 1))
+        gradient = np.empty((len(x), RANK + 1), np.float32)
         gradient[:, 0] = error[row] * x
         gradient[:, 1:] = gradient[:, :1] * (sums[row] - machine.vectors[which] * x[:, None])
         total = np.add.reduceat(gradient[by_feature], first, 0)
@@ -265,8 +266,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
     fields = "_id long, _label int, which array<int>, values array<float>"
     # Repeated documents could exceed the sample; a second cut keeps the bound.
-    found = on_batches(texts, extract, fields).orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample)
-    rows = found.toArrow().combine_chunks()
+    found = on_batches(texts, extract, fields).orderBy(F.xxhash64("_id"), "_id", "_label")
+    rows = found.limit(sample).toArrow().combine_chunks()
     if not rows.num_rows:
         return Machine()
     lists = [rows.column(c).combine_chunks() for c in ("which", "values")]
@@ -289,7 +290,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             found = small.scores(*features(chunk.column(text), lengths))
             kept = [c for c in chunk.schema.names if c not in (text, length)]
             columns = [chunk.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], [*kept, name])
+            columns.append(pa.array(found, pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, name])
 
     fields = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     own = docs.withColumns({text: F.coalesce("text", F.lit("")), length: with_length(docs)})
