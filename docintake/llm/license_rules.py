@@ -158,11 +158,12 @@ def rules() -> list[tuple[int, str, int, str, str]]:
     return [(n, *rule) for n, rule in enumerate(listed)]
 
 
-def words_text(text: Column) -> Column:
-    """The words of a text, each with a blank before it and one behind the last; empty
-    without words. Letters keep their case: regexes ignore that of A-Z."""
-    joined = F.trim(F.regexp_replace(text, SEPARATORS, " "))
-    return F.when(joined == "", F.lit("")).otherwise(F.concat(F.lit(" "), joined, F.lit(" ")))
+def with_words(rows: DataFrame) -> DataFrame:
+    """Adds ``words``: those of ``text``, each with a blank before it and one behind the
+    last; empty without words. Letters keep their case: regexes ignore that of A-Z."""
+    joined = rows.withColumn("words", F.trim(F.regexp_replace("text", SEPARATORS, " ")))
+    spaced = F.concat(F.lit(" "), F.col("words"), F.lit(" "))
+    return joined.withColumn("words", F.when(F.col("words") != "", spaced).otherwise(""))
 
 
 def places(words: Column, regex: Column) -> Column:
@@ -188,10 +189,6 @@ def places(words: Column, regex: Column) -> Column:
     )
 
 
-def text_literal(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: ``row, doc_id, n_words``, the ``base`` places (label, first,
     last) and all ``detections`` (rule, label, priority, first, last)."""
@@ -209,19 +206,22 @@ def scan(docs: DataFrame) -> DataFrame:
             for n, label, priority, keyword, regex in listed
         ]
     )
-    words = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        words_text(whole_text()).alias("words"),
+    words = with_words(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col("doc_id").cast("long").alias("doc_id"),
+            whole_text().alias("text"),
+        )
     ).withColumn(
         "n_words",
         F.when(F.col("words") == "", 0)
         .otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) - 1)
         .cast("long"),
     )
+    # One test per keyword, not a lambda, so that the text is lower-cased only once.
+    holds = [F.when(F.contains("lowered", F.lit(k)), F.lit(k)) for k in keywords]
     lowered = words.withColumn("lowered", F.lower("words")).withColumn(
-        "present",
-        F.filter(text_literal(keywords), lambda k: F.contains(F.col("lowered"), k)),
+        "present", F.array_compact(F.array(*holds))
     )
 
     def base_places(label: str, phrase: str) -> Column:
@@ -235,7 +235,9 @@ def scan(docs: DataFrame) -> DataFrame:
     def rule_places(rule: Column) -> Column:
         return F.transform(
             places(F.col("words"), rule["regex"]),
-            lambda p: F.struct(rule["rule"], rule["label"], rule["priority"], p["first"], p["last"]),
+            lambda p: F.struct(
+                rule["rule"], rule["label"], rule["priority"], p["first"], p["last"]
+            ),
         )
 
     def applies(rule: Column) -> Column:
