@@ -24,7 +24,7 @@ from docintake.operators import (
     state,
     tagging,
 )
-from docintake.operators.skew import key_join
+from docintake.operators.skew import key_join, running
 from docintake.plans import fixtures as fx
 from docintake.plans.lifecycle import Intake
 from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
@@ -448,13 +448,30 @@ def tag_documents(spark: SparkSession, d: str) -> DataFrame:
     return tagged
 
 
-def _worked_events(spark: SparkSession, d: str) -> DataFrame:
-    """The event log, its classes and tags worked out from the documents."""
+def document_events(spark: SparkSession, d: str) -> DataFrame:
+    """The event log, each event with a document out of the whole table: the place of a
+    document among all ids is the event's number modulo their count."""
     events = fx.link_events(spark, d).drop("pred", "tag_json")
+    ids = fx.table(spark, d, "documents").select("doc_id")
+    places = running(ids, [], ["doc_id"], "document-places", counts={"nth": F.lit(True)})
+    places = places.select("doc_id", (F.col("nth") - 1).alias("place"))
+    numbers = ids.agg(F.count(F.lit(1)).alias("n_documents"))  # one row
+    placed = events.crossJoin(F.broadcast(numbers)).withColumn(
+        "place", F.expr("CASE WHEN n_documents > 0 THEN event_id % n_documents END")
+    )
+    return key_join(placed, places, ["place"]).drop("place", "n_documents")
+
+
+def _worked_events(spark: SparkSession, d: str, events: DataFrame | None = None) -> DataFrame:
+    """The event log, its classes and tags worked out from the documents. Without ``events``,
+    which name their documents, only the documents 0 to 199 are named."""
+    if events is None:
+        events = fx.link_events(spark, d).drop("pred", "tag_json")
+        events = events.withColumn("doc_id", F.col("event_id") % 200)
     first = pagetext.first_page_texts(fx.doc_pages(spark, d)).select("doc_id", "page_num", "text")
     worked, _ = results.with_results(
         _working(spark, d),
-        events.withColumn("doc_id", F.col("event_id") % 200),
+        events,
         score_documents(spark, d),
         first,
         _ranked_texts(spark, d),
@@ -474,6 +491,18 @@ def document_to_archive(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", *ARCHIVED)
 
 
+def all_documents_to_state(spark: SparkSession, d: str) -> DataFrame:
+    """``document_to_state`` with downloads of all documents."""
+    worked = _worked_events(spark, d, document_events(spark, d))
+    return state.link_state(_working(spark, d), worked).select(*STATE_COLUMNS)
+
+
+def all_documents_to_archive(spark: SparkSession, d: str) -> DataFrame:
+    worked = _worked_events(spark, d, document_events(spark, d))
+    rows = state.archive_on_download(_working(spark, d), worked)
+    return rows.select("event_id", *ARCHIVED)
+
+
 # --- labels and CSV -------------------------------------------------------------------
 
 
@@ -699,6 +728,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tag_documents,
         document_to_state,
         document_to_archive,
+        all_documents_to_state,
+        all_documents_to_archive,
         label_ingest,
         label_value_counts,
         label_value_counts_raw,
