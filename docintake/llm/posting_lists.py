@@ -53,6 +53,9 @@ QUERY_RATIO = 1.3
 # Vectors and queries of one part of a list.
 PART = 2048
 
+# Pairs of a query and a vector that are measured exactly at once.
+PAIRS = 1 << 16
+
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Vectors of length one, in single precision; large components don't overflow."""
@@ -303,14 +306,23 @@ def search(
         order = np.argsort(nodes, kind="stable")
         nodes, v = nodes[order], v[order]
         close = unit(q) @ unit(v).T
-        # More than asked go on to the exact measure, since this one is in single precision.
-        most = min(4 * (k + 1), len(nodes))
-        best = np.argpartition(-close, most - 1, axis=1)[:, :most]
-        at, of = np.repeat(np.arange(len(q)), most), best.ravel()
-        exact = cosine(q[at], v[of])
-        chosen = np.lexsort((nodes[of], -exact, at)).reshape(len(q), most)[:, : k + 1].ravel()
-        columns = (queries[at[chosen]], nodes[of[chosen]], exact[chosen])
-        return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
+        # All go on to the exact measure that may be among the best by it.
+        most = min(k + 1, len(nodes))
+        last = np.partition(close, len(nodes) - most, axis=1)[:, len(nodes) - most]
+        maybe = close >= (last - 2 * single_error(v.shape[1]))[:, None]
+        columns = []
+        for turn in turns(maybe.sum(1)):
+            at, of = np.nonzero(maybe[turn])
+            at += turn.start
+            exact = cosine(q[at], v[of])
+            order = np.lexsort((nodes[of], -exact, at))
+            at, of, exact = at[order], of[order], exact[order]
+            # Rows of a query stand together; its first ones are its best.
+            chosen = np.arange(len(at)) - np.searchsorted(at, at) < most
+            columns.append((queries[at[chosen]], nodes[of[chosen]], exact[chosen]))
+        return pa.Table.from_arrays(
+            [pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)], schema=schema
+        )
 
     key = ["list", "part", "turn"]
     scanned = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
@@ -345,6 +357,29 @@ def search(
     )
 
 
+def single_error(dimension: int) -> float:
+    """How far a dot product of two ``unit`` vectors can be from their ``cosine``.
+
+    Rounding both vectors and summing ``dimension`` products in any order is off by at most
+    ``gamma(dimension + 2)`` times the sum of the products' sizes, which is at most one; two
+    more units stand for the double precision and for ``last - error`` in single precision,
+    and the last term for components too small for single precision.
+    """
+    steps = (dimension + 4) * 2.0**-24
+    return steps / (1 - steps) + dimension * 2.0**-125
+
+
+def turns(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of queries whose candidates together are at most ``PAIRS``, or one query."""
+    first = pairs = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > first and pairs + size > PAIRS:
+            yield slice(first, i)
+            first, pairs = i, 0
+        pairs += size
+    yield slice(first, len(sizes))
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of rows in double precision, row by row, so equal rows give equal values."""
     a = a / np.abs(a).max(1, keepdims=True)

@@ -117,6 +117,29 @@ def test_parts_of_lists_and_of_queries(spark, monkeypatch):
     exact_scores(found, rows)
 
 
+@pytest.mark.parametrize("pairs", [1 << 16, 50])
+def test_many_vectors_of_equal_cosine_in_single_precision(spark, monkeypatch, pairs):
+    monkeypatch.setattr(posting_lists, "PAIRS", pairs)
+    draw = np.random.default_rng(9)
+    base = draw.normal(size=16).astype(np.float32)
+    ids = draw.permutation(np.arange(1, 91)).tolist()
+    # Copies scaled by 2, 3, ...; near copies; both in an order that is not that of the ids.
+    scaled = [(i, (base * (n + 2)).tolist()) for n, i in enumerate(ids[:45])]
+    near = [(i, (base * (1 + draw.normal(size=16) * 1e-5)).tolist()) for i in ids[45:]]
+    rows = [(0, base.tolist()), *scaled, *near]
+    assert run(spark, rows) == brute(rows, 5)
+
+
+def test_error_of_single_precision_is_bounded():
+    draw = np.random.default_rng(10)
+    for dimension in (1, 7, 64, 768):
+        a, b = draw.normal(size=(2, 2000, dimension)) * np.exp(draw.normal(size=(2, 2000, dimension)))
+        b[:1000] = a[:1000] * (1 + draw.normal(size=(1000, dimension)) * 1e-5)
+        single = np.einsum("ij,ij->i", posting_lists.unit(a), posting_lists.unit(b))
+        off = np.abs(single - posting_lists.cosine(a, b)).max()
+        assert off <= posting_lists.single_error(dimension)
+
+
 def test_lists_are_balanced():
     draw = np.random.default_rng(1)
     skewed = np.concatenate([draw.normal(size=(900, 8)) * 0.01 + 1, draw.normal(size=(124, 8))])
