@@ -1,10 +1,10 @@
 """Operator 9: licence scans by ordered signature rules, with DataFrame functions only.
 
 A rule is a regex over the words of a text, lower-cased and joined by single spaces. Rules
-are grouped by a keyword, and only those whose keyword a text contains are tried on it. A
-detection is the words from its first to its last; it is suppressed where another of the
-same or a better priority contains it. Priorities: 1 an identifier tag, 2 a sentence that
-grants a licence, 3 a licence's full name, 4 a hint.
+are grouped by a keyword that each of their matches contains, and only those whose keyword
+a text contains are tried on it. A detection is the words from its first to its last; it is
+suppressed where another of the same or a better priority contains it. Priorities: 1 an
+identifier tag, 2 a sentence that grants a licence, 3 a licence's full name, 4 a hint.
 
 The four base phrases are searched as they stand and their labels are never suppressed.
 
@@ -48,8 +48,9 @@ LICENCES = (
     ("agpl", "affero", r"agpl", rf"(?:gnu )?affero general public {LICENCE}(?:{VERSION} [13](?: 0)?)?{LATER}"),
     ("gfdl", "free documentation", r"gfdl(?: 1 [123])?", rf"gnu free documentation {LICENCE}(?:{VERSION} 1 [123])?"),
     ("apache", "apache", r"apache(?: [12] [01])?", rf"apache(?: software)? {LICENCE}(?:{VERSION} [12](?: [01])?)?"),
-    ("mit", "mit", r"mit(?: 0)?", rf"(?:mit|expat|x11) {LICENCE}"),
+    ("mit", "mit", r"mit(?: 0)?", rf"mit {LICENCE}"),
     ("mit", "expat", r"expat", rf"expat(?: {LICENCE})"),
+    ("mit", "x11", r"x11", rf"x11 {LICENCE}"),
     ("bsd-2", "bsd", r"bsd 2 clause", rf"(?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd|freebsd)(?: {LICENCE})?"),
     ("bsd-3", "bsd", r"bsd 3 clause", rf"(?:bsd (?:3|three) clause|(?:3|three) clause bsd|(?:new|modified|revised) bsd)(?: {LICENCE})?"),
     ("bsd-4", "bsd", r"bsd 4 clause", rf"(?:bsd (?:4|four) clause|(?:4|four) clause bsd|original bsd)(?: {LICENCE})?"),
@@ -65,14 +66,16 @@ LICENCES = (
     ("eupl", "european union public", r"eupl", rf"european union public {LICENCE}(?:{VERSION} 1(?: [012])?)?"),
     ("artistic", "artistic", r"artistic(?: [12] 0)?", rf"artistic {LICENCE}(?: [12](?: 0)?)?"),
     ("boost", "boost", r"bsl 1 0", rf"boost software {LICENCE}(?:{VERSION} 1(?: 0)?)?"),
-    ("isc", "isc", r"isc", rf"(?:isc|internet systems consortium) {LICENCE}"),
+    ("isc", "isc", r"isc", rf"isc {LICENCE}"),
+    ("isc", "internet systems consortium", r"isc", rf"internet systems consortium {LICENCE}"),
     ("zlib", "zlib", r"zlib", rf"zlib(?: libpng)? {LICENCE}"),
     ("libpng", "libpng", r"libpng(?: 2 0)?", rf"libpng {LICENCE}"),
     ("unlicense", "unlicense", r"unlicense", r"(?:the )?unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl", r"wtfpl(?: version 2)?"),
     ("openssl", "openssl", r"openssl", rf"openssl {LICENCE}"),
     ("php", "php", r"php 3 0[01]?", rf"php {LICENCE}(?:{VERSION} 3(?: 0[01]?)?)?"),
-    ("python", "python", r"(?:python 2 0|psf 2 0)", rf"(?:python(?: software foundation)?|psf) {LICENCE}(?:{VERSION} 2)?"),
+    ("python", "python", r"python 2 0", rf"python(?: software foundation)? {LICENCE}(?:{VERSION} 2)?"),
+    ("python", "psf", r"psf 2 0", rf"psf {LICENCE}(?:{VERSION} 2)?"),
     ("ruby", "ruby", r"ruby", rf"ruby s? ?{LICENCE}"),
     ("perl", "perl", r"artistic 1 0 perl", r"same terms as perl(?: itself)?"),
     ("postgresql", "postgresql", r"postgresql", rf"postgresql {LICENCE}"),
@@ -82,7 +85,8 @@ LICENCES = (
     ("ms-rl", "microsoft", r"ms rl", rf"microsoft reciprocal {LICENCE}"),
     ("osl", "open software", r"osl 3 0", rf"open software {LICENCE}(?:{VERSION} 3(?: 0)?)?"),
     ("afl", "academic free", r"afl 3 0", rf"academic free {LICENCE}(?:{VERSION} [123](?: [01])?)?"),
-    ("odbl", "open database", r"odbl 1 0", rf"open (?:data commons )?(?:open )?database {LICENCE}"),
+    ("odbl", "open database", r"odbl 1 0", rf"open (?:data commons open |open )?database {LICENCE}"),
+    ("odbl", "open data commons database", r"odbl 1 0", rf"open data commons database {LICENCE}"),
     ("odc-by", "open data commons", r"odc by 1 0", rf"open data commons attribution {LICENCE}"),
     ("pddl", "open data commons", r"pddl 1 0", r"open data commons public domain dedication"),
     ("cecill", "cecill", r"cecill(?: [bc12])?", r"cecill(?: [bc])?(?: version [12](?: [01])?)?"),
@@ -112,11 +116,11 @@ SENTENCES = (
     ("bsd", 2, "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3", 2, "neither the name", "neither the name of .{1,80}? nor the names of its contributors"),
     ("bsd-4", 2, "all advertising", "all advertising materials mentioning features or use of this software must display"),
-    ("gpl", 2, "free software foundation", "either version [123] of the license or at your option any later version"),
+    ("gpl", 2, "either version", "either version [123] of the license or at your option any later version"),
     ("gpl", 2, "is free software", "this program is free software you can redistribute it and or modify it"),
     ("lgpl", 2, "is free software", "this library is free software you can redistribute it and or modify it"),
     ("zlib", 2, "as is without any", "this software is provided as is without any express or implied warranty"),
-    ("boost", 2, "discrete computer", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("boost", 2, "any person or organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
     ("unlicense", 2, "unencumbered", "this is free and unencumbered software released into the public domain"),
     ("wtfpl", 2, "what the", "do what the .{1,12} you want to public license"),
     ("public-domain", 2, "public domain", "(?:released|placed|dedicated|put) (?:in|into|to) the public domain"),

@@ -4,6 +4,8 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import product
+from re import _parser
 
 import numpy as np
 import pyarrow as pa
@@ -210,6 +212,76 @@ def test_detections_and_suppression(spark):
         assert got[i, True] | got[i, False] == each
 
 
+UNGATED_TEXTS = {
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a "
+    "copy of the software and accompanying documentation": "boost",
+    "X11 License": "mit",
+    "under the X11 License": "mit",
+    "Internet Systems Consortium License": "isc",
+    "PSF License version 2": "python",
+    "Open Data Commons Database License": "odbl",
+    "Open Data Commons Open Database License": "odbl",
+    "either version 3 of the License, or (at your option) any later version": "gpl",
+}
+
+
+def ungated_detections(text):
+    """All matches of all rules, whatever their keyword."""
+    joined = "".join(f" {w}" for w in words(text)) + (" " if words(text) else "")
+    each = set()
+    for number, label, priority, _, regex in license_rules.rules():
+        for m in re.finditer(f" ({regex})(?= )", joined):
+            first = joined[: m.start()].count(" ")
+            each.add((first, first + m.group(1).count(" "), priority, number, label))
+    return each
+
+
+def test_no_match_waits_for_a_keyword_that_it_lacks(spark):
+    texts = [*UNGATED_TEXTS, *LICENCE_TEXTS]
+    values = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    _, found = license_rules.licences(frame(spark, values))
+    got = defaultdict(set)
+    for r in found.collect():
+        got[r["doc_id"]].add((r["first"], r["last"], r["priority"], r["rule"], r["label"]))
+    for i, text in enumerate(texts):
+        assert got[i] == ungated_detections(text), text
+        assert UNGATED_TEXTS.get(text) in {None, *(d[4] for d in got[i])}, text
+
+
+def regex_strings(parsed):
+    """Strings that a parsed regex matches, so that each of its alternatives, and each of its
+    optional parts with and without it, is in one of them; ``.`` is a letter."""
+    parts = []
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(value)])
+        elif name == "ANY":
+            parts.append(["q"])
+        elif name == "IN":
+            ends = [(v, v) if str(o) == "LITERAL" else v for o, v in value]
+            parts.append([chr(c) for low, high in ends for c in range(low, high + 1)])
+        elif name == "SUBPATTERN":
+            parts.append(regex_strings(value[3]))
+        elif name == "BRANCH":
+            parts.append([s for branch in value[1] for s in regex_strings(branch)])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inside = value
+            inside = regex_strings(inside)
+            counts = sorted({least, min(most, least + 1)})
+            parts.append(["".join(t) for n in counts for t in product(inside, repeat=n)])
+        else:
+            raise ValueError(f"no strings for {name}")
+    return ["".join(t) for t in product(*parts)]
+
+
+def test_every_match_of_a_rule_contains_its_keyword():
+    for _, _, _, keyword, regex in license_rules.rules():
+        strings = regex_strings(_parser.parse(regex))
+        assert strings and all(re.fullmatch(regex, s) for s in strings[:50])
+        assert [s for s in strings if keyword not in s] == [], regex
+
+
 def test_there_are_hundreds_of_rules():
     listed = license_rules.rules()
     assert len(listed) >= 200
