@@ -281,3 +281,17 @@ SELECT l.l_shipdate AS ts, l.l_linenumber, l.l_partkey, l.l_extendedprice, l.l_s
   concat('/files/', CAST(l.l_partkey AS VARCHAR)) AS filename,
   {answer_sql("l.l_partkey", "l.l_linenumber")} AS tag_json
 FROM lineitem l JOIN big_links b ON b.id = l.l_orderkey)"""
+
+
+def retry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Big events; those of every fourth link name one that is not in the table."""
+    known = big_links(spark, sf_dir).select("id", "pdf_link")
+    events = big_events(spark, sf_dir)
+    unknown = F.concat(F.lit("http://unknown.example.org/"), _text(F.col("id")))
+    link = F.when(F.col("id") % 4 == 0, unknown).otherwise(F.col("pdf_link"))
+    return events.join(known, "pdf_link").withColumn("pdf_link", link).drop("id")
+
+
+RETRY_EVENTS = """retry_events AS (
+SELECT e.* REPLACE (CASE WHEN b.id % 4 = 0 THEN concat('http://unknown.example.org/', CAST(b.id AS VARCHAR)) ELSE e.pdf_link END AS pdf_link)
+FROM big_events e JOIN big_links b ON b.pdf_link = e.pdf_link)"""

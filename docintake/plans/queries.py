@@ -604,6 +604,17 @@ def stream_retry(spark: SparkSession, d: str) -> DataFrame:
     return table.read().select("client_id", "sweeps")
 
 
+def stream_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Which downloads the sweeps find, and what becomes of them, from the stream."""
+    source = _event_stream(spark, d)
+    store = jobs.RetryStore(spark, scratch_path(spark, "retry"), source.schema)
+    _, checkpoint = _sink(spark)
+    jobs.stream_retry_candidates(
+        source, lambda: fx.links(spark, d), store, checkpoint
+    ).awaitTermination()
+    return store.read()
+
+
 def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     path, checkpoint = _sink(spark)
     jobs.stream_rejects(
@@ -672,6 +683,19 @@ def big_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.retry_candidates(fx.big_events(spark, d), known, CLIENT_ORDER)
 
 
+def big_stream_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The stream of retry candidates for clients with many links, some of them unknown."""
+    rows = fx.retry_events(spark, d)
+    path = _landed(spark, rows, "retry-events")
+    source = arrivals.event_stream(spark, path, rows.schema, files_per_trigger=2)
+    store = jobs.RetryStore(spark, scratch_path(spark, "retry"), source.schema, CLIENT_ORDER)
+    _, checkpoint = _sink(spark)
+    jobs.stream_retry_candidates(
+        source, lambda: fx.big_links(spark, d), store, checkpoint
+    ).awaitTermination()
+    return store.read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -741,6 +765,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_link_state,
         stream_archive,
         stream_retry,
+        stream_retry_candidates,
         stream_rejects,
         file_arrivals,
         big_claim,
@@ -750,5 +775,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         big_reconcile,
         big_retry_sweeps,
         big_retry_candidates,
+        big_stream_retry_candidates,
     )
 }
