@@ -162,6 +162,42 @@ def test_walk_finds_near_centroids():
     assert (np.diff(far, axis=1) >= -1e-6).all()
 
 
+def clustered(n, seed):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(60, 16)) * 2
+    return centres[np.arange(n) % 60] + draw.normal(size=(n, 16))
+
+
+def test_recall_where_the_walk_narrows_the_choice(monkeypatch):
+    monkeypatch.setattr(posting_lists, "KEPT_LEAST", 8)
+    vectors = posting_lists.unit(clustered(4000, 7))
+    index = posting_lists.fit(vectors, 256)
+    assert 256 // posting_lists.KEPT_SHARE > posting_lists.KEPT_LEAST
+    lists = index.lists_of(vectors)
+    own = np.bincount([c[0] for c in lists], minlength=256)
+    queries = np.arange(0, 4000, 20)
+    reads = index.lists_to_read(vectors[queries], own, 6)
+    assert max(map(len, reads)) <= 256 // posting_lists.KEPT_SHARE
+    close = vectors[queries] @ vectors.T
+    close[np.arange(len(queries)), queries] = -np.inf
+    best = np.argsort(-close, axis=1)[:, :5]
+    hits = [bool({*lists[v]} & {*r}) for r, found in zip(reads, best, strict=True) for v in found]
+    assert np.mean(hits) >= 0.9
+
+
+def test_recall_at_most_lists(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "LIST_SIZE", 8)
+    monkeypatch.setattr(posting_lists, "MOST_LISTS", 16)
+    made = []
+    fit = posting_lists.fit
+    monkeypatch.setattr(posting_lists, "fit", lambda s, n: made.append(n) or fit(s, n))
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(1500, 8))]
+    found, expected = run(spark, rows), brute(rows, 5)
+    assert made == [16]
+    assert recall(found, expected) >= 0.9
+    exact_scores(found, rows)
+
+
 def test_boundary_vectors_lie_in_several_lists():
     centroids = posting_lists.unit(np.array([[1, 0.0], [0, 1.0], [-1, 0.0], [0, -1.0]]))
     index = posting_lists.fit(np.repeat(centroids, 8, 0), 4)
