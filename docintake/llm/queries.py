@@ -13,9 +13,11 @@ from docintake.llm import (
     hilbert,
     hyperminhash,
     license_rules,
+    merkle,
     packing,
     posting_lists,
     token_counts,
+    warc,
     word_bpe,
 )
 
@@ -30,8 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_names": block_names.query,
     "op9_license_rules": license_rules.query,
     "op10_hyperminhash": hyperminhash.query,
+    "op12_merkle_log": merkle.query,
+    "op13_warc": warc.query,
 }
 
 ORACLES: dict[str, str] = {
     "op8_block_names": block_names.SQL,
+    "op13_warc": warc.SQL,
 }
