@@ -10,6 +10,7 @@ from docintake.llm import (
     addressable,
     block_names,
     factorisation,
+    hard_negatives,
     hilbert,
     hyperminhash,
     license_rules,
@@ -32,11 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_names": block_names.query,
     "op9_license_rules": license_rules.query,
     "op10_hyperminhash": hyperminhash.query,
+    "op11_hard_negatives": hard_negatives.query,
     "op12_merkle_log": merkle.query,
     "op13_warc": warc.query,
 }
 
 ORACLES: dict[str, str] = {
     "op8_block_names": block_names.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
     "op13_warc": warc.SQL,
 }
