@@ -8,13 +8,19 @@ that share a band meet. Two documents that met are compared by their registers,
 for registers that are equal by chance, and what may be similar enough is confirmed on the
 full sets.
 
-**No pairs within a group.** Documents with equal sets are one class. In a bucket of classes
-one leader is compared with all others, and its distances from them are measured on full
-sets. Jaccard distance is a metric, so they say which of the others can still be linked with each other: a class further from every class
-outside its component than the limit allows is done. So is one that has too many shingles
-to itself to be linked with any of the others. The rest goes on with more leaders, until no
-bucket has classes that might be linked and are not connected. A group of
-near-copies is done after one leader, whatever its size.
+**Few pairs within a group.** Documents with equal sets are one class. In a bucket of classes
+one leader is compared with all others, and its distances from them are measured on full sets.
+Jaccard distance is a metric, so they say which of the others can still be linked with each
+other: a class further from every class outside its component than the limit allows is done. So
+is one that has too many shingles to itself to be linked with any of the others. A group of
+near-copies is done after one leader, whatever its size. While leaders close many classes,
+buckets that are still of several components get others.
+
+What is left is settled by bounds. Only shingles that two open classes hold can be in an
+intersection; every class counts its own in 128 cells, by hash, and the sum of the smaller of
+two counts, cell by cell, is at least the size of the intersection. Blocks of a bucket meet, and
+only pairs of different components that sizes, registers and counts all leave open come out, to
+be confirmed on full sets.
 
 Defined results: a text that is null or has no words has an empty set and is linked with
 nothing; equal texts have equal sets and are linked; a null ``doc_id`` is larger than any
@@ -34,7 +40,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docintake.llm.common import chunks, on_batches, table, whole_text, written
+from docintake.llm.common import (
+    chunks,
+    fresh,
+    on_batches,
+    table,
+    texts_of,
+    whole_text,
+    written,
+)
 from docintake.llm.shingles import overlap, shingle_sets
 
 BUCKET_BITS = 7
@@ -46,11 +60,14 @@ BANDS = BUCKETS // ROWS
 # Linked at 100 * intersection >= 75 * union.
 SIMILARITY = 75
 
-# Leaders of a bucket in the second turn; in each further turn so many times more.
-FEW_LEADERS = 32
+# Leaders go on while a turn closes at least this share of the open members of buckets.
+WORTH = 0.1
 
-# Members of a bucket that leaders meet in one group.
-PART = 4096
+# Cells in which a class counts the shingles that others hold too.
+CELLS = 128
+
+# Members of a bucket that meet as many others in one group.
+PART = 2048
 
 # An estimate may be off by this many standard deviations before it rejects a pair.
 DEVIATIONS = 6.0
@@ -163,6 +180,19 @@ def sketches(docs: DataFrame) -> DataFrame:
     return on_batches(texts.withColumn("text_key", F.xxhash64("text")), sketch, SKETCH)
 
 
+NODES = "node long, n_shingles long, n_own int, bands array<long>, shingles binary"
+
+
+def with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes with their sets, made once from their texts."""
+    names = ["node", "n_shingles", "n_own", "bands"]
+    for chunk in chunks(batches):
+        sets = pa.array([s.tobytes() for s in shingle_sets(chunk.column("text"))], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [*(chunk.column(c) for c in names), sets], [*names, "shingles"]
+        )
+
+
 def fingerprint(edges: DataFrame) -> tuple:
     """Equal for equal sets of edges, and as good as never for others."""
     hashed = F.xxhash64("u", "v").cast("decimal(38,0)")
@@ -207,15 +237,18 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.union(joined), "labels")
 
 
+def set_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint64)
+
+
 def compare(
     batches: Iterator[pa.RecordBatch], measured: bool
 ) -> Iterator[pa.RecordBatch]:
     """Pairs with ``linked`` and ``distance``: by registers, and on full sets where those
-    leave it open or distances are to be ``measured``. Rows of one ``u`` lie together, so
-    its set is made once."""
-    last, last_set, limit = None, None, SIMILARITY / 100
+    leave it open or distances are to be ``measured``."""
+    limit = SIMILARITY / 100
     for batch in batches:
-        for chunk in chunks(iter([batch]), "text_v"):
+        for chunk in chunks(iter([batch]), "shingles_v"):
 
             def side(name: str, chunk=chunk) -> np.ndarray:
                 return chunk.column(name).flatten().to_numpy().view("<u2").reshape(-1, BUCKETS)
@@ -229,14 +262,12 @@ def compare(
                 ]
             )
             linked, distance = np.zeros(len(most), bool), 1 - most
-            near = np.flatnonzero((most >= limit) | measured)
-            u = chunk.column("u").to_pylist()
-            sets = shingle_sets(chunk.column("text_v").take(pa.array(near)))
-            for i, found in zip(near.tolist(), sets, strict=True):
-                if u[i] != last:
-                    last, last_set = u[i], shingle_sets(chunk.column("text_u").slice(i, 1))[0]
-                shared = overlap(last_set, found)
-                joint = len(last_set) + len(found) - shared
+            for i in np.flatnonzero((most >= limit) | measured).tolist():
+                one, other = (
+                    set_of(chunk.column(f"shingles_{of}")[i].as_py()) for of in ("u", "v")
+                )
+                shared = overlap(one, other)
+                joint = len(one) + len(other) - shared
                 linked[i] = 100 * shared >= SIMILARITY * joint
                 distance[i] = 1 - shared / joint
             yield pa.RecordBatch.from_arrays(
@@ -255,7 +286,7 @@ def judged(pairs: DataFrame, nodes: DataFrame, measured: bool = False) -> DataFr
             F.col("bands").alias(f"bands_{of}"),
             F.col("n_shingles").alias(f"n_{of}"),
             F.col("n_own").alias(f"own_{of}"),
-            F.col("text").alias(f"text_{of}"),
+            F.col("shingles").alias(f"shingles_{of}"),
         )
 
     met = pairs.join(side("v"), "v").join(side("u"), "u")
@@ -287,11 +318,10 @@ def still_open(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def explode_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches):
-        sets = shingle_sets(chunk.column("text"))
-        size = [len(s) for s in sets]
-        node = np.repeat(chunk.column("node").to_numpy(), size)
-        every = np.concatenate(sets).view(np.int64)
+    for chunk in chunks(batches, "shingles"):
+        data, bounds = texts_of(chunk.column("shingles"))
+        node = np.repeat(chunk.column("node").to_numpy(), np.diff(bounds) // 8)
+        every = np.frombuffer(data.tobytes(), np.int64)
         for first in range(0, len(node), 50_000):
             part = slice(first, first + 50_000)
             yield pa.RecordBatch.from_arrays(
@@ -299,70 +329,121 @@ def explode_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
+def count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, n, most, cells``: the shingles of a class but its ``alone`` ones, counted in
+    cells; the smallest number stands for more than 16 bits hold, and rules nothing out."""
+    for chunk in chunks(batches, "shingles"):
+        found = []
+        for node, data, alone in zip(
+            *(chunk.column(c).to_pylist() for c in ("node", "shingles", "alone")), strict=True
+        ):
+            held = set_of(data)
+            own = np.array(alone or [], np.int64).view(np.uint64)
+            counts = np.bincount((held % CELLS).astype(np.int64), minlength=CELLS)
+            counts -= np.bincount((own % CELLS).astype(np.int64), minlength=CELLS)
+            if counts.max() > MOST_COUNTED:
+                counts[:] = -1
+            most = (100 + SIMILARITY) * (len(held) - len(own)) - SIMILARITY * len(held)
+            found.append((node, len(held), most, counts.astype("<i2").tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
+            ["node", "n", "most", "cells"],
+        )
+
+
+MOST_COUNTED = 2**15 - 1
+
+
 def with_possible_partners(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The open members that a link may still reach, with their size ``n`` and ``most``.
+    """The open members that a link may still reach, with size ``n``, ``most`` and ``cells``.
 
     Shingles that no other open class holds are in no intersection. A class of n shingles,
     u of them its own alone, is linked with one of m only if what it shares can be enough:
     75 * m <= 175 * (n - u) - 75 * n, which is ``most``. In a bucket whose classes are all
     too much their own, none can be linked with another, and none stays.
     """
-    open_nodes = nodes.join(left.select("node").distinct(), "node", "left_semi")
-    texts = open_nodes.select("node", "text")
-    held = on_batches(texts, explode_shingles, "node long, shingle long")
-    alone = held.groupBy("shingle").agg(
+    open_nodes = nodes.join(left.select("node").distinct(), "node", "left_semi").select(
+        "node", "shingles"
+    )
+    held = on_batches(open_nodes, explode_shingles, "node long, shingle long")
+    holders = held.groupBy("shingle").agg(
         F.min("node").alias("node"), F.count(F.lit(1)).alias("holders")
     )
-    own = alone.where("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    shared = F.col("n") - F.coalesce("own", F.lit(0))
-    share = (100 + SIMILARITY) * shared - SIMILARITY * F.col("n")
-    sizes = (
-        open_nodes.select("node", F.col("n_shingles").alias("n"))
-        .join(own, "node", "left")
-        .select("node", "n", share.alias("most"))
+    # As many as the shingles of one document, at most.
+    alone = holders.where("holders = 1").groupBy("node").agg(F.collect_list("shingle").alias("alone"))
+    counted = on_batches(
+        open_nodes.join(alone, "node", "left"),
+        count_shared,
+        "node long, n long, most long, cells binary",
     )
-    sized = written(left.join(sizes, "node"), "sized-members")
+    counted = written(counted, "shared-shingles")
+    sized = left.join(counted.drop("cells"), "node")
     bounds = sized.groupBy("band", "code").agg(
         F.min("n").alias("least_n"), F.max("most").alias("largest_most")
     )
     possible = (SIMILARITY * F.col("least_n") <= F.col("most")) & (
         SIMILARITY * F.col("n") <= F.col("largest_most")
     )
-    kept = sized.join(bounds, ["band", "code"]).where(possible).drop("least_n", "largest_most")
-    return written(kept, "open-members")
+    kept = sized.join(bounds, ["band", "code"]).where(possible).select("band", "code", "node")
+    return written(kept.join(counted, "node"), "open-members")
 
 
-def meet(leaders: pa.Table, members: pa.Table) -> pa.Table:
-    """Pairs of a leader and a member of a bucket that are not connected, not ruled out by
-    their sizes or registers, and don't share an earlier band, where they meet too."""
+def meet(some: pa.Table, others: pa.Table) -> pa.Table:
+    """Pairs of members of a bucket that are not connected, not ruled out by their sizes,
+    registers or counts, and don't share an earlier band, where they meet too."""
 
     def columns(table: pa.Table) -> tuple[np.ndarray, ...]:
         plain = [table.column(c).to_numpy() for c in ("node", "n", "most", "root", "n_own")]
         bands = table.column("bands").combine_chunks().flatten().to_numpy()
-        return *plain, bands.view("<u2").reshape(-1, BUCKETS)
+        cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), "<i2")
+        return *plain, bands.view("<u2").reshape(-1, BUCKETS), cells.reshape(-1, CELLS)
 
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    if leaders.num_rows and members.num_rows:
-        band = leaders.column("band")[0].as_py()
-        nodes, n, most, roots, own, drawn = columns(members)
-        for u, n_u, most_u, root_u, own_u, drawn_u in zip(*columns(leaders), strict=True):
+    if some.num_rows and others.num_rows:
+        band = some.column("band")[0].as_py()
+        within = some.column("part")[0].as_py() == some.column("other")[0].as_py()
+        nodes, n, most, roots, own, drawn, cells = columns(others)
+        for u, n_u, most_u, root_u, own_u, drawn_u, cells_u in zip(*columns(some), strict=True):
             open_ = (roots != root_u) & (SIMILARITY * n <= most_u) & (SIMILARITY * n_u <= most)
-            at = np.flatnonzero(open_)
+            at = np.flatnonzero(open_ & (nodes > u) if within else open_)
             same = drawn[at] == drawn_u
             margin = DEVIATIONS * np.sqrt(SPREAD / np.minimum(own[at], own_u))
             first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
-            v = nodes[at[first & (same.mean(1) + margin >= SIMILARITY / 100)]]
+            at = at[first & (same.mean(1) + margin >= SIMILARITY / 100)]
+            shared = np.minimum(cells[at], cells_u).sum(1, dtype=np.int64)
+            enough = (100 + SIMILARITY) * shared >= SIMILARITY * (n[at] + n_u)
+            v = nodes[at[enough | (shared < 0)]]
             found.append((np.minimum(u, v), np.maximum(u, v)))
     u, v = (np.concatenate(side) for side in zip(*found, strict=True))
     return pa.table({"u": u, "v": v})
 
 
-def connected(reps: DataFrame, with_texts) -> DataFrame:
+def split_buckets(left: DataFrame, labels: DataFrame) -> DataFrame:
+    """The open members of buckets that hold several components, with their ``root``."""
+    labelled = left.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = (
+        labelled.groupBy("band", "code")
+        .agg(F.min("root").alias("least"), F.max("root").alias("largest"))
+        .where("least <> largest")
+        .select("band", "code")
+    )
+    return written(labelled.join(several, ["band", "code"]), "split-buckets")
+
+
+def next_leaders(split: DataFrame) -> DataFrame:
+    """A leader for each bucket: the open member with the largest share of shingles that others
+    hold too, which lies in the middle of a group if there is one."""
+    share = F.struct(F.col("most") / F.col("n"), -F.col("node"))
+    return split.groupBy("band", "code").agg(F.max_by("node", share).alias("leader"))
+
+
+def connected(reps: DataFrame, with_sets) -> DataFrame:
     """Components of the classes (``node, root`` but for the roots) by their links.
 
-    First every bucket's smallest class is compared with all others of the bucket. Then,
-    while a bucket holds classes of different components, up to 32, 1024, ... of those
-    outside its largest component are compared with the members of others, and leave.
+    First every bucket's smallest class is compared with all others of the bucket. Buckets that
+    still hold several components get further leaders while that closes many members; then the
+    members of each that are left meet in blocks.
     """
     banded = reps.select("node", F.posexplode("bands").alias("band", "code"))
     buckets = banded.groupBy("band", "code").agg(
@@ -371,48 +452,47 @@ def connected(reps: DataFrame, with_texts) -> DataFrame:
     members = written(
         banded.join(buckets.where("n > 1").drop("n"), ["band", "code"]), "bucket-members"
     )
-    nodes = with_texts(members.select("node").distinct())
+    nodes = with_sets(members.select("node").distinct())
     star = [F.col("leader").alias("u"), F.col("node").alias("v")]
-    pairs = members.where("node <> leader").select(*star)
-    known = judged(pairs.distinct(), nodes, measured=True)
+    known = judged(members.where("node <> leader").select(*star).distinct(), nodes, measured=True)
     labels = written(components(known.where("linked")), "labels")
-    left, leaders = with_possible_partners(still_open(members, known), nodes), FEW_LEADERS
-    in_bucket = Window.partitionBy("band", "code").orderBy("node")
-    drawn = nodes.select("node", "bands", "n_own")
-    while left.take(1):
-        labelled = left.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = labelled.groupBy("band", "code", "root").agg(F.count(F.lit(1)).alias("members"))
-        largest = sizes.groupBy("band", "code").agg(
-            F.max(F.struct("members", "root"))["root"].alias("main"),
-            F.count(F.lit(1)).alias("components"),
-            F.ceil(F.sum("members") / PART).cast("int").alias("parts"),
-        )
-        split = labelled.join(largest.where("components > 1"), ["band", "code"])
-        split = written(split.drop("components"), "split-buckets")
-        chosen = (
-            split.where("root <> main")
-            .withColumn("turn", F.row_number().over(in_bucket))
-            .where(F.col("turn") <= leaders)
-            .drop("turn")
-        )
-        chosen = written(chosen, "leaders")
-        every = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        some = split.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-        key, fields = ["band", "code", "part"], ["node", "n", "most", "root", "bands", "n_own"]
+    left = with_possible_partners(still_open(members, known), nodes)
+    split, drawn = split_buckets(left, labels), nodes.select("node", "bands", "n_own")
+    n_open, closed = split.count(), 1.0
+    while n_open and closed >= WORTH:
+        leaders = written(next_leaders(split), "leaders")
+        met = split.join(leaders, ["band", "code"]).where("node <> leader").select(*star).distinct()
+        found = judged(met, nodes).where("linked")
+        if found.take(1):
+            labels = merged(labels, found)
+        gone = leaders.withColumnRenamed("leader", "node")
+        split = split.drop("root").join(gone, ["band", "code", "node"], "left_anti")
+        split = split_buckets(split, labels)
+        before, n_open = n_open, split.count()
+        closed = 1 - n_open / before
+    if not n_open:
+        return labels
+    sizes = split.groupBy("band", "code").agg(
+        F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")
+    )
+    dealt = split.join(sizes, ["band", "code"]).withColumn(
+        "own_part", F.pmod(F.xxhash64("node"), "parts").cast("int")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("some_part")
+    dealt = dealt.select("*", every)
+    key = ["band", "code", "part", "other"]
+    fields = ["node", "n", "most", "root", "bands", "n_own", "cells"]
+
+    def side(own: str, part: str, keep: str) -> DataFrame:
+        rows = dealt.where(keep).withColumnsRenamed({"own_part": own, "some_part": part})
         # Both sides read the same registers; names given anew tell their columns apart.
-        every, some = (
-            t.join(drawn, "node").select(*key, *fields).toDF(*key, *fields) for t in (every, some)
-        )
-        met = every.groupBy(*key).cogroup(some.groupBy(*key)).applyInArrow(meet, "u long, v long")
-        pairs = met.distinct().join(known.select("u", "v"), ["u", "v"], "left_anti")
-        found = judged(pairs, nodes)
-        known = known.union(found)
-        if found.where("linked").take(1):
-            labels = merged(labels, found.where("linked"))
-        gone = chosen.select("band", "code", "node")
-        left = split.drop("root", "main", "parts").join(gone, ["band", "code", "node"], "left_anti")
-        left, leaders = written(left, "open-members"), leaders * FEW_LEADERS
-    return labels
+        return rows.join(drawn, "node").select(*key, *fields).toDF(*key, *fields)
+
+    some = side("part", "other", "own_part <= some_part")
+    others = side("other", "part", "some_part <= own_part")
+    pairs = some.groupBy(*key).cogroup(others.groupBy(*key)).applyInArrow(meet, "u long, v long")
+    found = judged(pairs.distinct(), nodes).where("linked")
+    return merged(labels, found) if found.take(1) else labels
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -432,16 +512,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
         "representatives",
     )
 
-    def with_texts(nodes: DataFrame) -> DataFrame:
+    def with_sets(nodes: DataFrame) -> DataFrame:
         asked = reps.join(nodes, "node", "left_semi").withColumnsRenamed(
             {"doc_id": "_id", "text_key": "_key"}
         )
         texts = keyed_texts(docs)
         same = texts["doc_id"].eqNullSafe(asked["_id"]) & (F.xxhash64("text") == asked["_key"])
         found = texts.join(asked, same).drop("doc_id", "_id", "_key")
-        return written(found.dropDuplicates(["node"]), "texts-of-members")
+        return written(
+            on_batches(found.dropDuplicates(["node"]), with_shingles, NODES), "sets-of-members"
+        )
 
-    labels = connected(reps, with_texts)
+    labels = connected(reps, with_sets)
     named = classes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "root").select("set_id", "root", "component_id")
@@ -466,10 +548,11 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     least = groups.where("root IS NOT NULL").groupBy("root").agg(F.min(first).alias("first"))
     stay = least.select("first.doc_id", "first.text_key").union(alone)
     stay = stay.toDF("_id", "_key").distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64(whole_text()))
-    same = keyed["doc_id"].cast("long").eqNullSafe(stay["_id"])
-    kept = keyed.join(stay, same & (keyed["_text_key"] == stay["_key"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    key = fresh("text_key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(whole_text()))
+    same = keyed["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (keyed[key] == stay["_key"])
+    kept = keyed.join(stay, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", key]).drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

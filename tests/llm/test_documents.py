@@ -93,7 +93,7 @@ def test_curve_goes_from_neighbour_to_neighbour(n, bits):
 def test_shards_are_runs_of_equal_length(spark, shards):
     made = frame(spark, extra=True)
     files = hilbert.write_along_curve(made, scratch_path(spark, "curve"))
-    placed = hilbert.shards(spark, files, shards)
+    placed = hilbert.shards(spark, files, shards).rows
     shard, slot = placed.columns[-2:]
     found = placed.collect()
     assert Counter(tuple(r)[:2] for r in found) == Counter(r[:2] for r in rows())
@@ -132,6 +132,54 @@ def test_registered_shards(spark, sf_dir):
     assert set(counts) == set(range(40)) and max(counts.values()) - min(counts.values()) <= 1
 
 
+CLASHING = ("slot", "shard", "curve", "position", "run", "before_run", "all_rows", "rank_of_row")
+
+
+def test_clashing_columns_change_no_shard(spark):
+    made = frame(spark)
+    plain = hilbert.digest(spark, made)
+    clashing = made.selectExpr("*", *[f"7L AS {c}" for c in CLASHING])
+    assert Counter(map(tuple, hilbert.digest(spark, clashing).collect())) == Counter(
+        map(tuple, plain.collect())
+    )
+    files = hilbert.write_along_curve(clashing, scratch_path(spark, "curve"))
+    rows_ = hilbert.shards(spark, files).rows
+    assert {tuple(r) for r in rows_.select(*CLASHING).distinct().collect()} == {(7,) * len(CLASHING)}
+
+
+@pytest.mark.parametrize("parts", [2, 32])
+def test_quantiles_cover_all_rows(spark, parts):
+    draw = np.random.default_rng(parts)
+    values = np.concatenate([draw.lognormal(5, 2, 5000), np.full(2000, 7.0)]).round(3)
+    made = spark.createDataFrame([(float(v), "x") for v in values] + [(None, "x")], "v double, w string")
+    codes = hilbert.as_codes(made, ["v", "w"])
+    edges = hilbert.quantiles(made, codes, parts)
+    every = np.sort(
+        [r[0] for r in made.select(codes["v"].alias("c")).where("c IS NOT NULL").collect()]
+    )
+    ranks = [-(-i * len(every) // parts) for i in range(1, parts)]
+    assert edges["v"] == sorted({int(every[r - 1]) for r in ranks})
+    assert edges["w"] == [0]
+
+
+@pytest.mark.parametrize(
+    ("stage", "column"),
+    [
+        (block_names.without_copies, "sha256"),
+        (block_names.without_copies, "_sha256"),
+        (hyperminhash.without_near_copies, "_text_key"),
+        (hyperminhash.without_near_copies, "text_key"),
+    ],
+)
+def test_clashing_columns_stay_in_stages(spark, stage, column):
+    made = frame(spark)
+    with_it = stage(made.selectExpr("*", f"doc_id + 1 AS {column}"))
+    assert with_it.columns == [*made.columns, column]
+    kept = with_it.collect()
+    assert Counter(r["doc_id"] for r in kept) == Counter(r["doc_id"] for r in stage(made).collect())
+    assert all(r[column] == (None if r["doc_id"] is None else r["doc_id"] + 1) for r in kept)
+
+
 # --- operator 9
 
 
@@ -337,9 +385,10 @@ def component_ids(values, roots):
     return least
 
 
-@pytest.mark.parametrize("leaders", [2, 32])
-def test_components_equal_brute_force(spark, monkeypatch, leaders):
-    monkeypatch.setattr(hyperminhash, "FEW_LEADERS", leaders)
+@pytest.mark.parametrize(("worth", "part"), [(0.1, 2048), (1.1, 7), (0.0, 30)])
+def test_components_equal_brute_force(spark, monkeypatch, worth, part):
+    monkeypatch.setattr(hyperminhash, "WORTH", worth)
+    monkeypatch.setattr(hyperminhash, "PART", part)
     texts = [t for _, t, *_ in rows()]
     # Groups whose members are linked, partly linked, and hardly linked with each other.
     texts += variants(40, 120, 2, 1) + variants(40, 120, 4, 2) + variants(30, 120, 6, 3)
@@ -364,6 +413,38 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 20, 21, 22]
 
 
+def test_counts_in_cells_rule_out_no_link():
+    draw = np.random.default_rng(7)
+    base = draw.integers(0, 2**64, 300, dtype=np.uint64)
+    sets = []
+    for k in range(40):
+        own = draw.integers(0, 2**64, 5 + 2 * k, dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([draw.choice(base, 300 - 3 * k, replace=False), own])))
+    every, held = np.unique(np.concatenate(sets), return_counts=True)
+    alone = set(every[held == 1].tolist())
+    rows_ = pa.RecordBatch.from_pylist(
+        [
+            {
+                "node": k,
+                "shingles": s.tobytes(),
+                "alone": np.array([x for x in s.tolist() if x in alone], np.uint64)
+                .view(np.int64)
+                .tolist(),
+            }
+            for k, s in enumerate(sets)
+        ],
+        pa.schema(
+            [("node", pa.int64()), ("shingles", pa.binary()), ("alone", pa.list_(pa.int64()))]
+        ),
+    )
+    (counted,) = hyperminhash.count_shared(iter([rows_]))
+    cells = [np.frombuffer(c, "<i2") for c in counted.column("cells").to_pylist()]
+    for i in range(40):
+        for j in range(i):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            assert np.minimum(cells[i], cells[j]).sum() >= shared
+
+
 def test_estimates_are_near_the_truth():
     draw = np.random.default_rng(1)
     for share in (0.3, 0.6, 0.9):
@@ -462,7 +543,7 @@ def test_nothing_to_learn_from(spark):
         lambda d: factorisation.score(d, factorisation.Machine()),
         lambda d: hilbert.shards(
             d.sparkSession, hilbert.write_along_curve(d, scratch_path(d.sparkSession, "c"))
-        ),
+        ).rows,
     ],
 )
 def test_empty_tables(spark, run):
