@@ -121,6 +121,15 @@ SELECT e.event_id, e.ts, e.user_id AS client_id,
 FROM events e LEFT JOIN links l ON l.id = e.user_id * 2)"""
 
 
+def client_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log of few clients with several links each."""
+    return link_events(spark, sf_dir).withColumn("client_id", F.col("client_id") % 20)
+
+
+CLIENT_EVENTS = """client_events AS (
+SELECT * REPLACE (client_id % 20 AS client_id) FROM link_events)"""
+
+
 def patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patches from completed downloads: repeated and unknown links, NULL and ''."""
     n = F.col("event_id")

@@ -31,7 +31,8 @@ from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
 from docintake.session import scratch_path
 from docintake.sources import archive, arrivals, csvfiles
 from docintake.sources.tables import read_parts
-from docintake.streaming import jobs
+from docintake.streaming import archives, jobs, retries
+from docintake.streaming import arrivals as arriving
 
 BATCH = 10
 SEED = "run-1"
@@ -261,7 +262,7 @@ def retry_sweeps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def retry_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.retry_candidates(fx.link_events(spark, d), fx.links(spark, d))
+    return reconcile.retry_candidates(fx.client_events(spark, d), fx.links(spark, d))
 
 
 def completed_items(spark: SparkSession, d: str) -> DataFrame:
@@ -448,26 +449,22 @@ def tag_documents(spark: SparkSession, d: str) -> DataFrame:
     return tagged
 
 
-def document_events(spark: SparkSession, d: str) -> DataFrame:
+def document_events(spark: SparkSession, d: str, stride: int = 1) -> DataFrame:
     """The event log, each event with a document out of the whole table: the place of a
-    document among all ids is the event's number modulo their count."""
+    document among all ids is the event's number, times ``stride``, modulo their count."""
     events = fx.link_events(spark, d).drop("pred", "tag_json")
     ids = fx.table(spark, d, "documents").select("doc_id")
     places = running(ids, [], ["doc_id"], "document-places", counts={"nth": F.lit(True)})
     places = places.select("doc_id", (F.col("nth") - 1).alias("place"))
     numbers = ids.agg(F.count(F.lit(1)).alias("n_documents"))  # one row
     placed = events.crossJoin(F.broadcast(numbers)).withColumn(
-        "place", F.expr("CASE WHEN n_documents > 0 THEN event_id % n_documents END")
+        "place", F.expr(f"CASE WHEN n_documents > 0 THEN event_id * {stride} % n_documents END")
     )
     return key_join(placed, places, ["place"]).drop("place", "n_documents")
 
 
-def _worked_events(spark: SparkSession, d: str, events: DataFrame | None = None) -> DataFrame:
-    """The event log, its classes and tags worked out from the documents. Without ``events``,
-    which name their documents, only the documents 0 to 199 are named."""
-    if events is None:
-        events = fx.link_events(spark, d).drop("pred", "tag_json")
-        events = events.withColumn("doc_id", F.col("event_id") % 200)
+def _worked_events(spark: SparkSession, d: str, events: DataFrame) -> DataFrame:
+    """The event log, its classes and tags worked out from the documents that it names."""
     first = pagetext.first_page_texts(fx.doc_pages(spark, d)).select("doc_id", "page_num", "text")
     worked, _ = results.with_results(
         _working(spark, d),
@@ -480,19 +477,23 @@ def _worked_events(spark: SparkSession, d: str, events: DataFrame | None = None)
     return worked
 
 
+# Events name documents in two different ways, each of which reaches the whole table.
+STRIDE = 7
+
+
 def document_to_state(spark: SparkSession, d: str) -> DataFrame:
     """Downloaded documents scored and tagged, and what that makes of the links."""
-    rows = state.link_state(_working(spark, d), _worked_events(spark, d))
-    return rows.select(*STATE_COLUMNS)
+    worked = _worked_events(spark, d, document_events(spark, d, STRIDE))
+    return state.link_state(_working(spark, d), worked).select(*STATE_COLUMNS)
 
 
 def document_to_archive(spark: SparkSession, d: str) -> DataFrame:
-    rows = state.archive_on_download(_working(spark, d), _worked_events(spark, d))
+    worked = _worked_events(spark, d, document_events(spark, d, STRIDE))
+    rows = state.archive_on_download(_working(spark, d), worked)
     return rows.select("event_id", *ARCHIVED)
 
 
 def all_documents_to_state(spark: SparkSession, d: str) -> DataFrame:
-    """``document_to_state`` with downloads of all documents."""
     worked = _worked_events(spark, d, document_events(spark, d))
     return state.link_state(_working(spark, d), worked).select(*STATE_COLUMNS)
 
@@ -591,10 +592,14 @@ def stream_link_state(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_archive(spark: SparkSession, d: str) -> DataFrame:
-    path, checkpoint = _sink(spark)
-    jobs.stream_downloads(_event_stream(spark, d), path, checkpoint).awaitTermination()
-    log = read_parts(spark, path, fx.link_events(spark, d).schema)
-    return state.archive_on_download(_working(spark, d), log).select("event_id", *ARCHIVED)
+    """The archive rows that the stream keeps, read back."""
+    source = _event_stream(spark, d)
+    root, checkpoint = _sink(spark)
+    store = archives.ArchiveStore(spark, root, source.schema)
+    archives.stream_archive(
+        source, lambda: _working(spark, d), store, checkpoint
+    ).awaitTermination()
+    return store.read().select("event_id", *ARCHIVED)
 
 
 def stream_retry(spark: SparkSession, d: str) -> DataFrame:
@@ -606,13 +611,47 @@ def stream_retry(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Which downloads the sweeps find, and what becomes of them, from the stream."""
-    source = _event_stream(spark, d)
-    store = jobs.RetryStore(spark, scratch_path(spark, "retry"), source.schema)
-    _, checkpoint = _sink(spark)
-    jobs.stream_retry_candidates(
-        source, lambda: fx.links(spark, d), store, checkpoint
+    rows = fx.client_events(spark, d)
+    path = _landed(spark, rows, "client-events")
+    source = arrivals.event_stream(spark, path, rows.schema, files_per_trigger=2)
+    root, checkpoint = _sink(spark)
+    store = retries.RetryStore(spark, root, source.schema)
+    retries.stream_retry_candidates(source, store, checkpoint).awaitTermination()
+    return store.candidates(fx.links(spark, d))
+
+
+def stream_completed_items(spark: SparkSession, d: str) -> DataFrame:
+    """Items of finished downloads, where an item is listed up to 40 minutes before or after
+    the change of its download."""
+    n, minutes = F.col("event_id"), F.col("event_id") % 81 - 40
+    events = fx.link_events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    changed = events.select(
+        n.alias("download_id"),
+        F.when(F.col("kind") == state.DOWNLOAD, "complete")
+        .when(F.col("kind") == state.INTERRUPTED, "interrupted")
+        .otherwise("in_progress")
+        .alias("state"),
+        F.col("ts").alias("changed_at"),
+    )
+    listed = events.select(
+        n.alias("download_id"),
+        "pdf_link",
+        "filename",
+        (F.col("ts") + F.make_dt_interval(mins=minutes.cast("int"))).alias("listed_at"),
+    )
+
+    def stream(rows: DataFrame, at: str, label: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        rows.repartitionByRange(4, at).write.parquet(path)
+        return arrivals.event_stream(spark, path, rows.schema, files_per_trigger=4)
+
+    path, checkpoint = _sink(spark)
+    items = stream(listed, "listed_at", "items")
+    arriving.stream_completed_items(
+        stream(changed, "changed_at", "changes"), items, path, checkpoint
     ).awaitTermination()
-    return store.read()
+    found = read_parts(spark, path, listed.schema)
+    return found.select("download_id", "pdf_link", "filename")
 
 
 def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
@@ -624,16 +663,30 @@ def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     return read_parts(spark, path, T.StructType.fromDDL(schema))
 
 
+# Pages in one file.
+PAGES_PER_FILE = 10
+
+
 def file_arrivals(spark: SparkSession, d: str) -> DataFrame:
-    """Bytes that arrive when the web pages are dropped into a folder as files."""
+    """The ledger of files after the web pages were dropped, some of them to a file: what
+    arrived under which name, and how long it is."""
     folder = scratch_path(spark, "drop")
-    fx.table(spark, d, "pages").select("html").repartition(4).write.text(folder)
-    path, checkpoint = _sink(spark)
-    jobs.stream_files(
-        arrivals.file_stream(spark, folder, files_per_trigger=2), path, checkpoint
-    ).awaitTermination()
-    arrived = read_parts(spark, path, T.StructType.fromDDL("name string, length long"))
-    return arrived.agg(F.sum("length").alias("total_bytes"))
+    pages = fx.table(spark, d, "pages").withColumn(
+        "block", F.floor(F.col("page_id") / PAGES_PER_FILE)
+    )
+    (
+        pages.repartition("block")
+        .sortWithinPartitions("block", "page_id")
+        .select("block", "html")
+        .write.partitionBy("block")
+        .text(folder)
+    )
+    root, checkpoint = _sink(spark)
+    ledger = arriving.ledger_table(spark, root)
+    files = arrivals.file_stream(spark, f"{folder}/block=*", files_per_trigger=10_000, digest=True)
+    arriving.stream_ledger(files, ledger, checkpoint).awaitTermination()
+    name = F.regexp_extract("path", "block=([0-9]+)", 1)
+    return ledger.read().select(name.cast("long").alias("block"), "length", "sha256")
 
 
 # --- the large fixtures -----------------------------------------------------------------
@@ -679,8 +732,8 @@ def big_retry_sweeps(spark: SparkSession, d: str) -> DataFrame:
 
 def big_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Clients with many links, of which every fourth is unknown to the table."""
-    known = fx.big_links(spark, d).where(F.col("id") % 4 != 0)
-    return reconcile.retry_candidates(fx.big_events(spark, d), known, CLIENT_ORDER)
+    events = fx.retry_events(spark, d)
+    return reconcile.retry_candidates(events, fx.big_links(spark, d), CLIENT_ORDER)
 
 
 def big_stream_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -688,12 +741,10 @@ def big_stream_retry_candidates(spark: SparkSession, d: str) -> DataFrame:
     rows = fx.retry_events(spark, d)
     path = _landed(spark, rows, "retry-events")
     source = arrivals.event_stream(spark, path, rows.schema, files_per_trigger=2)
-    store = jobs.RetryStore(spark, scratch_path(spark, "retry"), source.schema, CLIENT_ORDER)
-    _, checkpoint = _sink(spark)
-    jobs.stream_retry_candidates(
-        source, lambda: fx.big_links(spark, d), store, checkpoint
-    ).awaitTermination()
-    return store.read()
+    root, checkpoint = _sink(spark)
+    store = retries.RetryStore(spark, root, source.schema, CLIENT_ORDER)
+    retries.stream_retry_candidates(source, store, checkpoint).awaitTermination()
+    return store.candidates(fx.big_links(spark, d))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -766,6 +817,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_archive,
         stream_retry,
         stream_retry_candidates,
+        stream_completed_items,
         stream_rejects,
         file_arrivals,
         big_claim,
