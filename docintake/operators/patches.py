@@ -17,8 +17,16 @@ from docintake.schemas import PATCH_COLUMNS
 SPARSE_COLUMNS = ("title", "author", "sector", "date", "status")
 
 
+# What a batch patch must name besides the values it writes.
+PATCH_NEEDS = (*PATCH_COLUMNS, "pdf_link")
+
+
+def missing_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
+    return sorted(set(names) - set(df.columns))
+
+
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
-    missing = sorted(set(names) - set(df.columns))
+    missing = missing_columns(df, names)
     if missing:
         raise ValueError(f"columns not found: {missing}")
 
@@ -41,7 +49,7 @@ def merge_patch(
     Every row with a patched link is written; where several patches name the same
     link, the last one stands. ``changed_only`` leaves out the rows without a patch.
     """
-    require_columns(patch, [*PATCH_COLUMNS, "pdf_link", ordinal])
+    require_columns(patch, [*PATCH_NEEDS, ordinal])
     how = "inner" if changed_only else "left"
     last = last_patch(patch, ordinal)
     joined = key_join(links, last, ["pdf_link"], how)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +29,16 @@ from docintake.operators.skew import key_join, running
 from docintake.plans import fixtures as fx
 from docintake.plans.lifecycle import Intake
 from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
-from docintake.session import scratch_path
+from docintake.session import materialize, scratch_path
 from docintake.sources import archive, arrivals, csvfiles
+from docintake.sources.links import read_archive
 from docintake.sources.tables import read_parts
 from docintake.streaming import archives, jobs, retries
 from docintake.streaming import arrivals as arriving
 
 BATCH = 10
 SEED = "run-1"
+NEXT_SEED = "run-2"
 BIG_BATCH = 2000  # beyond the plain top-k
 
 # Hosts that serve the work page itself; a parameter of the tab filter.
@@ -105,6 +108,21 @@ def merge_patch(spark: SparkSession, d: str) -> DataFrame:
     return patches.merge_patch(fx.links(spark, d), fx.patches(spark, d))
 
 
+def patch_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Patches that lack some columns: what is missing keeps every one of them out."""
+    whole, found = fx.patches(spark, d), []
+    for gone in ((), ("title",), ("author", "date"), ("pdf_link",)):
+        lacking = whole.drop(*gone)
+        missing = patches.missing_columns(lacking, patches.PATCH_NEEDS)
+        rows = lacking.select(
+            "ordinal",
+            F.lit(",".join(missing)).alias("missing"),
+            F.lit("merged" if not missing else "rejected").alias("outcome"),
+        )
+        found.append(rows)
+    return reduce(DataFrame.unionByName, found)
+
+
 def merge_count(spark: SparkSession, d: str) -> DataFrame:
     return patches.merge_count(fx.links(spark, d), fx.patches(spark, d))
 
@@ -195,16 +213,63 @@ def batch_close(spark: SparkSession, d: str) -> DataFrame:
     return batches.close_plan(_state(spark, d))
 
 
-def intake_cycle(spark: SparkSession, d: str) -> DataFrame:
-    """The link table after one batch was claimed, worked and closed."""
+def _worked_intake(spark: SparkSession, d: str) -> Intake:
+    """An intake whose first batch was claimed and worked on."""
     intake = Intake(spark, scratch_path(spark, "intake"))
     intake.links.commit(fx.links(spark, d))
     intake.start_batch(BATCH, SEED)
     intake.record(fx.link_events(spark, d), "events")
+    return intake
+
+
+def intake_cycle(spark: SparkSession, d: str) -> DataFrame:
+    """The link table after one batch was claimed, worked and closed."""
+    intake = _worked_intake(spark, d)
     intake.close_batch()
     return intake.links.read().select("id", "pdf_link", "status", "classify", "title")
 
 
+def intake_cycle_archive(spark: SparkSession, d: str) -> DataFrame:
+    """What the archive holds after that cycle."""
+    intake = _worked_intake(spark, d)
+    intake.close_batch()
+    return read_archive(spark, intake.archive).select(*ARCHIVED)
+
+
+def intake_cycle_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Every link of the table, and whether the batch held it as loaded, after it was closed, and
+    after the next one was claimed."""
+    intake, held = _worked_intake(spark, d), []
+    for moment, step in (
+        ("loaded", lambda: None),
+        ("closed", intake.close_batch),
+        ("next", lambda: intake.start_batch(BATCH, NEXT_SEED)),
+    ):
+        step()
+        rows = intake.batch.read().select("id", F.lit(True).alias(moment))
+        held.append(materialize(rows, "held"))
+    found = intake.links.read().select("id")
+    for rows in held:
+        moment = rows.columns[1]
+        found = found.join(rows, "id", "left").withColumn(moment, F.coalesce(moment, F.lit(False)))
+    return found
+
+
+def empty_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Batches that are asked for where links are free and where none is: what each answers."""
+    answers = []
+    for name, rows in (
+        ("free", fx.links(spark, d)),
+        ("busy", fx.links(spark, d).withColumn("status", F.lit(claims.IN_PROCESS))),
+    ):
+        intake = Intake(spark, scratch_path(spark, "intake"))
+        intake.links.commit(rows)
+        found = intake.start_batch(BATCH, SEED).agg(F.count(F.lit(1)).alias("n"))
+        answer = F.when(F.col("n") == 0, "not found").otherwise("found")
+        answers.append(found.select(F.lit(name).alias("links"), "n", answer.alias("answer")))
+    return answers[0].unionByName(answers[1])
+
+
 # --- archive ------------------------------------------------------------------
 
 
@@ -757,6 +822,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         claim_apply,
         batch_worklist,
         merge_patch,
+        patch_columns,
         merge_count,
         sparse_patch,
         sparse_patch_applied,
@@ -774,6 +840,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_append,
         batch_close,
         intake_cycle,
+        intake_cycle_archive,
+        intake_cycle_batches,
+        empty_batch,
         archive_append,
         archive_on_download,
         archive_truncate,

@@ -1,3 +1,4 @@
+import pytest
 from test_claims import make
 from test_state import event, tables
 
@@ -64,3 +65,76 @@ def test_merged_patches_change_only_their_rows(spark, tmp_path):
     intake.merge(patch(spark, {"pdf_link": "u2", "ordinal": 1, "classify": 1, "title": "T"}))
     assert statuses(intake.links) == {0: "in_process", 1: "in_process", 2: "ready", 3: "in_process"}
     assert {r["id"]: r["title"] for r in intake.links.read().collect()}[2] == "T"
+
+
+class Crash(Exception):
+    pass
+
+
+def dying(monkeypatch, intake, after):
+    """The tables of ``intake`` and its archive die after so many writes."""
+    from docintake.plans import lifecycle
+
+    left = [after]
+
+    def counted(write):
+        def run(*args):
+            if left[0] == 0:
+                raise Crash
+            left[0] -= 1
+            write(*args)
+
+        return run
+
+    for table in (intake.links, intake.batch):
+        monkeypatch.setattr(table, "_add", counted(table._add))
+    monkeypatch.setattr(lifecycle, "append_archive", counted(lifecycle.append_archive))
+
+
+def worked(spark, root):
+    """A batch that was claimed and worked on, below ``root``."""
+    intake = Intake(spark, root)
+    intake.links.commit(
+        make(spark, [{"id": n, "pdf_link": f"u{n}", "status": "ready"} for n in range(6)])
+    )
+    first = sorted(r["id"] for r in intake.start_batch(4, "one").collect())
+    log = [event(1, f"u{first[0]}", "download_complete", 2), event(2, f"u{first[1]}", "html_seen")]
+    intake.record(tables(spark, [], log)[1], "one")
+    return intake
+
+
+def outcome(spark, intake):
+    archived = read_archive(spark, intake.archive).collect()
+    return (
+        statuses(intake.links),
+        statuses(intake.batch),
+        sorted((r["pg_id"], r["status"]) for r in archived),
+        intake.events().count(),
+    )
+
+
+@pytest.fixture(scope="module")
+def undisturbed(spark, tmp_path_factory):
+    intake = worked(spark, str(tmp_path_factory.mktemp("whole")))
+    claimed = {r["id"] for r in intake.start_batch(3, "two").collect()}
+    return claimed, outcome(spark, intake)
+
+
+@pytest.mark.parametrize("after", range(5))
+def test_a_crash_after_any_write_ends_in_the_same_state(
+    spark, tmp_path, monkeypatch, undisturbed, after
+):
+    """Closing frees links, archives and empties the batch; claiming fills both tables."""
+    claimed, expected = undisturbed
+    hurt = worked(spark, str(tmp_path))
+    with monkeypatch.context() as patch:
+        dying(patch, hurt, after)
+        with pytest.raises(Crash):
+            hurt.start_batch(3, "two")
+    again = Intake(spark, str(tmp_path))
+    again.recover()
+    if after < 3:  # the batch was being closed
+        assert statuses(again.batch) == {}
+        again.start_batch(3, "two")
+    assert set(statuses(again.batch)) == claimed
+    assert outcome(spark, again) == expected
