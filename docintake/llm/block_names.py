@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docintake.llm.common import table, whole_text, written
+from docintake.llm.common import fresh, table, whole_text, written
 
 # Characters in a block.
 BLOCK_CHARS = 4096
@@ -164,13 +164,10 @@ def without_copies(docs: DataFrame, **settings) -> DataFrame:
         .where("kept")
         .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     )
-    checked = docs.withColumn("_sha256", F.sha2(normalised(whole_text()), 256))
-    same = checked["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (
-        checked["_sha256"] == stay["_sha"]
-    )
-    return (
-        checked.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_sha256"]).drop("_sha256")
-    )
+    sha = fresh("sha256", docs.columns)
+    checked = docs.withColumn(sha, F.sha2(normalised(whole_text()), 256))
+    same = checked["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (checked[sha] == stay["_sha"])
+    return checked.join(stay, same, "left_semi").dropDuplicates(["doc_id", sha]).drop(sha)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
