@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docintake.functions.urls import base_name
+from docintake.session import materialize
+from docintake.sources.files import opener
 
 # Fixed value: characters taken from each of the two texts of a page.
 MAX_CHARS = 2000
 
+# Pages of a file that one task reads at once.
+SPAN = 64
+
 
 def extract_pages(
     files: DataFrame, extract: Callable[[str, bytes], Iterator[tuple[int, str, str]]]
@@ -41,6 +47,67 @@ def extract_pages(
     return pages.withColumn("doc_id", base_name(F.col("path"))).drop("path")
 
 
+def page_spans(
+    files: DataFrame, count: Callable[[BinaryIO], int], span: int = SPAN
+) -> DataFrame:
+    """Runs of at most ``span`` pages of each file: ``path, first_page, last_page``. ``count``
+    gives the number of pages of an open file. A file that cannot be read has none."""
+    open_file = opener()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            pages = []
+            for path in batch["path"]:
+                try:
+                    with open_file(path) as file:
+                        pages.append(count(file))
+                except Exception:  # a bad file must not end the job
+                    pages.append(0)
+            yield pd.DataFrame({"path": batch["path"].values, "pages": pages})
+
+    counted = files.select("path").mapInPandas(run, "path string, pages long")
+    starts = F.sequence(F.lit(1).cast("long"), F.col("pages"), F.lit(span).cast("long"))
+    spans = counted.where("pages > 0").select(
+        "path", "pages", F.explode(starts).alias("first_page")
+    )
+    last = F.least(F.col("first_page") + (span - 1), "pages")
+    return spans.select("path", "first_page", last.alias("last_page"))
+
+
+def extract_spans(
+    files: DataFrame,
+    count: Callable[[BinaryIO], int],
+    read: Callable[[BinaryIO, int, int], Iterator[tuple[int, str, str]]],
+    span: int = SPAN,
+) -> DataFrame:
+    """Pages of files that are opened where they lie: ``path, page_num, native_text, ocr_text``.
+
+    ``files`` have a ``path``, and no content travels. ``read(file, first, last)`` yields
+    ``(page_num, native_text, ocr_text)`` of a run of pages from an open file, which can be
+    sought; so a file of any size is many tasks' work, each of which holds a run of its pages.
+    A run that cannot be read yields no page, which later reads as empty text.
+    """
+    open_file = opener()
+    columns = ["path", "page_num", "native_text", "ocr_text"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, first, last in zip(batch["path"], batch["first_page"], batch["last_page"]):
+                try:
+                    with open_file(path) as file:
+                        pages = [(path, *page) for page in read(file, int(first), int(last))]
+                except Exception:  # a bad file must not end the job
+                    continue
+                if pages:
+                    yield pd.DataFrame(pages, columns=columns)
+
+    spans = materialize(page_spans(files, count, span), "page-spans")
+    dealt = spans.repartition("path", "first_page")
+    return dealt.mapInPandas(
+        run, "path string, page_num int, native_text string, ocr_text string"
+    )
+
+
 def read_target_pages(
     wanted: DataFrame,
     read_native: Callable[[str, int], str],

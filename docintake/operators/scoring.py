@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import tempfile
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.linalg import DenseMatrix, Vectors
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docintake.functions.scores import PLACES, best_class, logistic, margin
@@ -21,6 +28,32 @@ def score_documents(docs: DataFrame, margins: Mapping[int, Column]) -> DataFrame
     return docs.withColumn("pred", best_class(margins))
 
 
+def pinned_classifier(
+    spark: SparkSession, models: Mapping[int, tuple[Mapping[str, float], float]]
+) -> PipelineModel:
+    """An ML pipeline with known coefficients: per class the weights of its features and an
+    intercept. It assembles the features, applies the multinomial model, and names the class
+    by its number; it can be saved and loaded like one that was fitted."""
+    classes = sorted(models)
+    features = sorted({f for weights, _ in models.values() for f in weights})
+    rows = [models[c][0].get(f, 0.0) for c in classes for f in features]
+    context = spark.sparkContext
+    matrix = DenseMatrix(len(classes), len(features), rows, isTransposed=True)
+    intercepts = Vectors.dense([models[c][1] for c in classes])
+    made = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "pinned-classes", _py2java(context, matrix), _py2java(context, intercepts), len(classes), True
+    )
+    numbers = ", ".join(f"{c}D" for c in classes)
+    named = f"SELECT * EXCEPT (prediction), array({numbers})[int(prediction)] AS prediction FROM __THIS__"
+    return PipelineModel(
+        [
+            VectorAssembler(inputCols=features, outputCol="features"),
+            LogisticRegressionModel(made),
+            SQLTransformer(statement=named),
+        ]
+    )
+
+
 def score_documents_with_model(docs: DataFrame, model: Transformer | str) -> DataFrame:
     """The same with a fitted ML model, given as an object or as a saved path."""
     if isinstance(model, str):
@@ -49,6 +82,45 @@ def score_documents_with_function(
     return wanted.mapInPandas(score, f"{id_column} {id_type}, pred int")
 
 
+def spread(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Hand a model's file to all executors: its checksum, and its name there. ``path`` may lie in
+    any store that Spark reads; a model is a file that fits into memory."""
+    content = spark.read.format("binaryFile").load(path).select("content").first()["content"]
+    checksum = hashlib.sha256(content).hexdigest()
+    name = f"docintake-model-{checksum}"
+    if not any(known.endswith(name) for known in spark.sparkContext.listFiles):
+        local = os.path.join(tempfile.mkdtemp(prefix="docintake-model-"), name)
+        with open(local, "wb") as out:
+            out.write(content)
+        spark.sparkContext.addFile(local)
+    return checksum, name
+
+
+def score_documents_with_artifact(
+    docs: DataFrame,
+    path: str,
+    load: Callable[[str], Callable[[pd.DataFrame], pd.Series]],
+    columns: list[str],
+    id_column: str = "doc_id",
+) -> DataFrame:
+    """The same with a Python model in a file. ``load`` gets the file's place on the executor and
+    runs once per worker process, however many tasks that works through: models are kept there
+    under their checksum."""
+    checksum, name = spread(docs.sparkSession, path)
+
+    def load_scorer() -> Callable[[pd.DataFrame], pd.Series]:
+        import sys
+
+        from pyspark import SparkFiles
+
+        models = sys.__dict__.setdefault("_docintake_models", {})
+        if checksum not in models:
+            models[checksum] = load(SparkFiles.get(name))
+        return models[checksum]
+
+    return score_documents_with_function(docs, load_scorer, columns, id_column)
+
+
 def page_scores(pages: DataFrame, weights: Mapping[str, float], intercept: float) -> DataFrame:
     """Probability that a page is the title page, from a logistic model."""
     return pages.withColumn("prob", logistic(margin(weights, intercept)))

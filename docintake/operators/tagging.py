@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docintake.functions import tagjson
 from docintake.functions.truth import non_empty
 from docintake.operators.scoring import TOP_PAGES
 from docintake.operators.skew import key_join
 from docintake.schemas import TAG_FIELDS
-from docintake.session import materialize
+from docintake.session import materialize, scratch_path
+from docintake.sources.tables import read_parts
 
 # The sectors a tagger may choose from, in order.
 SECTORS = (
@@ -66,43 +68,136 @@ def distinct_prompts(prompts: DataFrame) -> DataFrame:
     return prompts.groupBy("prompt_hash").agg(F.min("messages").alias("messages"))
 
 
-def ask(distinct: DataFrame, complete: Complete, tasks: int | None = None) -> DataFrame:
-    """Answers of distinct prompts: ``prompt_hash, completion``.
+# Buckets of prompts, by hash; tries for a prompt whose call fails.
+BUCKETS = 64
+TRIES = 3
 
-    ``complete`` gets a batch of message texts and returns as many answers.
-    ``tasks`` sets into how many tasks the calls are split, where a model service
-    asks for that.
+ANSWERS = "prompt_hash string, completion string, error string, tries int"
+
+
+def ask(
+    distinct: DataFrame, complete: Complete, tasks: int | None = None, tries: int = TRIES
+) -> DataFrame:
+    """Answers of distinct prompts: ``prompt_hash, completion, error, tries``.
+
+    ``complete`` gets a batch of message texts and returns as many answers. If the call
+    fails, each prompt is asked by itself, and after ``tries`` failures has the error
+    instead of an answer. ``tasks`` sets into how many tasks the calls are split, where a
+    model service asks for that.
     """
 
+    def alone(message: str) -> tuple[str | None, str | None, int]:
+        error = None
+        for n in range(1, tries + 1):
+            try:
+                (answer,) = complete([message])
+                return answer, None, n
+            except Exception as failed:  # whatever a model service may raise
+                error = f"{type(failed).__name__}: {failed}"
+        return None, error, tries
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = list(complete(batch["messages"].tolist()))
-            yield pd.DataFrame({"prompt_hash": batch["prompt_hash"], "completion": answers})
+            messages = batch["messages"].tolist()
+            try:
+                answers = [(answer, None, 1) for answer in complete(messages)]
+            except Exception:
+                answers = []
+            if len(answers) != len(messages):
+                answers = [alone(message) for message in messages]
+            found = pd.DataFrame(answers, columns=["completion", "error", "tries"], dtype=object)
+            yield found.assign(prompt_hash=batch["prompt_hash"].values)[
+                ["prompt_hash", "completion", "error", "tries"]
+            ]
 
     if tasks:
         distinct = distinct.repartition(tasks, "prompt_hash")
-    return distinct.mapInPandas(run, "prompt_hash string, completion string")
+    return distinct.mapInPandas(run, ANSWERS)
+
+
+class AnswerStore:
+    """Answers as they come, below ``root``, in buckets by the hash of their prompt.
+
+    Buckets are asked about in waves, each a job that adds its answers when it is done. A task
+    that is lost asks about its own bucket again; a run that dies asks again about the buckets
+    of its last wave, and the next run with the same store about what has no answer yet.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self._spark, self._root, self.buckets = spark, root, buckets
+
+    def _rows(self) -> DataFrame:
+        schema = T.StructType.fromDDL(f"{ANSWERS}, bucket int")
+        return read_parts(self._spark, self._root, schema).drop("bucket")
+
+    def answers(self) -> DataFrame:
+        """``prompt_hash, completion`` of what was answered."""
+        answered = self._rows().where("completion IS NOT NULL")
+        return answered.groupBy("prompt_hash").agg(F.min("completion").alias("completion"))
+
+    def failures(self) -> DataFrame:
+        """``prompt_hash, error, tries`` of what was asked and never answered."""
+        failed = self._rows().where("completion IS NULL")
+        tried = failed.groupBy("prompt_hash").agg(
+            F.max("error").alias("error"), F.sum("tries").alias("tries")
+        )
+        return tried.join(self.answers(), "prompt_hash", "left_anti")
+
+    def ask(
+        self,
+        distinct: DataFrame,
+        complete: Complete,
+        tries: int = TRIES,
+        at_once: int | None = None,
+        again: bool = False,
+    ) -> None:
+        """Ask what the store has no answer for, ``at_once`` buckets to a wave (by default as many
+        as there are cores). What failed before is asked again only if that is wanted."""
+        known = self.answers().select("prompt_hash")
+        if not again:
+            known = known.union(self.failures().select("prompt_hash"))
+        number = F.conv(F.substring("prompt_hash", 1, 8), 16, 10).cast("long")
+        open_ = distinct.join(known, "prompt_hash", "left_anti").withColumn(
+            "bucket", (number % self.buckets).cast("int")
+        )
+        open_ = materialize(open_, "open-prompts")
+        waiting = sorted(r["bucket"] for r in open_.select("bucket").distinct().collect())
+        at_once = at_once or max(1, self._spark.sparkContext.defaultParallelism)
+        for first in range(0, len(waiting), at_once):
+            wave = waiting[first : first + at_once]
+            rows = open_.where(F.col("bucket").isin(wave)).repartition(len(wave), "bucket")
+            number = F.conv(F.substring("prompt_hash", 1, 8), 16, 10).cast("long")
+            answered = ask(rows.drop("bucket"), complete, tries=tries)
+            answered.withColumn("bucket", (number % self.buckets).cast("int")).write.mode(
+                "append"
+            ).partitionBy("bucket").parquet(self._root)
 
 
 def complete_prompts(
     prompts: DataFrame,
     complete: Complete,
     known: DataFrame | None = None,
-    tasks: int | None = None,
+    store: AnswerStore | None = None,
+    tries: int = TRIES,
 ) -> tuple[DataFrame, DataFrame]:
     """Prompts with answers, and all answers by prompt hash.
 
     A prompt is asked once however many pages share it, and not at all when
-    ``known`` already holds its answer. New answers are written before they are
-    used, so later steps never call the model again.
+    ``known`` or the ``store`` already holds its answer. New answers are written before
+    they are used, so later steps never call the model again. A prompt whose calls all
+    failed has no answer; the store's ``failures`` say why.
     """
+    spark = prompts.sparkSession
+    store = store or AnswerStore(spark, scratch_path(spark, "answers"))
     prompts = materialize(prompts, "prompts")
     new = distinct_prompts(prompts)
     if known is not None:
         new = new.join(known.select("prompt_hash"), "prompt_hash", "left_anti")
-    answers = materialize(ask(new, complete, tasks), "answers")
+    store.ask(new, complete, tries)
+    answers = store.answers()
     if known is not None:
-        answers = known.unionByName(answers)
+        stored = answers.join(known.select("prompt_hash"), "prompt_hash", "left_anti")
+        answers = known.select("prompt_hash", "completion").unionByName(stored)
     return key_join(prompts, answers, ["prompt_hash"]), answers
 
 
@@ -190,6 +285,7 @@ def tag_in_rounds(
     complete: Complete,
     rounds: int = TOP_PAGES,
     known: DataFrame | None = None,
+    store: AnswerStore | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The same result, asking about a page only if the pages before it left the
     document open. ``ranked_texts`` holds ``doc_id, rank, page_num, text``.
@@ -201,7 +297,7 @@ def tag_in_rounds(
     open_pages, judged = materialize(ranked_texts, "ranked"), None
     for rank in range(1, rounds + 1):
         here = open_pages.where(F.col("rank") == rank)
-        answered, known = complete_prompts(build_prompts(here), complete, known=known)
+        answered, known = complete_prompts(build_prompts(here), complete, known, store)
         # Texts are not looked at any more, so they stay out of the join with answers.
         asked = judge_pages(answered, F.lit(True))
         empty = here.where(~_has_text()).withColumn("completion", F.lit(None).cast("string"))
@@ -241,6 +337,7 @@ def tag_documents(
     ranked: DataFrame,
     complete: Complete,
     known: DataFrame | None = None,
+    store: AnswerStore | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The same from page texts, asking the model only what each class needs, and all
     answers by prompt hash.
@@ -250,6 +347,8 @@ def tag_documents(
     ``docs``.
     """
     prompts = build_prompts(_of_class(first_page, docs, 1))
-    answered, known = complete_prompts(prompts, complete, known=known)
-    three, known = tag_in_rounds(_of_class(ranked, docs, 3), complete, known=known)
+    answered, known = complete_prompts(prompts, complete, known, store)
+    three, known = tag_in_rounds(
+        _of_class(ranked, docs, 3), complete, known=known, store=store
+    )
     return _routed(docs, tag_first_page(answered, F.lit(True)), three), known

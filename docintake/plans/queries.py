@@ -47,12 +47,15 @@ OWN_HOSTS = ("http://localhost:5000", "http://127.0.0.1:5000")
 # Coefficients of the example models.
 PAGE_WEIGHTS = {"aspect_ratio": 1.2, "word_count": -0.05, "image_count": 0.4, "page_num": -0.1}
 PAGE_INTERCEPT = 0.3
-DOC_MARGINS = {
+DOC_MODELS = {
     1: ({"words": -0.002, "lines": -0.05}, 2.0),
     2: ({"words": 0.003}, -1.0),
     3: ({"words": -0.001, "lines": 0.02}, 0.5),
 }
 
+# The same with intercepts that let no two classes be equally likely.
+SAVED_MODELS = {c: (w, b + {1: 0.0012, 3: 0.0007}.get(c, 0.0)) for c, (w, b) in DOC_MODELS.items()}
+
 ARCHIVED = batches.ARCHIVE_COLUMNS
 STATE_COLUMNS = (
     "id",
@@ -378,16 +381,19 @@ def main_frames(spark: SparkSession, d: str) -> DataFrame:
 # --- scoring and page text --------------------------------------------------------
 
 
-def _scored_documents(spark: SparkSession, d: str) -> DataFrame:
+def _document_features(spark: SparkSession, d: str) -> DataFrame:
     text = F.col("text")
     count = lambda mark: (
         F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit(""))) + 1
     )
-    features = fx.table(spark, d, "documents").select(
+    return fx.table(spark, d, "documents").select(
         "doc_id", count(" ").cast("double").alias("words"), count("\n").cast("double").alias("lines")
     )
-    margins = {c: margin(w, b) for c, (w, b) in DOC_MARGINS.items()}
-    return scoring.score_documents(features, margins)
+
+
+def _scored_documents(spark: SparkSession, d: str) -> DataFrame:
+    margins = {c: margin(w, b) for c, (w, b) in DOC_MODELS.items()}
+    return scoring.score_documents(_document_features(spark, d), margins)
 
 
 def score_documents(spark: SparkSession, d: str) -> DataFrame:
@@ -410,6 +416,39 @@ def score_documents_python(spark: SparkSession, d: str) -> DataFrame:
     return scoring.score_documents_with_function(docs, length_scorer(), ["text"])
 
 
+def score_documents_artifact(spark: SparkSession, d: str) -> DataFrame:
+    """The same model with its numbers in a file, which each worker process loads once."""
+    path = scratch_path(spark, "artifact")
+    numbers = spark.createDataFrame([('{"short": 500, "long": 5000}',)], "value string")
+    numbers.coalesce(1).write.text(path)
+    docs = fx.table(spark, d, "documents")
+    return scoring.score_documents_with_artifact(docs, path, saved_length_scorer(), ["text"])
+
+
+def saved_length_scorer() -> Callable:
+    """Loads the numbers of a stand-in model from a file."""
+
+    def load(path: str) -> Callable:
+        import json
+
+        with open(path) as file:
+            numbers = json.load(file)
+        return lambda rows: rows["text"].str.len().map(
+            lambda n: 1 if n < numbers["short"] else 3 if n < numbers["long"] else 2
+        )
+
+    return load
+
+
+def score_documents_saved_model(spark: SparkSession, d: str) -> DataFrame:
+    """An ML pipeline with known coefficients, saved, loaded and applied."""
+    path = scratch_path(spark, "model")
+    scoring.pinned_classifier(spark, SAVED_MODELS).write().save(path)
+    return scoring.score_documents_with_model(_document_features(spark, d), path).select(
+        "doc_id", "pred"
+    )
+
+
 def _scored_pages(spark: SparkSession, d: str) -> DataFrame:
     return scoring.page_scores(fx.doc_pages(spark, d), PAGE_WEIGHTS, PAGE_INTERCEPT)
 
@@ -470,6 +509,30 @@ def complete_prompts(spark: SparkSession, d: str) -> DataFrame:
     return answered.select("doc_id", "page_num", "completion")
 
 
+def refusing_model(sign: str) -> tagging.Complete:
+    """The stand-in model, which refuses every call with a text whose hash begins with a sign."""
+    answer = echo_model()
+
+    def complete(batch: Sequence[str]) -> list[str]:
+        found = answer(batch)
+        for completion in found:
+            if completion.startswith('{"title":"' + sign):
+                raise ValueError("refused")
+        return found
+
+    return complete
+
+
+def complete_or_fail(spark: SparkSession, d: str) -> DataFrame:
+    """Every prompt about a first page with its answer, or with what became of its calls."""
+    first = pagetext.first_page_texts(fx.doc_pages(spark, d))
+    prompts = tagging.build_prompts(first.select("doc_id", "page_num", "text"))
+    store = tagging.AnswerStore(spark, scratch_path(spark, "answers"))
+    answered, _ = tagging.complete_prompts(prompts, refusing_model("0"), store=store)
+    rows = answered.join(store.failures(), "prompt_hash", "left")
+    return rows.select("doc_id", "page_num", "completion", "error", "tries")
+
+
 def parse_tags(spark: SparkSession, d: str) -> DataFrame:
     return tagging.parse_tags(
         fx.with_answers(fx.doc_pages(spark, d).select("doc_id", "page_num"))
@@ -569,6 +632,85 @@ def all_documents_to_archive(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", *ARCHIVED)
 
 
+# --- files -------------------------------------------------------------------------------
+
+# Documents in one file, each line of which is a page; pages that one task reads at once.
+DOCUMENTS_PER_FILE = 10
+FILE_SPAN = 16
+
+
+def line_counter() -> Callable:
+    """Counts the pages of a stand-in file, which end with a line break each."""
+    return lambda file: sum(1 for _ in file)
+
+
+def line_reader() -> Callable:
+    """Reads a run of such pages; what stands for OCR takes one letter for another."""
+
+    def read(file, first, last):
+        for number, line in enumerate(file, 1):
+            if number > last:
+                return
+            if number >= first:
+                text = line.decode("utf-8").removesuffix("\n")
+                yield number, text if number % 3 else "", text.replace("e", "c")
+
+    return read
+
+
+def _mixed_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files of which a dataset says that they are mixed: those with a document of class 3."""
+    folder, dataset = scratch_path(spark, "files"), scratch_path(spark, "dataset")
+    block = F.floor(F.col("doc_id") / DOCUMENTS_PER_FILE).alias("block")
+    (
+        fx.table(spark, d, "documents")
+        .select(block, "doc_id", "text")
+        .repartition("block")
+        .sortWithinPartitions("block", "doc_id")
+        .select("block", "text")
+        .write.partitionBy("block")
+        .text(folder)
+    )
+    classes = score_documents(spark, d).groupBy(block).agg(F.max("pred").alias("presentation"))
+    name = F.concat(F.lit("block="), F.col("block").cast("string")).alias("fname")
+    csvfiles.write_csv(classes.select("presentation", name), dataset)
+    wanted = labels.mixed_worklist(csvfiles.read_dataset(spark, dataset), f"{folder}/")
+    listed = arrivals.list_files(spark, f"{folder}/block=*").select(
+        F.col("path").alias("listed"), F.regexp_extract("path", "(block=[0-9]+)/", 1).alias("fname")
+    )
+    return listed.join(wanted, "fname").select(F.col("listed").alias("path"))
+
+
+def _file_pages(spark: SparkSession, d: str) -> DataFrame:
+    pages = pagetext.extract_spans(
+        _mixed_files(spark, d), line_counter(), line_reader(), FILE_SPAN
+    )
+    block = F.regexp_extract("path", "block=([0-9]+)/", 1).cast("long")
+    return pages.select(block.alias("doc_id"), "page_num", "native_text", "ocr_text")
+
+
+def file_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of mixed files, several tasks to a file."""
+    return _file_pages(spark, d).withColumnRenamed("doc_id", "block")
+
+
+def files_to_tags(spark: SparkSession, d: str) -> DataFrame:
+    """From a dataset to files, to pages, to the likeliest title pages, to tags."""
+    pages = materialize(_file_pages(spark, d), "file-pages")
+    words = F.size(F.split("ocr_text", " ")).cast("int")
+    features = pages.withColumns(
+        {
+            "word_count": words,
+            "image_count": ((F.col("doc_id") * 7 + F.col("page_num")) % 5).cast("int"),
+            "aspect_ratio": F.when(F.col("page_num") % 2 == 0, 0.75).otherwise(1.25),
+        }
+    )
+    scored = scoring.page_scores(features, PAGE_WEIGHTS, PAGE_INTERCEPT)
+    ranked = scoring.title_page_top3(pagetext.page_text(scored), keep=["text"]).drop("prob")
+    tagged, _ = tagging.tag_in_rounds(ranked, echo_model())
+    return tagged.withColumnRenamed("doc_id", "block")
+
+
 # --- labels and CSV -------------------------------------------------------------------
 
 
@@ -857,6 +999,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         main_frames,
         score_documents,
         score_documents_python,
+        score_documents_artifact,
+        score_documents_saved_model,
         page_scores,
         title_page_top3,
         title_page_text,
@@ -864,6 +1008,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         overlong_pages,
         build_prompts,
         complete_prompts,
+        complete_or_fail,
         parse_tags,
         tag_first_page,
         tag_resolve,
@@ -874,6 +1019,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         document_to_archive,
         all_documents_to_state,
         all_documents_to_archive,
+        file_pages,
+        files_to_tags,
         label_ingest,
         label_value_counts,
         label_value_counts_raw,
