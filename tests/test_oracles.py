@@ -22,6 +22,17 @@ def test_query_equals_oracle(spark, con, sf_dir, name):
     assert difference(rows, con, entry_point.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_query_is_green_without_rows(name, larger):
+    rows = larger.execute(f"SELECT count(*) FROM ({entry_point.oracle_sql()[name]})").fetchone()
+    assert rows[0] > 0
+
+
+@pytest.fixture(scope="module")
+def larger():
+    return duck("/root/testdata/sf0.01")
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry_point.queries())
