@@ -434,7 +434,10 @@ def tampered_text() -> Column:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``op12``: the manifest of ``documents``, and whether rows still prove true after line
     breaks were deleted from the texts of some."""
-    docs = table(spark, sf_dir, "documents")
+    return digest(table(spark, sf_dir, "documents"))
+
+
+def digest(docs: DataFrame) -> DataFrame:
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     touched = chosen & F.contains(F.col("text"), F.lit("\n"))
     candidate = F.when(touched, leaf_hash(text=tampered_text()))

@@ -35,12 +35,12 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docintake.llm.common import chunks, on_batches, table, written
 from docintake.session import scratch_path
+from docintake.sources.files import file_system
 
 # Payloads below this are never worth a revisit record.
 LEAST_BYTES = 100
@@ -66,18 +66,6 @@ RECORD = """page_id long, payload_bytes long, payload_digest string, record_type
 refers_to long, payload binary"""
 
 
-def file_system(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    """The file system of a folder, by its URI, and the folder's path there."""
-    if "://" not in folder and not folder.startswith("file:"):
-        return pa.fs.LocalFileSystem(), folder.rstrip("/")
-    scheme, _, rest = folder.partition(":")
-    known = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
-    if scheme == "file":
-        rest = "//" + "/" + rest.lstrip("/")
-    found, path = pa.fs.FileSystem.from_uri(f"{known.get(scheme, scheme)}:{rest}")
-    return found, path.rstrip("/")
-
-
 def record_id(page_id: int | None, row: int) -> str:
     """Names a record: the page, and the row that it came from, as pages may repeat."""
     return f"<{ID_START}{'null' if page_id is None else page_id}:{row}>"
