@@ -850,7 +850,7 @@ def stream_completed_items(spark: SparkSession, d: str) -> DataFrame:
     def stream(rows: DataFrame, at: str, label: str) -> DataFrame:
         path = scratch_path(spark, label)
         rows.repartitionByRange(4, at).write.parquet(path)
-        return arrivals.event_stream(spark, path, rows.schema, files_per_trigger=4)
+        return arrivals.event_stream(spark, path, rows.schema)
 
     path, checkpoint = _sink(spark)
     items = stream(listed, "listed_at", "items")
