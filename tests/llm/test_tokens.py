@@ -182,6 +182,67 @@ def test_small_shards_and_one_theme(spark, monkeypatch):
     check_pieces(pieces, values, 32)
 
 
+def topics(n, seed):
+    """Documents about few things each, with copies and near-copies."""
+    draw = np.random.default_rng(seed)
+    common = ["the", "of", "and", "to", "in", "is"]
+    found = []
+    for i in range(n):
+        about = int(draw.integers(40))
+        words = [f"topic{about}x{int(draw.integers(12))}" for _ in range(25)]
+        words += [common[int(k)] for k in draw.integers(6, size=25)]
+        found.append(" ".join(draw.permutation(words)))
+    return [(i, t, "en", "s", 1) for i, t in enumerate(found + found[::9])]
+
+
+def packed(made, **settings):
+    columns = ("doc_id", "start", "length", "sequence_id", "offset")
+    return Counter(tuple(p[c] for c in columns) for p in packing.pack(made, WORDS, **settings).collect())
+
+
+@pytest.mark.parametrize("group", [1 << 20, 3000])
+def test_packing_does_not_hang_on_the_layout(spark, monkeypatch, group):
+    monkeypatch.setattr(packing, "GROUP_IDS", group)
+    monkeypatch.setattr(packing, "TASK_IDS", 20_000)
+    values = topics(700, 1)
+    one = packed(spark.createDataFrame(values, FIELDS).coalesce(1), window=512)
+    other = spark.createDataFrame(values[::-1], FIELDS).repartition(13, "text")
+    assert packed(other, window=512) == one
+
+
+def test_copies_from_different_files_share_a_window(spark, monkeypatch):
+    """Seeds find their like in the whole input, not only in their own part of it."""
+    monkeypatch.setattr(packing, "TASK_IDS", 20_000)
+    values = topics(600, 2)
+    parts = [spark.createDataFrame(values[k::6], FIELDS).coalesce(1) for k in range(6)]
+    made = parts[0]
+    for part in parts[1:]:
+        made = made.union(part)
+    windows = defaultdict(set)
+    for p in packing.pack(made, WORDS, window=2048).collect():
+        windows[p["sequence_id"]].add(p["doc_id"])
+    of = defaultdict(set)
+    for w, docs in windows.items():
+        for doc in docs:
+            of[doc].add(w)
+    by_text = defaultdict(list)
+    for doc_id, text, *_ in values:
+        by_text[text].append(doc_id)
+    copies = [ids for ids in by_text.values() if len(ids) > 1]
+    together = sum(bool(of[a] & of[b]) for a, b, *_ in copies)
+    assert len(copies) > 60 and together > 0.9 * len(copies)
+
+
+def test_a_seed_with_too_many_documents_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_IDS", 2000)
+    monkeypatch.setattr(packing, "TASK_IDS", 4000)
+    values = [(i, "one and the same text about apples " * 10, "en", "s", 1) for i in range(400)]
+    pieces = packing.pack(frame(spark, values), WORDS, window=256).collect()
+    check_pieces(pieces, values, 256)
+    by_task = Counter(p["sequence_id"] >> 32 for p in pieces)
+    assert len(by_task) > 4 and max(by_task.values()) < len(pieces) / 2
+
+
 def test_windows_hold_what_shares_words():
     ids = [np.array(i) for i in ([5, 6, 7, 8], [90, 91, 92, 93], [5, 6, 7, 9], [90, 91, 94, 95])]
     counts = np.array([4] * 4)
