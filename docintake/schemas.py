@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Names and order of the columns of the link table.
 LINKS = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -17,6 +18,7 @@ LINKS = T.StructType(
     ]
 )
 
+# Names and order of the columns of the archive.
 ARCHIVE = T.StructType(
     [
         T.StructField("pg_id", T.LongType()),
