@@ -31,8 +31,8 @@ from docintake.plans.lifecycle import Intake
 from docintake.schemas import EXPORT_COLUMNS, LINKS, TAG_FIELDS
 from docintake.session import materialize, scratch_path
 from docintake.sources import archive, arrivals, csvfiles
-from docintake.sources.links import read_archive
-from docintake.sources.tables import read_parts
+from docintake.sources.links import Environment, choose, read_archive, read_links
+from docintake.sources.tables import SnapshotTable, read_parts
 from docintake.streaming import archives, jobs, retries
 from docintake.streaming import arrivals as arriving
 
@@ -273,6 +273,19 @@ def empty_batch(spark: SparkSession, d: str) -> DataFrame:
     return answers[0].unionByName(answers[1])
 
 
+def environment_links(spark: SparkSession, d: str) -> DataFrame:
+    """The link tables of two working environments, each read where its environment keeps it."""
+    places, found = {}, []
+    for name, rows in (("production", fx.links(spark, d)), ("development", fx.big_links(spark, d))):
+        root = scratch_path(spark, name)
+        SnapshotTable(spark, root, LINKS).commit(rows)
+        places[name] = Environment(link_snapshots=root)
+    for name in places:
+        rows = read_links(spark, choose(places, name))
+        found.append(rows.select(F.lit(name).alias("environment"), "id", "pdf_link", "status"))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- archive ------------------------------------------------------------------
 
 
@@ -985,6 +998,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         intake_cycle_archive,
         intake_cycle_batches,
         empty_batch,
+        environment_links,
         archive_append,
         archive_on_download,
         archive_truncate,
