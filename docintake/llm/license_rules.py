@@ -1,8 +1,9 @@
 """Operator 9: licence scans by ordered signature rules, with DataFrame functions only.
 
 A rule is a regex over the words of a text, lower-cased and joined by single spaces. Rules
-are grouped by a keyword that each of their matches contains, and only those whose keyword
-a text contains are tried on it. A detection is the words from its first to its last; it is
+are grouped by a keyword that each of their matches contains. A text that contains a keyword is
+searched for all regexes of that group at once, by one that is compiled once per task, and only
+where that finds any are they tried one by one. A detection is the words from its first to its last; it is
 suppressed where another of the same or a better priority contains it. Priorities: 1 an
 identifier tag, 2 a sentence that grants a licence, 3 a licence's full name, 4 a hint.
 
@@ -16,10 +17,13 @@ rule that is first in the list; an empty table gives an empty result. Columns ot
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docintake.llm.common import table, whole_text, written
+from docintake.llm.license_texts import SIGNATURES
 
 # What separates words, and the base phrases with their labels.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -153,6 +157,8 @@ AROUND = (
 def rules() -> list[tuple[int, str, int, str, str]]:
     """The rules in their order: number, label, priority, keyword, regex."""
     listed = [(label, priority, keyword, regex) for label, priority, keyword, regex in SENTENCES]
+    for label, signatures in SIGNATURES.items():
+        listed += [(label, priority, keyword, regex) for priority, keyword, regex in signatures]
     for label, keyword, identifier, name in LICENCES:
         for priority, before, which in AROUND:
             tagged = which == "identifier"
@@ -162,6 +168,23 @@ def rules() -> list[tuple[int, str, int, str, str]]:
     return [(n, *rule) for n, rule in enumerate(listed)]
 
 
+def anchors() -> dict[str, str]:
+    """For keywords of signatures alone the longest word that every match holds as a word."""
+    others = {keyword for _, _, keyword, _ in SENTENCES} | {l[1] for l in LICENCES} | {"spdx"}
+    others |= {phrase for _, phrase in BASE}
+    found = {}
+    for signatures in SIGNATURES.values():
+        for _, keyword, regex in signatures:
+            alone = [
+                word
+                for word in keyword.split()
+                if re.search(rf"(?:^|[ |:)]){re.escape(word)}(?:$|[ |)])", regex)
+            ]
+            if keyword not in others and alone:
+                found[keyword] = max(alone, key=len)
+    return found
+
+
 def with_words(rows: DataFrame) -> DataFrame:
     """Adds ``words``: those of ``text``, each with a blank before it and one behind the
     last; empty without words. Letters keep their case: regexes ignore that of A-Z."""
@@ -197,7 +220,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: ``row, doc_id, n_words``, the ``base`` places (label, first,
     last) and all ``detections`` (rule, label, priority, first, last)."""
     listed = rules()
-    keywords = sorted({rule[3] for rule in listed} | {phrase for _, phrase in BASE})
+    phrases = {phrase for _, phrase in BASE}
+    keywords = sorted({rule[3] for rule in listed} | phrases)
     table_of_rules = F.array(
         *[
             F.struct(
@@ -222,11 +246,28 @@ def scan(docs: DataFrame) -> DataFrame:
         .otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) - 1)
         .cast("long"),
     )
-    # One test per keyword, not a lambda, so that the text is lower-cased only once.
-    holds = [F.when(F.contains("lowered", F.lit(k)), F.lit(k)) for k in keywords]
-    lowered = words.withColumn("lowered", F.lower("words")).withColumn(
-        "present", F.array_compact(F.array(*holds))
-    )
+    # One test per keyword, not a lambda, so that the text is lower-cased only once and the
+    # regex of a group is a literal.
+    groups: dict[str, list[str]] = {}
+    for *_, keyword, regex in listed:
+        groups.setdefault(keyword, []).append(regex)
+
+    # Signatures are many, so one look at the words of a text says which may be there at all.
+    anchored = anchors()
+    held = F.array(*[F.lit(w) for w in sorted(set(anchored.values()))])
+
+    def found(keyword: str) -> Column:
+        here = F.contains("lowered", F.lit(keyword))
+        if keyword in anchored:
+            here = F.array_contains("held", anchored[keyword]) & here
+        if keyword in groups and keyword not in phrases:
+            here &= F.rlike("words", F.lit(f"(?i) (?:{'|'.join(groups[keyword])})(?= )"))
+        return here
+
+    holds = [F.when(found(k), F.lit(k)) for k in keywords]
+    lowered = words.withColumn("lowered", F.lower("words"))
+    lowered = lowered.withColumn("held", F.array_intersect(F.split("lowered", " "), held))
+    lowered = lowered.withColumn("present", F.array_compact(F.array(*holds)))
 
     def base_places(label: str, phrase: str) -> Column:
         found = places(F.col("words"), F.lit(phrase))
