@@ -564,3 +564,40 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(list_transform(
+    range(1, greatest(len(words) - 3, least(len(words), 1) + 1)),
+    lambda i: list_slice(words, i::INTEGER, (i + 4)::INTEGER))) AS shingles
+  FROM w
+), sets AS (
+  SELECT doc_id, len(shingles) AS n, md5(list_sort(shingles)::VARCHAR) AS name, shingles FROM s
+), classes AS (
+  SELECT name, min(doc_id) AS node, any_value(n) AS n, any_value(shingles) AS shingles
+  FROM sets WHERE n > 0 GROUP BY name
+), held AS (
+  SELECT node, n, md5(unnest(shingles)::VARCHAR) AS shingle FROM classes
+), links AS (
+  SELECT a.node AS u, b.node AS v
+  FROM held a JOIN held b ON a.shingle = b.shingle AND a.node < b.node
+  GROUP BY a.node, b.node
+  HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), ends AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+  SELECT node AS u, node AS v FROM classes
+  UNION SELECT r.u, b.v FROM reach r JOIN ends b ON b.u = r.v
+), roots AS (
+  SELECT u AS node, min(v) AS root FROM reach GROUP BY u
+)
+SELECT x.doc_id, x.n AS n_shingles, coalesce(r.root, x.doc_id) AS component_id,
+  x.doc_id = coalesce(r.root, x.doc_id) AS kept
+FROM sets x LEFT JOIN classes c ON c.name = x.name AND x.n > 0 LEFT JOIN roots r ON r.node = c.node
+"""

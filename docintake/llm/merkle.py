@@ -455,3 +455,75 @@ def digest(docs: DataFrame) -> DataFrame:
         F.lower(F.hex("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+        lambda i: ord(substr(doc_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+    ) & 1 = 1 AS even
+  FROM documents
+), f AS (
+  SELECT *,
+    coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-')
+      || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+      || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-')
+      || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS head,
+    CASE WHEN even THEN replace(text, chr(10), '') ELSE text END AS seen
+  FROM d
+), leaves AS (
+  SELECT doc_id, source,
+    sha256(head || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(seen)::VARCHAR || ':' || seen, '-')) AS candidate,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM f
+), nodes AS (
+  SELECT tree, 0 AS level, idx, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 3, n
+), subroots AS (
+  SELECT tree, level AS height, digest AS subroot, count(*) OVER () AS trees FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, tree AS idx, subroot AS digest, trees AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, idx // 3, n
+), steps AS (
+  SELECT l.doc_id, a.level AS step,
+    coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx < a.idx), '') AS before,
+    coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx > a.idx), '') AS after
+  FROM leaves l
+  JOIN nodes a ON a.tree = l.tree AND a.n > 1 AND a.idx = l.idx // (3 ** a.level)::BIGINT
+  JOIN nodes s ON s.tree = a.tree AND s.level = a.level AND s.idx // 3 = a.idx // 3
+  GROUP BY ALL
+  UNION ALL
+  SELECT l.doc_id, r.height + a.level,
+    coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx < a.idx), ''),
+    coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx > a.idx), '')
+  FROM leaves l JOIN subroots r ON r.tree = l.tree
+  JOIN top a ON a.n > 1 AND a.idx = l.tree // (3 ** a.level)::BIGINT
+  JOIN top s ON s.level = a.level AND s.idx // 3 = a.idx // 3
+  GROUP BY ALL
+), folds AS (
+  SELECT doc_id, 0::BIGINT AS step, candidate AS digest FROM leaves
+  UNION ALL
+  SELECT p.doc_id, p.step + 1, sha256(s.before || p.digest || s.after)
+  FROM folds p JOIN steps s ON s.doc_id = p.doc_id AND s.step = p.step
+), proofs AS (
+  SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY step)) AS proof_sha256, max(step) + 1 AS steps
+  FROM steps GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, r.subroot, t.digest AS root,
+  coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+  f.digest AS folded_root, f.digest = t.digest AS verified
+FROM leaves l JOIN subroots r ON r.tree = l.tree JOIN top t ON t.n = 1
+LEFT JOIN proofs p ON p.doc_id = l.doc_id
+JOIN folds f ON f.doc_id = l.doc_id AND f.step = coalesce(p.steps, 0)
+"""

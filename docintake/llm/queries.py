@@ -40,6 +40,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op8_block_names": block_names.SQL,
+    "op10_hyperminhash": hyperminhash.SQL,
     "op11_hard_negatives": hard_negatives.SQL,
+    "op12_merkle_log": merkle.SQL,
     "op13_warc": warc.SQL,
 }
