@@ -255,8 +255,8 @@ SELECT o_orderkey AS id,
   CASE WHEN o_orderkey % 3 = 0 THEN concat('/files/', CAST(o_orderkey AS VARCHAR)) END AS filename_location
 FROM orders)"""
 
-# The order of big events is total only with all four columns.
-BIG_ORDER = ("ts", "l_linenumber", "l_partkey", "l_extendedprice")
+# Big events have a number made of what tells them apart.
+BIG_ORDER = ("ts", "event_id")
 
 
 def big_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +264,11 @@ def big_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     n = F.col("l_linenumber")
     part = F.col("l_partkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    told_apart = F.concat_ws("|", *[_text(c) for c in (F.col("l_orderkey"), n, part, cents)])
     return lines.join(known, known["id"] == lines["l_orderkey"]).select(
         F.col("l_shipdate").alias("ts"),
+        F.conv(F.substring(F.md5(told_apart), 1, 15), 16, 10).cast("long").alias("event_id"),
         "l_linenumber",
         "l_partkey",
         "l_extendedprice",
@@ -284,7 +287,9 @@ def big_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BIG_EVENTS = f"""big_events AS (
-SELECT l.l_shipdate AS ts, l.l_linenumber, l.l_partkey, l.l_extendedprice, l.l_suppkey AS client_id, b.pdf_link,
+SELECT l.l_shipdate AS ts,
+  CAST('0x' || substr(md5(concat_ws('|', l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(round(l.l_extendedprice * 100) AS BIGINT))), 1, 15) AS BIGINT) AS event_id,
+  l.l_linenumber, l.l_partkey, l.l_extendedprice, l.l_suppkey AS client_id, b.pdf_link,
   CASE l.l_linenumber % 5 WHEN 0 THEN 'tab_opened' WHEN 1 THEN 'maybe_pdf' WHEN 2 THEN 'html_seen' WHEN 3 THEN 'download_complete' ELSE 'download_interrupted' END AS kind,
   CAST(l.l_partkey % 5 AS INT) AS pred,
   concat('/files/', CAST(l.l_partkey AS VARCHAR)) AS filename,

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_claims import make
 
 from docintake.functions import urls
@@ -188,3 +189,41 @@ def test_shared_dir_is_the_checkpoint_folder(spark):
     folder = shared_dir(spark)
     assert spark.sparkContext.getCheckpointDir().startswith(("file:", folder))
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_versions_before_the_newest_snapshot_are_not_read(spark, tmp_path):
+    schema = T.StructType.fromDDL("id long, v string")
+    table = SnapshotTable(spark, str(tmp_path / "t"), schema)
+
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, schema)
+
+    table.commit(rows((1, "a"), (2, "b")))
+    for n in range(3):
+        table.change(rows((2, f"b{n}")))
+    table.compact()
+    table.change(rows((3, "c")))
+    assert [v["kind"] for v in table._live()] == ["snapshot", "change"]
+    assert table.version() == 6
+    # A job that died before its first version leaves an empty folder.
+    (tmp_path / "t" / "versions" / "since=00000099").mkdir()
+    again = SnapshotTable(spark, str(tmp_path / "t"), schema)
+    assert sorted(map(tuple, again.read().collect())) == [(1, "a"), (2, "b2"), (3, "c")]
+    again.change(rows((1, "z")))
+    assert again.version() == 7
+
+
+def test_parts_of_a_table_are_read_alone(spark, tmp_path):
+    schema = T.StructType.fromDDL("part int, id long, v string")
+    table = SnapshotTable(spark, str(tmp_path / "t"), schema, ("part", "id"), part="part")
+    table.commit(spark.createDataFrame([(n % 4, n, "old") for n in range(20)], schema))
+    table.change(spark.createDataFrame([(1, 5, "new"), (2, 2, "new"), (3, 99, "new")], schema))
+    found = table.read(F.col("part") == 1)
+    assert sorted((r["id"], r["v"]) for r in found.collect()) == [
+        (1, "old"), (5, "new"), (9, "old"), (13, "old"), (17, "old")
+    ]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(part") >= 2
+    assert table.read().count() == 21
+    with pytest.raises(ValueError, match="no key column"):
+        SnapshotTable(spark, str(tmp_path / "u"), schema, ("id",), part="part")

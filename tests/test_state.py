@@ -173,3 +173,31 @@ def test_no_python_and_no_product_in_the_plan(spark):
     plan = state.link_state(rows, log)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
     assert "NestedLoop" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_class_and_status_are_hash_aggregates(spark):
+    """Only events with a file name go through aggregates that sort."""
+    links, events = random_case(random.Random(3), 40)
+    batch, log = tables(spark, links, events)
+    plan = plan_of(state.link_state(batch, log))
+    assert plan.count("HashAggregate") == 4 and plan.count("SortAggregate") == 2
+    assert plan_of(state.apply_writes(batch, state.last_writes(log))).count("HashAggregate") == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_ways_to_the_last_writes_agree(spark, seed):
+    """Also with events that are there twice, at one time, before 1970, or without a time."""
+    draw = random.Random(seed)
+    links, events = random_case(draw, 60)
+    for e in events:
+        e["ts"] = draw.choice([e["ts"], dt.datetime(1960, 1, 1, 5), dt.datetime(2024, 1, 1), None])
+    events = [e | {"event_id": e["event_id"] * draw.choice([1, -1])} for e in events]
+    events += draw.choices(events, k=20)
+    batch, log = tables(spark, links, events)
+    got = state.link_state(batch, log).collect()
+    want = state.apply_writes(batch, state.last_writes(log)).collect()
+    assert bag(got, SEEN) == bag(want, SEEN)
