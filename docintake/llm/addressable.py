@@ -151,10 +151,12 @@ def write_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     """
     spark = docs.sparkSession
     schema = arrow_schema(spark, BLOCKS)
+    # Rows of one id, or of none, are cut by their texts where they are too many for a task.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     in_order = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order, "text")
     )
     coded = on_batches(in_order, block_writer(tokenizer, end_id, schema), BLOCKS)
     coded.write.option("compression", "zstd").parquet(path)
