@@ -56,9 +56,13 @@ def sums(kept: dict, pieces: pa.Array) -> Iterator[dict]:
     yield {"doc_id": kept["doc_id"], "n_bytes": kept["n_bytes"], "n_tokens": n_tokens}
 
 
-def token_counts(docs: DataFrame, tokenizer: str, special: str | None = SPECIAL) -> DataFrame:
+def token_counts(
+    docs: DataFrame, tokenizer: str, special: str | None = SPECIAL, scanned: bool = False
+) -> DataFrame:
     """``doc_id``, ``n_bytes`` (UTF-8) and ``n_tokens`` of every whole text.
 
+    ``scanned`` says that ``docs`` is a plain scan of files, and need not be written once.
+
     ``tokenizer`` is the file of a byte-level tokenizers-library tokenizer, and ``special``
     the string of its special token.
     """
@@ -82,11 +86,12 @@ def token_counts(docs: DataFrame, tokenizer: str, special: str | None = SPECIAL)
         "doc_id array<long>, n_bytes array<long>, n_pairs array<int>, words binary, counts binary",
         sums,
         "doc_id long, n_bytes long, n_tokens long",
+        scanned=scanned,
     )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``op3``: bytes and tokens of each document, and whether it is over the limit."""
     docs = table(spark, sf_dir, "documents")
-    counted = token_counts(docs, public_tokenizers.path(VOCABULARY))
+    counted = token_counts(docs, public_tokenizers.path(VOCABULARY), scanned=True)
     return counted.withColumn("over_limit", F.col("n_tokens") > LIMIT)

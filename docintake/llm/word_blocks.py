@@ -23,7 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docintake.llm.common import arrow_schema, chunks, on_batches, texts_of, whole_text
+from docintake.llm.common import (
+    arrow_schema,
+    chunks,
+    on_batches,
+    texts_of,
+    whole_text,
+    written,
+)
 from docintake.llm.fragments import cut_pretokens, fragment_array
 
 # Bytes of text in a block, or a little more. Larger blocks shuffle fewer distinct words
@@ -129,15 +136,21 @@ def through_words(
     finish: Callable[[dict, pa.Array], Iterator[dict]],
     result: str,
     block_bytes: int = BLOCK_BYTES,
+    scanned: bool = False,
 ) -> DataFrame:
     """Documents by way of their distinct words.
 
+    Texts are cut into blocks twice, and must come in the same order both times, also when a
+    lost executor's work is done again. A plain scan of files does that, which ``scanned``
+    says; anything else is written once before.
+
     ``make_value`` gives, once per task, the function from distinct words to their values
     of Spark type ``value``. ``keep`` says what stays of a block (columns ``kept``), and
     ``finish`` makes the columns ``result`` from that and the values in word order, some
     documents at a time.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    texts = texts if scanned else written(texts, "texts-of-blocks")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches, special, block_bytes):

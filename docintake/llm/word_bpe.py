@@ -117,11 +117,14 @@ def lay_out_and_decode(kept: dict, word_ids: pa.Array, code: str, path: str) ->
         yield {**some, "decoded": bytes_of(some["ids"], path)}
 
 
-def encode(docs: DataFrame, rank_file: str, decoded: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame, rank_file: str, decoded: bool = False, scanned: bool = False
+) -> DataFrame:
     """``doc_id`` and ``ids`` of every whole text, as the tiktoken library would give them.
 
     With ``decoded`` also the bytes that the ids decode to, worked out where the ids are
-    laid out, so that they need not travel once more.
+    laid out, so that they need not travel once more. ``scanned`` says that ``docs`` is a
+    plain scan of files, and need not be written once.
     """
     code = id_code(rank_file)
 
@@ -147,6 +150,7 @@ def encode(docs: DataFrame, rank_file: str, decoded: bool = False) -> DataFrame:
         finish,
         "doc_id long, ids array<int>" + ", decoded binary" * decoded,
         BLOCK_BYTES,
+        scanned,
     )
 
 
@@ -174,7 +178,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``op7``: number and checksum of each document's ids, and checksum of the bytes
     that they decode to."""
     path = public_tokenizers.path(RANKS)
-    both = encode(table(spark, sf_dir, "documents"), path, decoded=True)
+    both = encode(table(spark, sf_dir, "documents"), path, decoded=True, scanned=True)
     digits = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select(
         "doc_id",

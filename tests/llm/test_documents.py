@@ -17,7 +17,14 @@ from llm.tables import FIELDS, frame, lower_ascii, rows, shingles
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docintake.llm import block_names, factorisation, hilbert, hyperminhash, license_rules
+from docintake.llm import (
+    block_names,
+    factorisation,
+    hilbert,
+    hyperminhash,
+    license_rules,
+    license_texts,
+)
 from docintake.llm.queries import ORACLES, QUERIES
 from docintake.llm.shingles import shingle_sets
 from docintake.session import scratch_path
@@ -323,6 +330,53 @@ def regex_strings(parsed):
     return ["".join(t) for t in product(*parts)]
 
 
+def test_every_match_holds_the_word_that_gates_its_keyword():
+    anchored = license_rules.anchors()
+    assert len(anchored) > 150
+    for _, _, _, keyword, regex in license_rules.rules():
+        if keyword in anchored:
+            strings = list(regex_strings(_parser.parse(regex)))
+            assert all(anchored[keyword] in s.split() for s in strings), regex
+
+
+def test_hundreds_of_rules_are_written_one_by_one():
+    written = [r for rules in license_texts.SIGNATURES.values() for *_, r in rules]
+    assert len(set(written)) == len(written) >= 200
+
+
+# Sentences of licence bodies as they stand in the public texts.
+BODIES = {
+    "apache": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
+    "mit": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "gpl": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY",
+    "agpl": "your modified version must prominently offer all users interacting with it remotely through a computer network (if your version supports such interaction)",
+    "epl": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "bsd": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "cc-by": "You must give appropriate credit, provide a link to the license, and indicate if changes were made.",
+    "cc-by-sa": "you must distribute your contributions under the same license as the original.",
+    "zlib": "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+    "isc": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE",
+    "unlicense": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    "ofl": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "sspl": "you must make the functionality of the Program or modified version available to third parties as a service",
+    "proprietary": "No part of this publication may be reproduced without the prior written consent of the publisher",
+}
+
+
+def test_sentences_of_licence_bodies_are_found(spark):
+    names = list(BODIES)
+    values = [(i, f"Some words. {BODIES[n]} And more.", "en", "s", 1) for i, n in enumerate(names)]
+    values.append((len(names), "a text about permits and commits, with nothing of the kind", "en", "s", 1))
+    _, found = license_rules.licences(frame(spark, values))
+    labels = defaultdict(set)
+    for r in found.where("kept").collect():
+        labels[r["doc_id"]].add(r["label"])
+    for i, name in enumerate(names):
+        assert name in labels[i], name
+    assert len(names) not in labels
+
+
 def test_every_match_of_a_rule_contains_its_keyword():
     for _, _, _, keyword, regex in license_rules.rules():
         strings = regex_strings(_parser.parse(regex))

@@ -138,11 +138,30 @@ def test_null_ids_decode_to_null(spark):
     assert bytes(found[3]) == library.decode_bytes([464, 290])
 
 
-def test_a_table_that_changes_between_two_passes_is_noticed(spark):
+def test_a_table_that_changes_is_read_once(spark):
+    """What two passes would see differently is written before; a scan that lies is noticed."""
     changing = F.udf(lambda text: os.urandom(8).hex()).asNondeterministic()
     made = frame(spark).withColumn("text", changing("text"))
+    found = token_counts.token_counts(made, BYTES).collect()
+    assert {r["n_bytes"] for r in found} == {16} and len(found) == len(rows())
     with pytest.raises(Exception, match="changed between two passes"):
-        token_counts.token_counts(made, BYTES).collect()
+        token_counts.token_counts(made, BYTES, scanned=True).collect()
+
+
+def test_rows_without_an_id_are_cut_by_their_texts(spark):
+    values = [(None, f"text {i % 50} of {i % 7}", "en", "s", 1) for i in range(400)]
+    path, together = scratch_path(spark, "codes"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(together, "false")
+    try:
+        addressable.write_codes(frame(spark, values), path, BYTES)
+    finally:
+        spark.conf.unset(together)
+    found = addressable.read_codes(spark, path).collect()
+    starts = sorted((r["start"], r["n_tokens"]) for r in found)
+    assert [s for s, _ in starts] == [0, *np.cumsum([n for _, n in starts])[:-1].tolist()]
+    expected = Counter(np.array([*ids_by_library(BYTES, t), 0], "<u4").tobytes() for _, t, *_ in values)
+    assert Counter(bytes(r["ids"]) for r in found) == expected
+    assert addressable.blocks(spark, path).select("part").distinct().count() > 1
 
 
 def check_pieces(pieces, values, window):
