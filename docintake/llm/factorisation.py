@@ -45,6 +45,9 @@ EPOCHS = 60
 RATE = 0.08
 PENALTY = 2e-4
 
+# Bytes of text whose features a worker works out at once, about; its arrays are many times that.
+FEATURE_BYTES = 1 << 20
+
 # A document is good from this score on.
 THRESHOLD = 0.3
 
@@ -251,7 +254,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     ).join(F.broadcast(chosen), "_id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, most=FEATURE_BYTES):
             sizes, which, values = features(chunk.column("text"), declared_lengths(chunk))
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -285,7 +288,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     small = Machine(held["weights"], held["vectors"], machine.mean, machine.spread, machine.prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, text):
+        for chunk in chunks(batches, text, FEATURE_BYTES):
             lengths = chunk.column(length).fill_null(-1).to_numpy().astype(np.float64)
             found = small.scores(*features(chunk.column(text), lengths))
             kept = [c for c in chunk.schema.names if c not in (text, length)]

@@ -582,6 +582,26 @@ def test_nothing_to_learn_from(spark):
     assert factorisation.learn(frame(spark), ones).prior == 1.0
 
 
+def test_features_are_worked_out_in_small_chunks(spark, monkeypatch):
+    """However much text an Arrow batch holds, a worker's arrays are made for a part of it."""
+    sizes, steps = [], []
+    features = factorisation.features
+
+    def counted(texts, n_chars):
+        sizes.append(sum(len(t) for t in texts.to_pylist()))
+        return features(texts, n_chars)
+
+    monkeypatch.setattr(factorisation, "features", counted)
+    monkeypatch.setattr(factorisation, "on_batches", lambda df, step, _: steps.append(step) or df)
+    factorisation.score(frame(spark), factorisation.Machine())
+    texts = ["few words " * 1000] * 500
+    columns = {"_text": texts, "_length": pa.array([None] * 500, pa.int64())}
+    [step] = steps
+    found = list(step(iter([pa.RecordBatch.from_pydict(columns)])))
+    assert sum(b.num_rows for b in found) == 500
+    assert sum(sizes) == 5_000_000 and max(sizes) <= 1 << 20
+
+
 # --- all
 
 
