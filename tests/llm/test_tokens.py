@@ -262,6 +262,38 @@ def test_a_seed_with_too_many_documents_is_spread(spark, monkeypatch):
     assert len(by_task) > 4 and max(by_task.values()) < len(pieces) / 2
 
 
+def test_every_seed_of_a_word_is_a_candidate(spark):
+    """A document goes to the best of all seeds, where one word has hundreds of them."""
+    draw, vocabulary, every = np.random.default_rng(3), 60, 3
+    rows_ = []
+    for name in range(-450, 450):
+        terms = np.unique(np.append(draw.integers(1, vocabulary, 3), 0)).tolist()
+        rows_.append((name, 40 + name % 7, terms, draw.integers(1, 5, len(terms)).tolist()))
+    fields = "name long, n_ids long, terms array<int>, times array<int>"
+    documents = spark.createDataFrame(rows_, fields).repartition(5)
+    corpus = packing.Corpus(900, 900 * 43, np.linspace(0.5, 4, vocabulary).astype(np.float32))
+    index = packing.seed_index(documents, corpus, vocabulary, every)
+    found = documents.join(packing.nearest_seeds(documents, corpus, every), "name", "left")
+    [batch] = found.orderBy("name").toArrow().combine_chunks().to_batches()
+    theme, seed = index.place(corpus, batch)
+    weights = {
+        name: dict(zip(terms, corpus.weights(np.array(terms), np.array(times), n_ids)))
+        for name, n_ids, terms, times in rows_
+    }
+    own = {n: min(t for t in w if w[t] == max(w.values())) for n, w in weights.items()}
+    seeds = [n for n in weights if n % every == 0]
+    assert sum(0 in weights[s] for s in seeds) == len(seeds) == 300
+    for name, its_theme, its_seed in zip(batch.column("name").to_pylist(), theme, seed):
+        def shared(s, its=weights[name]):
+            return sum(w for t, w in its.items() if t in weights[s])
+
+        if name % every == 0:
+            assert its_seed == name
+        else:
+            assert shared(its_seed) == pytest.approx(max(shared(s) for s in seeds))
+        assert its_theme == own[its_seed]
+
+
 def test_windows_hold_what_shares_words():
     ids = [np.array(i) for i in ([5, 6, 7, 8], [90, 91, 92, 93], [5, 6, 7, 9], [90, 91, 94, 95])]
     counts = np.array([4] * 4)
