@@ -152,3 +152,16 @@ def test_files_are_read_in_runs_of_pages(spark, tmp_path):
         (name, k, f"page {k} of {name}") for name, n in (("a", 10), ("b", 3), ("c", 4)) for k in range(1, n + 1)
     )
     assert sorted(open(log).read().split()) == ["2", "3", "4", "4", "4"]
+
+
+def test_a_model_gets_few_rows_at_once(spark):
+    """However many rows an Arrow batch holds, the model sees a bounded part of their text."""
+    docs = spark.range(3000, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('x', 10000)").alias("text")
+    )
+
+    def load():
+        return lambda rows: rows["text"].str.len() * 0 + (1 if rows["text"].str.len().sum() < 9e6 else 9)
+
+    found = scoring.score_documents_with_function(docs, load, ["text"]).groupBy("pred").count()
+    assert [tuple(r) for r in found.collect()] == [(1, 3000)]
