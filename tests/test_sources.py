@@ -4,10 +4,12 @@ from pyspark.sql import types as T
 from test_claims import make
 
 from docintake.functions import urls
-from docintake.operators import batches, browser, labels
+from docintake.operators import batches, browser, labels, pagetext
 from docintake.schemas import ARCHIVE, LINKS
 from docintake.session import shared_dir
 from docintake.sources import archive, csvfiles
+from docintake.sources.arrivals import list_files
+from docintake.sources.files import list_folders
 from docintake.sources.links import Environment, choose, read_archive, read_links
 from docintake.sources.tables import SnapshotTable
 
@@ -227,3 +229,33 @@ def test_parts_of_a_table_are_read_alone(spark, tmp_path):
     assert table.read().count() == 21
     with pytest.raises(ValueError, match="no key column"):
         SnapshotTable(spark, str(tmp_path / "u"), schema, ("id",), part="part")
+
+
+def test_pages_of_many_small_files_go_on_together():
+    """A frame holds the pages of many runs, and no more than a bounded text."""
+    few = [[("p", n, "a", None), ("p", n + 1, "", "b")] for n in range(900)]
+    frames = list(pagetext.page_batches()(iter([[], *few])))
+    assert [len(f) for f in frames] == [1800]
+    wide = [[("p", n, "x" * 100_000, "y")] for n in range(40)]
+    frames = list(pagetext.page_batches()(iter(wide)))
+    assert sum(len(f) for f in frames) == 40 and max(len(f) for f in frames) <= 11
+    assert list(pagetext.page_batches()(iter([[], []]))) == []
+
+
+def test_tasks_list_the_folders_they_are_given(spark, tmp_path):
+    for n in range(30):
+        (tmp_path / f"block={n}").mkdir()
+        (tmp_path / f"block={n}" / "part-0.txt").write_text("x" * (n + 1))
+    (tmp_path / "block=3" / ".part-0.txt.crc").write_text("hidden")
+    (tmp_path / "block=3" / "_SUCCESS").write_text("hidden")
+    (tmp_path / "block=3" / "empty.txt").write_text("")
+    (tmp_path / "block=3" / "below").mkdir()
+    (tmp_path / "block=3" / "below" / "part-0.txt").write_text("x")
+    wanted = [f"file://{tmp_path}/block={n}" for n in (3, 5, 99)]
+    found = list_folders(spark.createDataFrame([(w,) for w in wanted], "folder string"))
+    assert {tuple(r) for r in found.collect()} == {
+        (f, f"{f}/part-0.txt", n + 1) for f, n in zip(wanted, (3, 5))
+    }
+    whole = list_folders(spark.createDataFrame([(f"{tmp_path}/block={n}",) for n in range(30)], "folder string"))
+    by_spark = {r["path"].removeprefix("file:") for r in list_files(spark, f"{tmp_path}/block=*").collect()}
+    assert {r["path"] for r in whole.collect()} == by_spark
