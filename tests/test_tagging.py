@@ -199,6 +199,21 @@ def test_top_pages_ties_and_short_documents(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_pages_of_one_task_are_dealt_before_they_are_sorted(spark):
+    docs = [(None, p) for p in range(1, 6)] + [(7, p) for p in range(1, 2501)] + [(8, 1)]
+    rows = spark.createDataFrame(
+        [(d, p, p % 1250 / 1250, f"text {p}") for d, p in docs],
+        "doc_id long, page_num int, prob double, text string",
+    ).coalesce(1)
+    got = scoring.title_page_top3(rows, keep=["text"])
+    ranks = {(r["doc_id"], r["rank"]): (r["page_num"], r["text"]) for r in got.collect()}
+    want = {(None, k): 6 - k for k in (1, 2, 3)} | {(7, 1): 2499, (7, 2): 1249, (7, 3): 2498, (8, 1): 1}
+    assert ranks == {key: (p, f"text {p}") for key, p in want.items()}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    below_the_cut = plan[plan.index("Partial") :]
+    assert "REBALANCE_PARTITIONS" in below_the_cut
+
+
 def test_extractor_failures_give_no_page(spark, tmp_path):
     for name, content in (("a.pdf", b"one\ftwo"), ("b.pdf", b"bad")):
         (tmp_path / name).write_bytes(content)
