@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docintake.llm import addressable, fragments, packing, token_counts, word_bpe
+from docintake.llm import addressable, fragments, packing, seeds, token_counts, word_bpe
 from docintake.llm.common import texts_of
 from docintake.session import scratch_path
 from llm.tables import FIELDS, frame, rows
@@ -294,6 +294,65 @@ def test_every_seed_of_a_word_is_a_candidate(spark):
         assert its_theme == own[its_seed]
 
 
+def test_seeds_are_found_by_all_words(spark):
+    """Documents of some forty words each, of which many seeds share the strongest ones."""
+    draw, vocabulary, every = np.random.default_rng(5), 300, 4
+    names = draw.permutation(np.arange(-300, 300)).tolist()
+    rows_ = []
+    for name in names:
+        terms = np.unique(np.append(draw.integers(4, vocabulary, 2 + draw.integers(60)), [0, 1, 2, 3]))
+        rows_.append((name, 90 + name % 7, terms.tolist(), [1] * len(terms)))
+    fields = "name long, n_ids long, terms array<int>, times array<int>"
+    documents = spark.createDataFrame(rows_, fields).repartition(5)
+    idf = np.append([6, 5, 5, 4], np.linspace(0.1, 2, vocabulary - 4)).astype(np.float32)
+    corpus = packing.Corpus(600, 600 * 90, idf)
+    found = packing.nearest_seeds(documents, corpus, every).collect()
+    assert sorted(r["name"] for r in found) == sorted(names)
+    words = {
+        name: dict(zip(terms, corpus.weights(np.array(terms), np.array(times), n_ids)))
+        for name, n_ids, terms, times in rows_
+    }
+    for name, seed, _ in found:
+        def shared(s, its=words[name]):
+            return sum(w for t, w in its.items() if t in words[s])
+
+        if name % every:
+            best = max(map(shared, (s for s in names if s % every == 0)))
+            assert shared(seed) == pytest.approx(best, rel=1e-6)
+        else:
+            assert seed == name
+
+
+def test_the_best_seed_of_many_blocks(monkeypatch):
+    """Against brute force: ties, words that no seed holds, documents that share nothing."""
+    monkeypatch.setattr(seeds, "FIRST", 3)
+    draw, vocabulary = np.random.default_rng(6), 400
+    held = [np.unique(draw.zipf(1.3, 5 + draw.integers(120)) % 300) for _ in range(500)]
+    held.sort(key=len, reverse=True)
+    names = draw.permutation(500) - 250
+    docs = [np.unique(draw.zipf(1.3, 1 + draw.integers(90)) % vocabulary) for _ in range(300)]
+    docs += [held[3], held[499], held[250][:5], np.array([350, 360])]
+    # Weights of few values, so that many seeds are worth the same.
+    weights = [1 + draw.integers(3, size=len(d)) / 2 for d in docs]
+    of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    search = seeds.Search(np.concatenate(docs), np.concatenate(weights), of, len(docs))
+    for first in range(0, 500, 150):
+        part = held[first : first + 150]
+        sizes = np.array([len(h) for h in part])
+        themes = names[first : first + 150].astype(np.int32) + 1000
+        block = seeds.Block(names[first : first + 150], themes, sizes, np.concatenate(part), vocabulary)
+        search.over(block)
+    for k, (doc, weight) in enumerate(zip(docs, weights)):
+        worth = [
+            (-weight[np.isin(doc, h)].sum(), len(h), name) for h, name in zip(held, names.tolist())
+        ]
+        shared, _, name = min(worth)
+        assert bool(search.found()[k]) == (shared < 0)
+        if shared:
+            assert (search.name[k], search.theme[k]) == (name, name + 1000)
+    assert not search.found()[-1]
+
+
 def test_windows_hold_what_shares_words():
     ids = [np.array(i) for i in ([5, 6, 7, 8], [90, 91, 92, 93], [5, 6, 7, 9], [90, 91, 94, 95])]
     counts = np.array([4] * 4)
